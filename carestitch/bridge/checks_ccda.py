@@ -13,7 +13,7 @@ from .views import Bridge
 # status O list their problem under the second problem code.
 _ORDERS = """select o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_totalprice,
     'C' || cast(o_custkey as string) as person, 'O' || cast(o_orderkey as string) as doc,
-    cast(o_orderdate as string) as at,
+    cast(o_orderdate as string) as taken,
     replace(replace(replace(cast(o_orderdate as string), '-', ''), ' ', ''), ':', '') as stamp,
     substr(o_orderpriority, 3) as word, cast(o_totalprice as string) as amount,
     c_mktsegment, c_nationkey from {orders} join {customer} on c_custkey = o_custkey"""
@@ -102,7 +102,8 @@ def documents(b: Bridge) -> DataFrame:
     orders = b.sql(_ORDERS)
     named = orders.select(
         F.concat(F.lit("/data/"), "person", F.lit("/"), "doc", F.lit(".xml")).alias("path"), _document().alias("xml"))
-    return ccda.with_person(named, "salt")
+    # Parsing is the costly step: spread the few input splits of the test tables first.
+    return ccda.with_person(named.repartition("path"), "salt")
 
 
 def parsed(b: Bridge) -> DataFrame:
@@ -114,8 +115,8 @@ def parsed(b: Bridge) -> DataFrame:
 
 _D = f"({_ORDERS}) d"
 _PERSON = "sha256('salt' || '/data/' || person) as s_person_id"
-_DAY = "substr(at, 1, 10) || ' 00:00:00'"
-_LOW = "case when o_orderstatus <> 'P' then at end"
+_DAY = "substr(taken, 1, 10) || ' 00:00:00'"
+_LOW = "case when o_orderstatus <> 'P' then taken end"
 
 
 def _section(name: str, build, columns: str, sql: str) -> None:
@@ -147,25 +148,25 @@ _section("procedure", ccda.procedures,
          cast(o_custkey as string) as s_procedure_code, 'oid.proc' as s_procedure_code_type_oid from {_D}""")
 _LAB_COLUMNS = ("s_person_id s_id s_obtained_datetime s_name s_code s_result_numeric s_result_unit_code "
                 "s_result_unit_code_type_oid s_result_code s_result_text m_result_text s_result_numeric_lower s_result_numeric_upper")
-_LABS = f"""select {_PERSON}, 'lab-' || doc as s_id, at as s_obtained_datetime, word as s_name,
+_LABS = f"""select {_PERSON}, 'lab-' || doc as s_id, taken as s_obtained_datetime, word as s_name,
          cast(o_custkey as string) as s_code, amount as s_result_numeric, 'mmHg' as s_result_unit_code,
          '2.16.840.1.113883.6.8' as s_result_unit_code_type_oid, o_orderstatus as s_result_code, 'seen' as s_result_text,
          null as m_result_text, '1' as s_result_numeric_lower, cast(c_nationkey as string) as s_result_numeric_upper
          from {_D} where o_orderpriority <> '5-LOW'
          union all select {_PERSON}, 'text-' || doc, null, null, 'T', null, null, null, null, null, o_orderpriority, null, null
          from {_D} where o_orderpriority <> '5-LOW'
-         union all select {_PERSON}, 'phone-' || doc, cast(cast(at as timestamp) - interval 1 hour as varchar), null, 'P',
+         union all select {_PERSON}, 'phone-' || doc, cast(cast(taken as timestamp) - interval 1 hour as varchar), null, 'P',
          amount, 'lb', '2.16.840.1.113883.6.8', null, null, null, null, null from {_D} where o_orderpriority = '5-LOW'"""
 _section("labs", ccda.lab_results, _LAB_COLUMNS, _LABS)
 _section("vitals", ccda.vital_results,
          "s_person_id s_id s_obtained_datetime s_name s_code s_result_numeric s_result_unit_code",
-         f"""select {_PERSON}, 'vital-' || doc as s_id, at as s_obtained_datetime, 'Pulse' as s_name, 'V' as s_code,
+         f"""select {_PERSON}, 'vital-' || doc as s_id, taken as s_obtained_datetime, 'Pulse' as s_name, 'V' as s_code,
          cast(c_nationkey as string) as s_result_numeric, null as s_result_unit_code from {_D}""")
 _section("medication", ccda.medications,
          "s_person_id s_id s_start_medication_datetime s_end_medication_datetime s_status s_route s_route_code "
          "s_quantity s_dose_unit s_drug_code s_drug_code_type s_drug_text",
          f"""select {_PERSON}, 'drug-' || doc as s_id, {_LOW} as s_start_medication_datetime,
-         cast(cast(at as timestamp) + interval 5 hour as varchar) as s_end_medication_datetime, 'completed' as s_status,
+         cast(cast(taken as timestamp) + interval 5 hour as varchar) as s_end_medication_datetime, 'completed' as s_status,
          'by mouth' as s_route, o_orderstatus as s_route_code, cast(c_nationkey as string) as s_quantity,
          'mg' as s_dose_unit, cast(o_custkey as string) as s_drug_code, 'RxNorm' as s_drug_code_type, word as s_drug_text
          from {_D}""")
@@ -173,7 +174,7 @@ _section("note", ccda.notes,
          "s_person_id s_id s_note_class s_note_class_code m_note_class_code_type_oid s_note_datetime s_note_text s_note_type_code",
          f"""select {_PERSON}, '0_cda/' || person || '/' || doc || '.xml' as s_id, 'Progress note' as s_note_class,
          'N' || cast(c_nationkey as string) as s_note_class_code, 'oid.note' as m_note_class_code_type_oid,
-         at as s_note_datetime, word || ' & ' || doc || chr(10) as s_note_text, 'OMOP4976890' as s_note_type_code from {_D}
+         taken as s_note_datetime, word || ' & ' || doc || chr(10) as s_note_text, 'OMOP4976890' as s_note_type_code from {_D}
          union all select {_PERSON}, '1_cda/' || person || '/' || doc || '.xml', null, null, null, null,
          'Text of ' || doc, 'OMOP4976890' from {_D}""")
 
@@ -200,7 +201,7 @@ def _(b: Bridge):
     return ccda.fix_units(ccda.lab_results(parsed(b))).select("s_id", "m_result_unit_code", "m_result_unit_code_type_oid")
 
 
-@check("fact_date_repair", f"""select 'problem-' || doc as s_id, case when o_orderstatus <> 'P' then at else {_DAY} end
+@check("fact_date_repair", f"""select 'problem-' || doc as s_id, case when o_orderstatus <> 'P' then taken else {_DAY} end
         as s_start_condition_datetime, null as i_exclude from {_D}
         union all select 'other-' || doc, null, '1' from {_D} where o_orderstatus = 'O'""")
 def _(b: Bridge):
@@ -210,10 +211,10 @@ def _(b: Bridge):
 
 @check("observation_period_from_facts", f"""select sha256('salt' || '/data/' || person) as s_person_id,
         min(day) as s_start_observation_datetime, max(day) as s_end_observation_datetime from (
-          select person, substr(at, 1, 10) as day from {_D}
-          union all select person, substr(cast(cast(at as timestamp) - interval 1 hour as varchar), 1, 10) from {_D}
+          select person, substr(taken, 1, 10) as day from {_D}
+          union all select person, substr(cast(cast(taken as timestamp) - interval 1 hour as varchar), 1, 10) from {_D}
           where o_orderpriority = '5-LOW'
-          union all select person, substr(cast(cast(at as timestamp) + interval 5 hour as varchar), 1, 10) from {_D}
+          union all select person, substr(cast(cast(taken as timestamp) + interval 5 hour as varchar), 1, 10) from {_D}
           where o_orderstatus = 'P') group by person""")
 def _(b: Bridge):
     return ccda.combine_fragments(_fragments(b))["source_observation_period"].select(

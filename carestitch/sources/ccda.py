@@ -131,6 +131,10 @@ def _is(element: Column, code: str, system: str) -> Column:
     return (element["_code"] == code) & (element["_codeSystem"] == system)
 
 
+def _coded_as(items: Column, code: str) -> Column:
+    return F.filter(items, lambda item: _is(item["code"], code, SNOMED_OID))
+
+
 def _sections() -> Column:
     return _present(F.col("doc.component.structuredBody.component.section"))
 
@@ -181,7 +185,7 @@ def persons(parsed: DataFrame) -> DataFrame:
 def conditions(parsed: DataFrame) -> DataFrame:
     """Problem observations; the second code counts only in documents without the first."""
     observed = _present(_flat(_present(_entries()["act"])["entryRelationship"])["observation"])
-    first, second = (F.filter(observed, lambda o, c=c: _is(o["code"], c, SNOMED_OID)) for c in PROBLEM_CODES)
+    first, second = (_coded_as(observed, code) for code in PROBLEM_CODES)
 
     def columns(item: Column) -> dict[str, Column]:
         value = _last(item["value"])
