@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import fact_id, stable_id
 from ..operators.joins import align_to_person, align_to_visit, lookup
-from ..operators.project import align, exclude_rows, stamp_lineage
+from ..operators.project import align, exclude_rows, stamp_lineage, union_by_name
 from ..operators.resolve import resolve_fanout, resolve_fields, used_pairs
 from ..operators.route import combine, in_domain
 from ..operators.vocab import Codebook
@@ -48,7 +48,6 @@ class CdmBuilder:
     measure      count materialised dimensions (a read of file footers), so that those
                  small enough are broadcast
     sizes        the measured counts
-    prune_codebook  look codes up in the part of the codebook that the data uses
     """
 
     spark: SparkSession
@@ -59,7 +58,6 @@ class CdmBuilder:
     keep_unmapped: bool = True
     materialise: Callable[[str, DataFrame], DataFrame] = lambda name, df: df
     measure: bool = False
-    prune_codebook: bool = False
     sizes: dict[str, int] = field(default_factory=dict)
     _tables: dict[str, DataFrame] = field(default_factory=dict)
 
@@ -79,20 +77,16 @@ class CdmBuilder:
         df = df.withColumns({c: F.lit(None).cast("string") for c in missing})
         return exclude_rows(df)
 
-    def _codebook_for(self, build: B.SourceBuild, df: DataFrame) -> Codebook:
-        if not self.prune_codebook:
-            return self.codebook
-        prefixes = [p for f in build.codes for p in f.candidates]
-        prefixes += [build.fanout] if build.fanout else []
-        if not prefixes:
-            return self.codebook
-        used = self.codebook.restricted_to(used_pairs(df, prefixes))
-        # The death build shares its staging table with the person build.
-        part = f"support/codes_{build.routes[0].table}"
-        return Codebook(
-            self.materialise(f"{part}_best", used.best),
-            self.materialise(f"{part}_targets", used.targets),
-        ).measured()
+    def used_codes(self) -> DataFrame:
+        """The distinct (oid, concept_code) pairs of all staging tables: one scan of the
+        code columns, combined before any shuffle."""
+        parts = []
+        for build in (*B.DIMENSIONS, *B.FACTS):
+            prefixes = [p for f in build.codes for p in f.candidates]
+            prefixes += [build.fanout] if build.fanout else []
+            if prefixes:
+                parts.append(used_pairs(self.staged(build.source), prefixes))
+        return union_by_name(parts).distinct()
 
     def _resolved(self, build: B.SourceBuild) -> DataFrame:
         """Staging rows with codes resolved, persons, visits and dimension keys attached.
@@ -103,10 +97,9 @@ class CdmBuilder:
         df = self.staged(build.source)
         if build.row_filter:
             df = df.filter(build.row_filter)
-        book = self._codebook_for(build, df)
-        df = resolve_fields(df, book, build.codes)
+        df = resolve_fields(df, self.codebook, build.codes)
         if build.fanout:
-            df = resolve_fanout(df, book, build.fanout)
+            df = resolve_fanout(df, self.codebook, build.fanout)
         elif build.domain_column:
             df = df.withColumns({"mapped_domain_id": F.col(build.domain_column),
                                  "domain_id": F.col(build.domain_column)})

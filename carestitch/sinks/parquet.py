@@ -31,7 +31,16 @@ def write_and_reload(df: DataFrame, path: str, partition_by: str | Sequence[str]
     """
     columns = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     df.write.mode("overwrite").partitionBy(*columns).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    return _reload(df, path, bool(columns))
+
+
+def _reload(df: DataFrame, path: str, partitioned: bool) -> DataFrame:
+    spark = df.sparkSession
+    written = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    if partitioned and written.isEmpty():
+        # No partition folder, no file: leave one that tells other readers the columns.
+        spark.createDataFrame([], df.schema).coalesce(1).write.mode("overwrite").parquet(path)
+    return written
 
 
 def export_tables(tables: Mapping[str, DataFrame], base: str,
@@ -47,6 +56,7 @@ def export_tables(tables: Mapping[str, DataFrame], base: str,
         paths[name] = table_path(base, name)
         if column:
             df.hint("rebalance", column).write.mode("overwrite").partitionBy(column).parquet(paths[name])
+            _reload(df, paths[name], True)
         else:
             df.write.mode("overwrite").parquet(paths[name])
     return paths
