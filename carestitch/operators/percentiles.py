@@ -1,8 +1,9 @@
 """Exact percentiles per group that never hold a whole group in one task.
 
-Values are counted per distinct value first. A mergeable sketch then yields splitters per
-group; each slice between splitters holds a bounded share of the group's distinct ranks,
-and the exact ranks are located by slice totals before any value is sorted.
+Values are counted per group and distinct value first. A mergeable sketch over all of them
+yields splitters, so that a slice of one group holds at most a fixed share of all distinct
+values, however dominant the group. Totals per slice tell which slices hold the wanted
+ranks, and only those are sorted.
 """
 
 from __future__ import annotations
@@ -12,7 +13,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICES = 64
+SLICES = 128  # a power of two
+
+
+def _with_slice(df: DataFrame) -> DataFrame:
+    """How many of the sorted cuts lie below the value, by halving."""
+    df, step = df.withColumn("_slice", F.lit(0)), SLICES // 2
+    while step:
+        below = F.get("_cuts", F.col("_slice") + (step - 1)) < F.col("_v")
+        df = df.withColumn("_slice", F.col("_slice") + F.when(below, step).otherwise(0))
+        step //= 2
+    return df
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
@@ -22,60 +33,52 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     percentiles  output column → fraction. Groups without a value are absent.
     """
     keys = list(keys)
-    group = F.struct(*keys)
     counted = (
         df.filter(F.col(value).isNotNull())
-        .groupBy(group.alias("_g"), F.col(value).cast("double").alias("_v"))
-        .agg(F.count("*").alias("_n"))
+        .groupBy(*keys, F.col(value).cast("double").alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
     cuts = [i / SLICES for i in range(1, SLICES)]
-    splitters = counted.groupBy("_g").agg(
-        F.percentile_approx("_v", cuts, 1000).alias("_cuts")
-    ).withColumnRenamed("_g", "_sg")
-    sliced = counted.join(splitters, F.col("_g").eqNullSafe(F.col("_sg"))).select(
-        "_g", "_v", "_n",
-        F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_slice"),
-    )
-    totals = sliced.groupBy("_g", "_slice").agg(F.sum("_n").alias("_in_slice"))
+    # The filter keeps both uses of the counts on one shuffle.
+    splitters = counted.filter("_n > 0").agg(F.percentile_approx("_v", cuts, 1000)).scalar()
+    sliced = _with_slice(counted.withColumn("_cuts", splitters)).drop("_cuts")
+
     # At most SLICES rows per group enter these windows.
-    whole = Window.partitionBy("_g")
-    upto = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    placed = totals.withColumns({
-        "_before": F.coalesce(F.sum("_in_slice").over(upto), F.lit(0)),
+    whole = Window.partitionBy(*keys)
+    before = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sliced.groupBy(*keys, "_slice").agg(F.sum("_n").alias("_in_slice")).withColumns({
+        "_before": F.coalesce(F.sum("_in_slice").over(before), F.lit(0)),
         "_total": F.sum("_in_slice").over(whole),
     })
 
-    def position(fraction: float) -> Column:
-        return F.lit(fraction) * (F.col("_total") - 1)
-
-    ranks = [(name, edge) for name in percentiles for edge in ("lo", "hi")]
+    def position(name: str) -> Column:
+        return F.lit(percentiles[name]) * (F.col("_total") - 1)
 
-    def rank(name: str, edge: str) -> Column:
-        at = position(percentiles[name])
-        return F.floor(at) if edge == "lo" else F.ceil(at)
+    def inside(rank: Column, start: str, length: str) -> Column:
+        return (rank >= F.col(start)) & (rank < F.col(start) + F.col(length))
 
-    def inside(name: str, edge: str, start: Column, length: Column) -> Column:
-        at = rank(name, edge)
-        return (at >= start) & (at < start + length)
-
-    hit = placed.filter(
-        F.greatest(*[inside(n, e, F.col("_before"), F.col("_in_slice")).cast("int") for n, e in ranks]) == 1
-    ).select(F.col("_g").alias("_hg"), F.col("_slice").alias("_hslice"), "_before", "_total")
-    running = Window.partitionBy("_g", "_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    located = (
-        sliced.join(hit, F.col("_g").eqNullSafe(F.col("_hg")) & (F.col("_slice") == F.col("_hslice")))
-        .withColumn("_start", F.col("_before") + F.coalesce(F.sum("_n").over(running), F.lit(0)))
+    ranks = {
+        f"_{name}_{edge}": (F.floor if edge == "lo" else F.ceil)(position(name))
+        for name in percentiles for edge in ("lo", "hi")
+    }
+    wanted = F.lit(False)
+    for rank in ranks.values():
+        wanted = wanted | inside(rank, "_before", "_in_slice")
+    hit = placed.filter(wanted).select(
+        *[F.col(k).alias(f"_hit_{k}") for k in keys], F.col("_slice").alias("_hit_slice"), "_before", "_total"
     )
-    picked = located.groupBy("_g").agg(
-        F.max("_total").alias("_total"),
-        *[F.max(F.when(inside(n, e, F.col("_start"), F.col("_n")), F.col("_v"))).alias(f"_{n}_{e}")
-          for n, e in ranks],
+    same = [F.col(k).eqNullSafe(F.col(f"_hit_{k}")) for k in keys]
+    smaller = Window.partitionBy(*keys, "_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    located = sliced.join(hit, [*same, F.col("_slice") == F.col("_hit_slice")]).withColumn(
+        "_start", F.col("_before") + F.coalesce(F.sum("_n").over(smaller), F.lit(0))
     )
-    return picked.select(
-        *[F.col(f"_g.{k}").alias(k) for k in keys],
-        *[
-            (F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo"))
-             * (position(p) - F.floor(position(p)))).alias(n)
-            for n, p in percentiles.items()
-        ],
+    picked = located.groupBy(*keys).agg(
+        F.max("_total").alias("_total"),
+        *[F.max(F.when(inside(rank, "_start", "_n"), F.col("_v"))).alias(name) for name, rank in ranks.items()],
     )
+
+    def interpolated(name: str) -> Column:
+        low, high = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
+        return low + (high - low) * (position(name) - F.floor(position(name)))
+
+    return picked.select(*keys, *[interpolated(n).alias(n) for n in percentiles])
