@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import (
     add_row_id, as_date, base64_text, birth_parts, code_label, composite_id, decimal_value,
-    distinct_with_row_id, end_or_start, first_filled, hl7_timestamp, location_key, person_key,
+    distinct_with_row_id, duplicate_keys, end_or_start, first_filled, hl7_timestamp, location_key, person_key,
     preferred_type, repair_interval, stable_id,
 )
 from ..operators.joins import (
@@ -127,6 +127,13 @@ def _(b: Bridge):
         F.count_if(F.col("none").isNull()).alias("n_null_stays_null"))
 
 
+@check("duplicate_keys", """select c_mktsegment || '/' || cast(c_nationkey as varchar) as k, count(*) as n_rows
+        from {customer} group by 1 having count(*) > 1""")
+def _(b: Bridge):
+    keyed = b("customer").select(F.concat("c_mktsegment", F.lit("/"), F.col("c_nationkey").cast("string")).alias("k"))
+    return duplicate_keys(keyed, "k")
+
+
 @check("salted_folder_key", """select c_custkey, sha256('salt' || '/data/' || c_name) as s_person_id from {customer}""")
 def _(b: Bridge):
     return b("customer").select("c_custkey", person_key("salt", F.concat(F.lit("/data/"), "c_name")).alias("s_person_id"))
@@ -245,21 +252,24 @@ def _(b: Bridge):
         left join {o_provider} p on p.provider_source_value = x.k_provider""")
 def _(b: Bridge):
     df = b("source_encounter")
-    for dim, key in (("care_site", "k_care_site"), ("provider", "k_provider")):
-        df = lookup(df, b.cdm.table(dim), {key: f"{dim}_source_value"}, {f"{dim}_id": f"{dim}_id"},
-                    dim_rows=b.cdm.sizes[dim])
+    for dim in ("care_site", "provider"):
+        keys, rows = b.cdm.link(dim)
+        df = lookup(df, keys, {f"k_{dim}": f"{dim}_source_value"}, {f"{dim}_id": f"{dim}_id"}, unique=True, dim_rows=rows)
     return df.select("s_encounter_id", "care_site_id", "provider_id")
 
 
 @check("align_person", """select x.s_id, p.person_id from {source_device} x
         join {o_person} p on p.person_source_value = x.s_person_id""")
 def _(b: Bridge):
-    return align_to_person(b("source_device"), b.cdm.table("person")).select("s_id", "person_id")
+    keys, rows = b.cdm.link("person")
+    return align_to_person(b("source_device"), keys, unique=True, person_rows=rows).select("s_id", "person_id")
 
 
 def _visits(b: Bridge, how: str):
-    df = align_to_person(exclude_rows(b("source_condition")), b.cdm.table("person"))
-    return align_to_visit(df, b.cdm.table("visit_source_link"), how).select("s_id", "person_id", "visit_occurrence_id")
+    people, people_rows = b.cdm.link("person")
+    visits, visit_rows = b.cdm.link("visit")
+    df = align_to_person(exclude_rows(b("source_condition")), people, True, people_rows)
+    return align_to_visit(df, visits, how, True, visit_rows).select("s_id", "person_id", "visit_occurrence_id")
 
 
 _ALIGNED = """select x.s_id, p.person_id, v.visit_occurrence_id from {source_condition} x
@@ -411,7 +421,8 @@ def _(b: Bridge):
 def _(b: Bridge):
     """Facts of known persons by standard concept: resolve, align, count, then name."""
     facts = resolve_fanout(exclude_rows(b("source_condition")), b.codebook, "s_condition", how="inner")
-    aligned = align_to_person(facts.filter("g_concept_id is not null"), b.cdm.table("person"))
+    people, rows = b.cdm.link("person")
+    aligned = align_to_person(facts.filter("g_concept_id is not null"), people, True, rows)
     counts = aligned.groupBy("mapped_domain_id", F.col("g_concept_id").alias("concept_id")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("person_id").alias("n_persons"))
     return counts.join(b("concept").select("concept_id", "concept_name"), "concept_id")

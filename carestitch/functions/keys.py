@@ -82,6 +82,11 @@ def fact_id(row_id: Column | str, ordinal: Column | int = 0, contributor: int =
     )
 
 
+def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
+    """Keys that more than one row carries, with their number of rows."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
+
+
 def check_fact_id_range(max_row_id: int, max_fanout: int) -> None:
     if max_row_id >= 1 << (63 - FANOUT_BITS - SOURCE_BITS):
         raise ValueError(f"row id {max_row_id} is too large for fact keys: re-key with add_row_id")

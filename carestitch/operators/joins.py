@@ -3,7 +3,9 @@
 Broadcasts happen in two ways only: a side whose row count was measured and lies below
 ``BROADCAST_ROWS`` is hinted; any other side is left to Catalyst, which broadcasts below
 ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, with AQE splitting hot
-partitions (``spark.sql.adaptive.skewJoin.enabled``).
+partitions (``spark.sql.adaptive.skewJoin.enabled``). AQE can split a join only if both
+inputs come straight from a shuffle, so sides are de-duplicated into a table of their own
+(``key_table``) before the join rather than inside it.
 """
 
 from __future__ import annotations
@@ -25,16 +27,25 @@ def unique_by(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> Data
     """One row per key: the smallest combination of the values (map-side combined)."""
     if not values:
         return df.select(*keys).distinct()
+    if len(values) == 1:
+        return df.groupBy(*keys).agg(F.min(values[0]).alias(values[0]))
     best = df.groupBy(*keys).agg(F.min(F.struct(*values)).alias("_best"))
     return best.select(*keys, *[F.col(f"_best.{v}").alias(v) for v in values])
 
 
+def key_table(dim: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Natural key → surrogate of a dimension, one row per key. Materialise it when the
+    dimension may be too large to broadcast."""
+    return unique_by(dim.filter(F.col(keys[0]).isNotNull()), keys, [value])
+
+
 def lookup(facts: DataFrame, dim: DataFrame, on: Mapping[str, str], take: Mapping[str, str],
            how: str = "left", unique: bool = False, dim_rows: int | None = None) -> DataFrame:
     """Attach dimension columns to facts by natural key, without multiplying facts.
 
-    on    fact column → dimension key
-    take  dimension column → output column
+    on      fact column → dimension key
+    take    dimension column → output column
+    unique  the dimension is known to have one row per key
     """
     keys = list(dict.fromkeys(on.values()))
     if not unique:
@@ -60,19 +71,20 @@ def lookup_value_code(facts: DataFrame, mapping: DataFrame, value: str, key: str
     )
 
 
-def align_to_person(facts: DataFrame, person: DataFrame, person_rows: int | None = None) -> DataFrame:
+def align_to_person(facts: DataFrame, person: DataFrame, unique: bool = False,
+                    person_rows: int | None = None) -> DataFrame:
     """Keep rows of known persons and attach ``person_id``."""
     return lookup(facts, person, {"s_person_id": "person_source_value"},
-                  {"person_id": "person_id"}, how="inner", dim_rows=person_rows)
+                  {"person_id": "person_id"}, "inner", unique, person_rows)
 
 
 def align_to_visit(facts: DataFrame, visit_link: DataFrame, how: str = "left",
-                   visit_rows: int | None = None) -> DataFrame:
+                   unique: bool = False, visit_rows: int | None = None) -> DataFrame:
     """Attach ``visit_occurrence_id``; the encounter must belong to the same person."""
     return lookup(
         facts, visit_link,
         {"s_encounter_id": "s_encounter_id", "s_person_id": "s_person_id"},
-        {"visit_occurrence_id": "visit_occurrence_id"}, how=how, dim_rows=visit_rows,
+        {"visit_occurrence_id": "visit_occurrence_id"}, how, unique, visit_rows,
     )
 
 

@@ -101,7 +101,7 @@ def event_columns(table: str, start: str, end: str | None, code: str, type_id: s
 
 
 def _fact_routes(tables: Mapping[str, str], start: str, end: str, code: str, type_id: str,
-                 native: str, extra: Mapping[str, str], native_only_end: bool = False) -> tuple[Route, ...]:
+                 native: str, extra: Mapping[str, str]) -> tuple[Route, ...]:
     routes = []
     for table, domain in tables.items():
         columns = event_columns(table, start, end, code, type_id)

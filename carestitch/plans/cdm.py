@@ -8,8 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.keys import fact_id, stable_id
-from ..operators.joins import align_to_person, align_to_visit, lookup
+from ..functions.keys import duplicate_keys, fact_id, stable_id
+from ..operators.joins import align_to_person, align_to_visit, key_table, lookup
 from ..operators.project import align, exclude_rows, stamp_lineage, union_by_name
 from ..operators.resolve import resolve_fanout, resolve_fields, used_pairs
 from ..operators.route import combine, in_domain
@@ -18,23 +18,32 @@ from ..specs import cdm_spec, psf_spec
 from ..specs.cdm import _NAMES_IN_531, normalise_version
 from . import builds as B
 
-# Natural key of a dimension and the surrogate it yields.
-_LINK_KEYS = {
-    "location": ("location_source_value", "location_id"),
-    "care_site": ("care_site_source_value", "care_site_id"),
-    "provider": ("provider_source_value", "provider_id"),
+# What facts are linked to: table, natural key, surrogate.
+LINKS = {
+    "location": ("location", ("location_source_value",), "location_id"),
+    "care_site": ("care_site", ("care_site_source_value",), "care_site_id"),
+    "provider": ("provider", ("provider_source_value",), "provider_id"),
+    "person": ("person", ("person_source_value",), "person_id"),
+    "visit": ("visit_source_link", ("s_encounter_id", "s_person_id"), "visit_occurrence_id"),
 }
-# Tables that facts are linked to by natural key.
-DIMENSIONS = ("location", "care_site", "provider", "person", "visit_source_link")
 
 
 @dataclass
 class StableIds:
-    """Hash-based person and visit keys instead of staging row ids."""
+    """Hash-based person and visit keys instead of staging row ids.
+
+    must_be_unique  stop when two rows share a hashed key, be it by a repeated source key
+                    or by a collision
+    """
 
     salt: str = ""
     person: bool = False
     visit: bool = False
+    must_be_unique: bool = False
+
+    def key_of(self, table: str) -> str | None:
+        hashed = {"person": self.person, "visit_occurrence": self.visit}
+        return f"{table}_id" if hashed.get(table) else None
 
 
 @dataclass
@@ -45,9 +54,8 @@ class CdmBuilder:
     codebook     code → concept lookups
     materialise  called with (name, frame) at every table boundary; the default keeps
                  plans lazy, the batch pipeline writes and reloads
-    measure      count materialised dimensions (a read of file footers), so that those
+    measure      count materialised key tables (a read of file footers), so that those
                  small enough are broadcast
-    sizes        the measured counts
     """
 
     spark: SparkSession
@@ -58,15 +66,20 @@ class CdmBuilder:
     keep_unmapped: bool = True
     materialise: Callable[[str, DataFrame], DataFrame] = lambda name, df: df
     measure: bool = False
-    sizes: dict[str, int] = field(default_factory=dict)
+    _sizes: dict[str, int | None] = field(default_factory=dict)
     _tables: dict[str, DataFrame] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self.version = normalise_version(self.version)
 
-    def _rows(self, dimension: str) -> int | None:
-        self.table(dimension)
-        return self.sizes.get(dimension)
+    def link(self, dimension: str) -> tuple[DataFrame, int | None]:
+        """The key table of a dimension and its measured size, if measured."""
+        name = f"support/{dimension}_keys"
+        if name not in self._tables:
+            table, keys, surrogate = LINKS[dimension]
+            self._tables[name] = self.materialise(name, key_table(self.table(table), keys, surrogate))
+            self._sizes[name] = self._tables[name].count() if self.measure else None
+        return self._tables[name], self._sizes[name]
 
     # -- staging rows -----------------------------------------------------------------
 
@@ -103,15 +116,16 @@ class CdmBuilder:
         elif build.domain_column:
             df = df.withColumns({"mapped_domain_id": F.col(build.domain_column),
                                  "domain_id": F.col(build.domain_column)})
-        for dim, key in build.links.items():
-            natural, surrogate = _LINK_KEYS[dim]
-            df = lookup(df, self.table(dim), {key: natural}, {surrogate: surrogate},
-                        dim_rows=self._rows(dim))
+        for dimension, key in build.links.items():
+            keys, rows = self.link(dimension)
+            _, (natural,), surrogate = LINKS[dimension]
+            df = lookup(df, keys, {key: natural}, {surrogate: surrogate}, unique=True, dim_rows=rows)
         if build.person:
-            df = align_to_person(df, self.table("person"), self._rows("person"))
+            keys, rows = self.link("person")
+            df = align_to_person(df, keys, unique=True, person_rows=rows)
         if build.visit:
-            df = align_to_visit(df, self.table("visit_source_link"), build.visit,
-                                self._rows("visit_source_link"))
+            keys, rows = self.link("visit")
+            df = align_to_visit(df, keys, build.visit, unique=True, visit_rows=rows)
         df = stamp_lineage(df, build.source)
         if build.source == "source_person":
             key = stable_id(self.stable.salt, "s_person_id") if self.stable.person else F.col("g_id")
@@ -167,8 +181,9 @@ class CdmBuilder:
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             self._tables[name] = self.materialise(name, self._build(name))
-            if self.measure and name in DIMENSIONS:
-                self.sizes[name] = self._tables[name].count()
+            key = self.stable.key_of(name)
+            if key and self.stable.must_be_unique and not duplicate_keys(self._tables[name], key).isEmpty():
+                raise ValueError(f"{name}: hashed keys are not unique")
         return self._tables[name]
 
     def _build(self, name: str) -> DataFrame:

@@ -36,7 +36,8 @@ def stable_ids(config: Mapping) -> StableIds:
     if not wanted:
         return StableIds()
     fields = wanted.get("s_id_fields", ())
-    return StableIds(wanted["salt"], "s_person_id" in fields, "s_encounter_id" in fields)
+    return StableIds(wanted["salt"], "s_person_id" in fields, "s_encounter_id" in fields,
+                     wanted.get("must_be_unique", False))
 
 
 def oid_table(spark: SparkSession, config: Mapping) -> tuple[DataFrame, int | None]:

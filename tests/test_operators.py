@@ -8,7 +8,7 @@ from carestitch.operators.percentiles import exact_percentiles
 from carestitch.operators.project import align, exclude_rows, rename_columns, union_by_name
 from carestitch.operators.resolve import CodedField, resolve_fanout, resolve_field, used_pairs
 from carestitch.operators.route import in_domain
-from carestitch.operators.vocab import Codebook, build_codebook, build_concept_map
+from carestitch.operators.vocab import build_codebook, build_concept_map
 from carestitch.specs import TableSpec
 
 

@@ -269,6 +269,20 @@ def test_stable_id_settings():
     assert not stable_ids({}).person
     chosen = stable_ids({"stable_hash_identifiers": {"salt": "s", "s_id_fields": ["s_person_id"]}})
     assert (chosen.salt, chosen.person, chosen.visit) == ("s", True, False)
+    assert chosen.key_of("person") == "person_id" and chosen.key_of("visit_occurrence") is None
+
+
+def test_repeated_persons_are_reported(spark, config):
+    from carestitch.operators.vocab import build_codebook
+    from carestitch.plans.cdm import CdmBuilder, StableIds
+    people = spark.createDataFrame([(1, "a"), (2, "a")], "g_id bigint, s_person_id string")
+    sources = {"source_person": people, "source_location": spark.createDataFrame([], "g_id bigint, k_location string")}
+    tables = load_vocabulary(spark, config["export_concept_mapping_table_path"])
+    oids = spark.createDataFrame([("o", "Gender")], "oid string, vocabulary_id string")
+    book = build_codebook(tables["concept"], tables["concept_map"], oids)
+    assert CdmBuilder(spark, sources, book, stable=StableIds("s", person=True)).table("person").count() == 2
+    with pytest.raises(ValueError):
+        CdmBuilder(spark, sources, book, stable=StableIds("s", person=True, must_be_unique=True)).table("person")
 
 
 def test_generic_staging(spark, tmp_path):
