@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
@@ -15,7 +16,7 @@ from ..operators.resolve import resolve_fanout, resolve_fields, used_pairs
 from ..operators.route import combine, in_domain
 from ..operators.vocab import Codebook
 from ..specs import cdm_spec, psf_spec
-from ..specs.cdm import _NAMES_IN_531, normalise_version
+from ..specs.cdm import _NAMES_IN_531, LINEAGE, normalise_version
 from . import builds as B
 
 # What facts are linked to: table, natural key, surrogate.
@@ -56,6 +57,7 @@ class CdmBuilder:
                  plans lazy, the batch pipeline writes and reloads
     measure      count materialised key tables (a read of file footers), so that those
                  small enough are broadcast
+    keep_columns further staging columns to carry to the materialised fact rows
     """
 
     spark: SparkSession
@@ -66,6 +68,7 @@ class CdmBuilder:
     keep_unmapped: bool = True
     materialise: Callable[[str, DataFrame], DataFrame] = lambda name, df: df
     measure: bool = False
+    keep_columns: frozenset[str] = frozenset()
     _sizes: dict[str, int | None] = field(default_factory=dict)
     _tables: dict[str, DataFrame] = field(default_factory=dict)
 
@@ -101,7 +104,7 @@ class CdmBuilder:
                 parts.append(used_pairs(self.staged(build.source), prefixes))
         return union_by_name(parts).distinct()
 
-    def _resolved(self, build: B.SourceBuild) -> DataFrame:
+    def _resolved(self, build: B.SourceBuild, codes: bool = True) -> DataFrame:
         """Staging rows with codes resolved, persons, visits and dimension keys attached.
 
         Codes come first: they are map-side lookups and let the code texts be dropped
@@ -110,7 +113,7 @@ class CdmBuilder:
         df = self.staged(build.source)
         if build.row_filter:
             df = df.filter(build.row_filter)
-        df = resolve_fields(df, self.codebook, build.codes)
+        df = resolve_fields(df, self.codebook, build.codes if codes else ())
         if build.fanout:
             df = resolve_fanout(df, self.codebook, build.fanout)
         elif build.domain_column:
@@ -167,9 +170,18 @@ class CdmBuilder:
         """Resolved rows of a fact source before routing, materialised by domain."""
         name = f"support/{build.source}_matched"
         if name not in self._tables:
-            self._tables[name] = self.materialise(name, self._resolved(build))
+            rows = self._resolved(build)
+            self._tables[name] = self.materialise(name, rows.select(*self._routed_columns(build, rows)))
         return self._tables[name]
 
+    def _routed_columns(self, build: B.SourceBuild, rows: DataFrame) -> list[str]:
+        """The columns some route reads. Nothing else is carried through the shuffles to
+        persons and visits, nor written."""
+        expressions = [e for r in build.routes for e in (*r.columns.values(), r.condition or "")]
+        named = set(re.findall(r"\w+", " ".join(expressions)))
+        named |= {"g_id", "g_ordinal", "domain_id", "mapped_domain_id", *LINEAGE, *self.keep_columns}
+        return [c for c in rows.columns if c in named]
+
     def contribution(self, build: B.SourceBuild, table: str) -> DataFrame:
         """What one staging table contributes to one CDM table."""
         (route,) = [r for r in build.routes if r.table == table]
@@ -188,7 +200,7 @@ class CdmBuilder:
 
     def _build(self, name: str) -> DataFrame:
         if name == "visit_source_link":
-            visits = self._resolved(B.VISIT)
+            visits = self._resolved(B.VISIT, codes=False)
             return visits.select(F.col("g_visit_id").alias("visit_occurrence_id"),
                                  "s_encounter_id", "person_id", "s_person_id")
         for build in B.DIMENSIONS:

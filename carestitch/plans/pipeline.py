@@ -85,6 +85,7 @@ def map_to_cdm(spark: SparkSession, config: Mapping, manifest_path: str | None =
     builder = CdmBuilder(
         spark, sources, whole, version, stable_ids(config),
         keep_unmapped=config.get("keep_unmapped", True), materialise=write, measure=True,
+        keep_columns=frozenset(staged_by.values()),
     )
     # Only the codes the data uses are looked up; their number is known before any join.
     used = whole.restricted_to(write("support/used_codes", builder.used_codes()))

@@ -65,7 +65,7 @@ def test_a_hot_person_is_split_over_tasks(spark, skewed):
 
 def test_rows_without_an_encounter_do_not_meet_in_one_task(spark, skewed, tmp_path):
     facts, _, visits = skewed
-    with settings(spark, **SKEW):
+    with settings(spark, **SKEW, spark__sql__adaptive__coalescePartitions__enabled="false"):
         aligned = write_and_reload(align_to_visit(facts, visits, unique=True), f"{tmp_path}/aligned")
     assert aligned.count() == 60000 and aligned.filter("visit_occurrence_id is null").count() == 20000
     sizes = [r["count"] for r in aligned.groupBy(F.input_file_name()).count().collect()]
