@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.route import in_domain
 from ..plans import builds as B
 from ..plans.relationships import Relationship, build_fact_relationship
 from .oracle import day, moment, routed
@@ -112,6 +113,13 @@ _route("route_device", B.DEVICE, "device_exposure", "m_device", "Device")
 _route("route_drug_keep_unmapped", B.MEDICATION, "drug_exposure", "m_medication", "Drug")
 
 
+@check("route_condition_mapped_only", "select m.s_id, m.concept_id from {m_condition} m where m.mapped_domain_id = 'Condition'")
+def _(b: Bridge):
+    """Without the rows that have no standard concept."""
+    rows = b.plans.matched(B.CONDITION).filter(in_domain("Condition", keep_unmapped=False))
+    return rows.select("s_id", F.col("g_concept_id").alias("concept_id"))
+
+
 def relationship_frame(b: Bridge, cdm):
     return build_fact_relationship(
         b("source_relationship"), [Relationship("payer", "payer_plan_period", "visit_occurrence")],

@@ -52,8 +52,10 @@ def jdbc_targets(manifest: Manifest, schema: str | None = None, exclude_concepts
     return targets
 
 
-def write_jdbc(spark: SparkSession, targets: list[JdbcTarget], url: str, properties: Mapping[str, str]) -> None:
+def write_jdbc(spark: SparkSession, targets: list[JdbcTarget], url: str, properties: Mapping[str, str],
+               connections: int = 32) -> None:
+    """Overwrite the targets; at most ``connections`` tasks write to the database at once."""
     for target in targets:
-        spark.read.parquet(target.path).write.jdbc(
+        spark.read.parquet(target.path).write.option("numPartitions", connections).jdbc(
             url=url, table=target.name, mode="overwrite", properties=dict(properties)
         )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import composite_id, distinct_with_row_id, location_key
 from ..operators.joins import lookup_value_code, payer_at_encounter
-from ..operators.project import align, split_by_type, union_distinct
+from ..operators.project import align, split_by_type, union_by_name
 from ..sinks.parquet import export_tables
 from ..specs import PSF_SPECS
 from .tabular import read_tables
@@ -106,104 +106,104 @@ def _constants(stem: str, values: tuple) -> dict[str, Column]:
     return {f"{stem}{suffix}": F.lit(v) for suffix, v in zip(("", "_code", "_code_type", "_code_type_oid"), values)}
 
 
-def _coded(stem: str, code: str, system: tuple[str, str]) -> dict[str, Column]:
-    return {f"{stem}_code": F.col(code), f"{stem}_code_type": F.lit(system[0]),
-            f"{stem}_code_type_oid": F.lit(system[1])}
+def _system(stem: str, system: tuple[str, str]) -> dict[str, Column]:
+    """Code type and identifier of a field whose codes all belong to one system."""
+    return {f"{stem}_code_type": F.lit(system[0]), f"{stem}_code_type_oid": F.lit(system[1])}
 
 
-def _table(name: str, df: DataFrame, columns: Mapping[str, Column | str], keep: tuple[str, ...] = ()) -> DataFrame:
-    """The staging layout filled with the given columns; strings name input columns."""
-    made = [(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in columns.items()]
-    return align(df.select(*made, *keep), PSF_SPECS[name])
+def _pick(df: DataFrame, columns: Mapping[str, Column | str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Staging columns out of an extract table; strings name its columns."""
+    return df.select(*[(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in columns.items()], *keep)
 
 
-def _origin(row: str | None = None) -> dict[str, Column]:
-    return {"s_source_system": F.lit(SOURCE_SYSTEM), **({"s_id": F.col(row)} if row else {})}
+def _stage(name: str, rows: DataFrame, constants: Mapping[str, Column] | None = None) -> DataFrame:
+    """Distinct rows with an id, then everything that is the same in all of them: only the
+    columns that vary are shuffled."""
+    filled = distinct_with_row_id(rows).withColumns(dict(constants or {}))
+    return align(filled, PSF_SPECS[name], keep_others=True)
 
 
 _EVENT = {"s_person_id": "patient", "s_encounter_id": "encounter"}
 _ADDRESS = ("address", "city", "state", "zip")
 
 
+def _origin() -> dict[str, Column]:
+    return {"s_source_system": F.lit(SOURCE_SYSTEM)}
+
+
+def _mapped(name: str) -> tuple[str, ...]:
+    return tuple(f"m_{name}{suffix}" for suffix in ("", "_code", "_code_type", "_code_type_oid"))
+
+
 def locations(extract: Extract) -> DataFrame:
     def places(table: str, county: Column) -> DataFrame:
-        return _table("source_location", extract(table), {
-            "k_location": location_key(*_ADDRESS),
-            "s_address_1": "address", "s_city": "city", "s_state": "state", "s_zip": "zip",
-            "s_county": county, "s_country": F.lit("U.S.A."), "s_latitude": "lat", "s_longitude": "lon",
+        return _pick(extract(table), {
+            "k_location": location_key(*_ADDRESS), "s_address_1": "address", "s_city": "city",
+            "s_state": "state", "s_zip": "zip", "s_county": county, "s_latitude": "lat", "s_longitude": "lon",
         })
 
-    return union_distinct([places("patients", F.col("county")), places("organizations", F.lit(None))])
+    both = union_by_name([places("patients", F.col("county")), places("organizations", F.lit(None).cast("string"))])
+    return _stage("source_location", both, {"s_country": F.lit("U.S.A.")})
 
 
 def persons(extract: Extract, lookups: Mapping = LOOKUPS) -> DataFrame:
     df = extract("patients")
-    mapped = []
-    for name in ("race", "ethnicity", "gender"):
+    names = ("race", "ethnicity", "gender")
+    for name in names:
         df = _with_lookup(df, name, name, lookups)
-        mapped += [f"m_{name}", f"m_{name}_code", f"m_{name}_code_type", f"m_{name}_code_type_oid"]
-    return _table("source_person", df, {
+    rows = _pick(df, {
         "s_person_id": "id", "s_birth_datetime": "birthdate", "s_death_datetime": "deathdate",
-        **{f"s_{n}": F.col(n) for n in ("race", "ethnicity", "gender")},
-        "k_location": location_key(*_ADDRESS), **_origin("id"),
-    }, tuple(mapped))
+        **{f"s_{n}": F.col(n) for n in names}, "k_location": location_key(*_ADDRESS), "s_id": "id",
+    }, tuple(c for n in names for c in _mapped(n)))
+    return _stage("source_person", rows, _origin())
 
 
 def care_sites(extract: Extract) -> DataFrame:
-    return _table("source_care_site", extract("organizations"), {
-        "k_care_site": "id", "s_care_site_name": "name", "k_location": location_key(*_ADDRESS),
-    }).distinct()
+    return _stage("source_care_site", _pick(extract("organizations"), {
+        "k_care_site": "id", "s_care_site_name": "name", "k_location": location_key(*_ADDRESS)}))
 
 
 def providers(extract: Extract, lookups: Mapping = LOOKUPS) -> DataFrame:
     df = _with_lookup(extract("providers"), "speciality", "specialty", lookups)
     df = _with_lookup(df, "gender", "gender", lookups)
-    kept = [f"{side}_{n}{suffix}" for n in ("specialty", "gender") for side, suffix in (
-        ("s", ""), ("m", ""), ("m", "_code"), ("m", "_code_type"), ("m", "_code_type_oid"))]
-    return _table("source_provider", df, {
+    return _stage("source_provider", _pick(df, {
         "k_provider": "id", "s_provider_name": "name", "k_care_site": "organization",
-    }, tuple(kept))
+    }, ("s_specialty", *_mapped("specialty"), "s_gender", *_mapped("gender"))))
 
 
 def encounters(extract: Extract, lookups: Mapping = LOOKUPS) -> DataFrame:
     df = _with_lookup(extract("encounters"), "encounterclass", "visit_type", lookups)
-    kept = tuple(f"m_visit_type{s}" for s in ("", "_code", "_code_type", "_code_type_oid"))
-    return _table("source_encounter", df, {
+    rows = _pick(df, {
         "s_encounter_id": "id", "s_person_id": "patient", "s_visit_start_datetime": "start",
         "s_visit_end_datetime": "stop", "s_visit_type": "encounterclass",
-        **_constants("m_visit_source", ENCOUNTER_TYPE),
-        "k_care_site": "organization", "k_provider": "provider", **_origin("id"),
-    }, kept)
+        "k_care_site": "organization", "k_provider": "provider", "s_id": "id",
+    }, _mapped("visit_type"))
+    return _stage("source_encounter", rows, {**_constants("m_visit_source", ENCOUNTER_TYPE), **_origin()})
 
 
 def observation_periods(encounter: DataFrame) -> DataFrame:
     """First start to last end (or start) of a person's encounters that count."""
     kept = encounter.filter(F.col("i_exclude").isNull() | (F.col("i_exclude") == "0"))
     spans = kept.groupBy("s_person_id").agg(
-        F.min("s_visit_start_datetime").alias("first"),
-        F.max(F.coalesce("s_visit_end_datetime", "s_visit_start_datetime")).alias("last"),
+        F.min("s_visit_start_datetime").alias("s_start_observation_datetime"),
+        F.max(F.coalesce("s_visit_end_datetime", "s_visit_start_datetime")).alias("s_end_observation_datetime"),
     )
-    return _table("source_observation_period", spans, {
-        "s_person_id": "s_person_id", "s_start_observation_datetime": "first",
-        "s_end_observation_datetime": "last", **_constants("m_source", EHR_PERIOD_TYPE),
-    })
+    return _stage("source_observation_period", spans, _constants("m_source", EHR_PERIOD_TYPE))
 
 
 def payers(extract: Extract, lookups: Mapping = LOOKUPS) -> DataFrame:
     """Insurance periods; payers without a mapped code are left out. The row identifier
-    is a hash of the row, so it is the same on every run."""
+    is a hash of the row, so it is the same on every run. The layout has none, but
+    relationships refer to it."""
     names = extract("payers").select(F.col("id").alias("payer"), "name")
     spans = extract("payer_transitions").join(names, "payer")
     mapped = _with_lookup(spans, "name", "payer", lookups).filter("m_payer_code is not null")
-    row = F.sha1(F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in ("patient", "start_date", "end_date", "payer")]))
-    made = mapped.select(
-        row.alias("s_id"), F.col("patient").alias("s_person_id"),
-        F.col("start_date").try_cast("timestamp").cast("string").alias("s_payer_start_datetime"),
-        F.col("end_date").try_cast("timestamp").cast("string").alias("s_payer_end_datetime"),
-        F.col("name").alias("s_payer"), "m_payer", "m_payer_code", "m_payer_code_type", "m_payer_code_type_oid",
-    )
-    # The layout has no row identifier, but relationships refer to one.
-    return align(made, PSF_SPECS["source_payer"], keep_others=True)
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in ("patient", "start_date", "end_date", "payer")]
+    return _stage("source_payer", _pick(mapped, {
+        "s_id": F.sha1(F.concat_ws("|", *fields)), "s_person_id": "patient",
+        "s_payer_start_datetime": F.col("start_date").try_cast("timestamp").cast("string"),
+        "s_payer_end_datetime": F.col("end_date").try_cast("timestamp").cast("string"), "s_payer": "name",
+    }, _mapped("payer")))
 
 
 def payer_relationships(payer: DataFrame, encounter: DataFrame) -> DataFrame:
@@ -212,74 +212,81 @@ def payer_relationships(payer: DataFrame, encounter: DataFrame) -> DataFrame:
                              "s_visit_end_datetime", F.col("s_id").alias("_row"))
     periods = payer.select("s_person_id", "s_payer_start_datetime", "s_payer_end_datetime",
                            F.col("s_id").alias("_payer_row"))
-    return _table("source_relationship", payer_at_encounter(sides, periods), {
+    rows = _pick(payer_at_encounter(sides, periods), {
         "s_id": composite_id("s_encounter_id", "_row"),
+        "s_target_from_value": "_payer_row", "s_target_to_value": "s_encounter_id",
+    })
+    return _stage("source_relationship", rows, {
         **_constants("s_relationship", PAYER_RELATIONSHIP),
         "s_target_from_table_name": F.lit("source_payer"), "s_target_from_table_field": F.lit("s_id"),
-        "s_target_from_value": "_payer_row",
-        "s_target_to_table_name": F.lit("source_encounter"),
-        "s_target_to_table_field": F.lit("s_encounter_id"), "s_target_to_value": "s_encounter_id",
+        "s_target_to_table_name": F.lit("source_encounter"), "s_target_to_table_field": F.lit("s_encounter_id"),
     })
 
 
 def conditions(extract: Extract) -> DataFrame:
     """Coded conditions, and the reason of each encounter as a primary diagnosis."""
-    def table(df: DataFrame, encounter: str, code: str, extra: Mapping[str, Column]) -> DataFrame:
-        return _table("source_condition", df, {
+    def coded(df: DataFrame, encounter: str, code: str, status: str | None) -> DataFrame:
+        return _pick(df, {
             "s_person_id": "patient", "s_encounter_id": encounter, "s_start_condition_datetime": "start",
-            "s_end_condition_datetime": "stop", **_coded("s_condition", code, SNOMED),
-            **_constants("m_condition_type", EHR_TYPE), **extra, **_origin(),
+            "s_end_condition_datetime": "stop", "s_condition_code": code,
+            "s_condition_status": F.lit(status).cast("string"),
         })
 
-    reasons = extract("encounters").filter("reasoncode is not null")
-    status = {"s_condition_status": F.lit("Reason"), **_constants("m_condition_status", PRIMARY_DIAGNOSIS)}
-    return union_distinct([
-        table(extract("conditions"), "encounter", "code", {}), table(reasons, "id", "reasoncode", status),
+    both = union_by_name([
+        coded(extract("conditions"), "encounter", "code", None),
+        coded(extract("encounters").filter("reasoncode is not null"), "id", "reasoncode", "Reason"),
     ])
+    is_reason = F.col("s_condition_status") == "Reason"
+    return _stage("source_condition", both, {
+        **_system("s_condition", SNOMED), **_constants("m_condition_type", EHR_TYPE),
+        **{n: F.when(is_reason, v) for n, v in _constants("m_condition_status", PRIMARY_DIAGNOSIS).items()},
+        **_origin(),
+    })
 
 
 def procedures(extract: Extract) -> DataFrame:
-    return _table("source_procedure", extract("procedures"), {
-        **_EVENT, "s_start_procedure_datetime": "start", "s_end_procedure_datetime": "stop",
-        **_coded("s_procedure", "code", SNOMED), **_constants("m_procedure_type", EHR_TYPE), **_origin(),
-    })
+    rows = _pick(extract("procedures"), {
+        **_EVENT, "s_start_procedure_datetime": "start", "s_end_procedure_datetime": "stop", "s_procedure_code": "code"})
+    return _stage("source_procedure", rows, {
+        **_system("s_procedure", SNOMED), **_constants("m_procedure_type", EHR_TYPE), **_origin()})
 
 
 def devices(extract: Extract) -> DataFrame:
-    return _table("source_device", extract("devices"), {
-        **_EVENT, "s_start_device_datetime": "start",
-        "s_end_device_datetime": F.coalesce("stop", "start"), "s_device": "description",
-        **_coded("s_device", "code", SNOMED), "s_unique_device_identifier": "udi",
-        **_constants("m_device_type", EHR_TYPE), **_origin(),
-    })
+    rows = _pick(extract("devices"), {
+        **_EVENT, "s_start_device_datetime": "start", "s_end_device_datetime": F.coalesce("stop", "start"),
+        "s_device": "description", "s_device_code": "code", "s_unique_device_identifier": "udi"})
+    return _stage("source_device", rows, {
+        **_system("s_device", SNOMED), **_constants("m_device_type", EHR_TYPE), **_origin()})
 
 
 def medications(extract: Extract) -> DataFrame:
     """Prescriptions and immunisations, each under its own code system."""
-    def table(df: DataFrame, system: tuple[str, str], start: str, end: Column, extra: Mapping[str, Column]) -> DataFrame:
-        return _table("source_medication", df, {
-            **_EVENT, **_coded("s_drug", "code", system), "s_drug_text": "description",
-            "s_start_medication_datetime": start, "s_end_medication_datetime": end,
-            **_constants("m_drug_type", EHR_TYPE), **extra, **_origin(),
-        })
-
-    return union_distinct([
-        table(extract("medications"), RXNORM, "start", F.coalesce("stop", "start"), {"s_quantity": F.col("dispenses")}),
-        table(extract("immunizations"), CVX, "date", F.col("date"), {}),
+    def drugs(df: DataFrame, system: tuple[str, str], start: str, end: Column, quantity: Column) -> DataFrame:
+        return _pick(df, {
+            **_EVENT, "s_drug_code": "code", "s_drug_code_type": F.lit(system[0]), "s_drug_text": "description",
+            "s_start_medication_datetime": start, "s_end_medication_datetime": end, "s_quantity": quantity})
+
+    both = union_by_name([
+        drugs(extract("medications"), RXNORM, "start", F.coalesce("stop", "start"), F.col("dispenses")),
+        drugs(extract("immunizations"), CVX, "date", F.col("date"), F.lit(None).cast("string")),
     ])
+    oid = F.when(F.col("s_drug_code_type") == RXNORM[0], F.lit(RXNORM[1])).otherwise(F.lit(CVX[1]))
+    return _stage("source_medication", both, {
+        "s_drug_code_type_oid": oid, **_constants("m_drug_type", EHR_TYPE), **_origin()})
 
 
 def results(extract: Extract, lookups: Mapping = LOOKUPS) -> DataFrame:
     """Observations; texts are looked up for a code, numbers are not."""
     df = _with_lookup(extract("observations"), "value", "result", lookups, when=F.col("type") == "text")
-    return _table("source_result", df, {
-        **_EVENT, "s_obtained_datetime": "date", "s_name": "description", **_coded("s", "code", LOINC),
+    rows = _pick(df, {
+        **_EVENT, "s_obtained_datetime": "date", "s_name": "description", "s_code": "code",
         "s_result_text": split_by_type("value", "type", "text"),
         "s_result_numeric": split_by_type("value", "type", "numeric"),
-        "s_result_unit": "units", **_coded("s_result_unit", "units", UCUM),
-        "s_source": F.lit(EHR_TYPE[0]),
-        **{k: v for k, v in _constants("m_source", EHR_TYPE).items() if k != "m_source"}, **_origin(),
-    }, ("m_result_code", "m_result_code_type", "m_result_code_type_oid"))
+        "s_result_unit": "units", "s_result_unit_code": "units",
+    }, _mapped("result")[1:])
+    typed = _constants("m_source", EHR_TYPE)
+    typed["s_source"] = typed.pop("m_source")
+    return _stage("source_result", rows, {**_system("s", LOINC), **_system("s_result_unit", UCUM), **typed, **_origin()})
 
 
 EMPTY_TABLES = ("source_encounter_detail", "source_person_map", "source_encounter_map", "source_note")
@@ -288,7 +295,7 @@ EMPTY_TABLES = ("source_encounter_detail", "source_person_map", "source_encounte
 def staging_tables(spark: SparkSession, extract: Extract, lookups: Mapping = LOOKUPS) -> dict[str, DataFrame]:
     """Every staging table of an extract, with row ids."""
     encounter, payer = encounters(extract, lookups), payers(extract, lookups)
-    made = {
+    tables = {
         "source_location": locations(extract), "source_person": persons(extract, lookups),
         "source_care_site": care_sites(extract), "source_provider": providers(extract, lookups),
         "source_encounter": encounter, "source_observation_period": observation_periods(encounter),
@@ -297,7 +304,6 @@ def staging_tables(spark: SparkSession, extract: Extract, lookups: Mapping = LOO
         "source_device": devices(extract), "source_medication": medications(extract),
         "source_result": results(extract, lookups),
     }
-    tables = {name: distinct_with_row_id(df) for name, df in made.items()}
     return tables | {name: PSF_SPECS[name].empty(spark, g_id="bigint") for name in EMPTY_TABLES}
 
 
