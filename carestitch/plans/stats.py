@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import small
 from ..operators.percentiles import exact_percentiles
 
 Tables = Callable[[str], DataFrame]
@@ -86,9 +87,16 @@ def _by_year(table: str, date: str, year: str, rows: bool = True):
 
 
 def measurement_concepts(tables: Tables) -> DataFrame:
-    """Counts, ranges and exact quartiles per measurement concept and unit."""
-    units = tables("concept").select(F.col("concept_id").alias("unit_concept_id"),
-                                     F.col("concept_code").alias("unit_concept_code"))
+    """Counts, ranges and exact quartiles per measurement concept and unit.
+
+    The group is the unit's code, so units are joined before counting. Only the units in
+    use are joined, and counted first: as a rule a few hundred, which are then broadcast.
+    """
+    used = tables("measurement").select("unit_concept_id").distinct()
+    units = tables("concept").select(
+        F.col("concept_id").alias("unit_concept_id"), F.col("concept_code").alias("unit_concept_code")
+    ).join(used, "unit_concept_id", "left_semi")
+    units = small(units, units.count())
     facts = tables("measurement").select(
         "person_id", "measurement_concept_id", "unit_concept_id", "value_as_number", "measurement_date"
     ).join(units, "unit_concept_id", "left")
