@@ -5,19 +5,41 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .mixing import mix_sources
 from .near_duplicates import near_duplicates
+from .quality import fit_quality, held_out, score_quality
+from .units import remove_repeated_units
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_subset_sum_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix_sources(_table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op5_line_hashing(spark: SparkSession, folder: str) -> DataFrame:
+    done = remove_repeated_units(_table(spark, folder, "documents").select("doc_id", "text"))
+    return done.select("doc_id", F.col("kept_text").alias("text"), "n_units", "n_removed", "kept", "removed")
+
+
 def op6_superminhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"))
 
 
+def op7_pu_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    scored = score_quality(docs, fit_quality(docs, _table(spark, folder, "labels")))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_subset_sum_mixing": op3_subset_sum_mixing,
+    "op5_line_hashing": op5_line_hashing,
     "op6_superminhash_near_duplicates": op6_superminhash_near_duplicates,
+    "op7_pu_quality_classifier": op7_pu_quality_classifier,
 }
 ORACLES: dict[str, str] = {}
