@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from .mixing import mix_sources
 from .near_duplicates import near_duplicates
+from .packing import pack_documents
 from .quality import fit_quality, held_out, score_quality
 from .units import remove_repeated_units
 
@@ -36,10 +39,16 @@ def op7_pu_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op10_cost_balanced_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(_table(spark, folder, "documents"), keep_ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_subset_sum_mixing": op3_subset_sum_mixing,
     "op5_line_hashing": op5_line_hashing,
     "op6_superminhash_near_duplicates": op6_superminhash_near_duplicates,
     "op7_pu_quality_classifier": op7_pu_quality_classifier,
+    "op10_cost_balanced_packing": op10_cost_balanced_packing,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {}
