@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
+from . import chat
 from .mixing import mix_sources
 from .near_duplicates import near_duplicates
 from .packing import pack_documents
@@ -20,6 +21,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_budgeted_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.conversation_digests(chat.chat_windows(chat.hostile_conversation(_table(spark, folder, "conversations"))))
+
+
 def op3_subset_sum_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(_table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -44,6 +49,7 @@ def op10_cost_balanced_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_budgeted_chat_windows": op1_budgeted_chat_windows,
     "op3_subset_sum_mixing": op3_subset_sum_mixing,
     "op5_line_hashing": op5_line_hashing,
     "op6_superminhash_near_duplicates": op6_superminhash_near_duplicates,
@@ -51,4 +57,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_cost_balanced_packing": op10_cost_balanced_packing,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_budgeted_chat_windows": chat.SQL}
