@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 from . import chat
+from .hamming_index import nearest
 from .mixing import mix_sources
 from .near_duplicates import near_duplicates
 from .packing import pack_documents
@@ -25,6 +26,10 @@ def op1_budgeted_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
     return chat.conversation_digests(chat.chat_windows(chat.hostile_conversation(_table(spark, folder, "conversations"))))
 
 
+def op2_multi_index_hashing(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(_table(spark, folder, "embeddings"))
+
+
 def op3_subset_sum_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(_table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -50,6 +55,7 @@ def op10_cost_balanced_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_budgeted_chat_windows": op1_budgeted_chat_windows,
+    "op2_multi_index_hashing": op2_multi_index_hashing,
     "op3_subset_sum_mixing": op3_subset_sum_mixing,
     "op5_line_hashing": op5_line_hashing,
     "op6_superminhash_near_duplicates": op6_superminhash_near_duplicates,
