@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 from . import chat
+from .fingerprints import document_fingerprints
 from .hamming_index import nearest
 from .mixing import mix_sources
 from .near_duplicates import near_duplicates
@@ -49,6 +50,10 @@ def op7_pu_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op8_imatch_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return document_fingerprints(_table(spark, folder, "documents"))
+
+
 def op10_cost_balanced_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(_table(spark, folder, "documents"), keep_ids=False)
 
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_hashing": op5_line_hashing,
     "op6_superminhash_near_duplicates": op6_superminhash_near_duplicates,
     "op7_pu_quality_classifier": op7_pu_quality_classifier,
+    "op8_imatch_fingerprints": op8_imatch_fingerprints,
     "op10_cost_balanced_packing": op10_cost_balanced_packing,
     "pipeline": corpus_pipeline.run,
 }
