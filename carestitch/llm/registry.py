@@ -16,6 +16,7 @@ from .mixing import mix_sources
 from .near_duplicates import near_duplicates
 from .packing import pack_documents
 from .quality import fit_quality, held_out, score_quality
+from .suffixes import repeated_bytes
 from .units import remove_repeated_units
 
 
@@ -54,6 +55,10 @@ def op8_imatch_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return document_fingerprints(_table(spark, folder, "documents"))
 
 
+def op9_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_bytes(_table(spark, folder, "documents")).drop("removed")
+
+
 def op10_cost_balanced_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(_table(spark, folder, "documents"), keep_ids=False)
 
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_superminhash_near_duplicates": op6_superminhash_near_duplicates,
     "op7_pu_quality_classifier": op7_pu_quality_classifier,
     "op8_imatch_fingerprints": op8_imatch_fingerprints,
+    "op9_suffix_repeats": op9_suffix_repeats,
     "op10_cost_balanced_packing": op10_cost_balanced_packing,
     "pipeline": corpus_pipeline.run,
 }

@@ -32,3 +32,11 @@ def cut(df: DataFrame, name: str = "table") -> DataFrame:
     path = f"{folder(df.sparkSession)}/{name}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove shuffle files of earlier steps now: it does so when their plans are collected as garbage."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
