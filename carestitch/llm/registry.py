@@ -17,6 +17,7 @@ from .near_duplicates import near_duplicates
 from .packing import pack_documents
 from .quality import fit_quality, held_out, score_quality
 from .suffixes import repeated_bytes
+from .training_order import order_digests
 from .units import remove_repeated_units
 
 
@@ -36,6 +37,10 @@ def op3_subset_sum_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(_table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_training_order(spark: SparkSession, folder: str) -> DataFrame:
+    return order_digests(_table(spark, folder, "documents"))
+
+
 def op5_line_hashing(spark: SparkSession, folder: str) -> DataFrame:
     done = remove_repeated_units(_table(spark, folder, "documents").select("doc_id", "text"))
     return done.select("doc_id", F.col("kept_text").alias("text"), "n_units", "n_removed", "kept", "removed")
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_budgeted_chat_windows": op1_budgeted_chat_windows,
     "op2_multi_index_hashing": op2_multi_index_hashing,
     "op3_subset_sum_mixing": op3_subset_sum_mixing,
+    "op4_training_order": op4_training_order,
     "op5_line_hashing": op5_line_hashing,
     "op6_superminhash_near_duplicates": op6_superminhash_near_duplicates,
     "op7_pu_quality_classifier": op7_pu_quality_classifier,
