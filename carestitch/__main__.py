@@ -5,7 +5,7 @@
     python -m carestitch stage-ehr   -c config.json
     python -m carestitch stage-ccda  -d documents -o staged --salt text
     python -m carestitch map         -c config.json
-    python -m carestitch report      -m manifest.json [--extended]
+    python -m carestitch report      -m manifest.json -o folder [--extended]
     python -m carestitch publish     -m manifest.json -n database -d location [--format delta]
     python -m carestitch jdbc        -m manifest.json -c config.json [--schema s] [-x]
     python -m carestitch cdm-source  -n database -c metadata.json
@@ -17,7 +17,7 @@ import argparse
 import json
 
 from .plans.cdm_source import populate_cdm_source
-from .plans.pipeline import map_to_cdm, run_report, stage_documents
+from .plans.pipeline import map_to_cdm, stage_documents, write_report
 from .session import get_session
 from .sinks.parquet import read_manifest
 from .sinks.publish import jdbc_targets, publish_tables, write_jdbc
@@ -71,9 +71,8 @@ def main() -> None:
     elif args.step == "map":
         map_to_cdm(spark, config, args.manifest or f"{args.config}.generated.parquet.json")
     elif args.step == "report":
-        for name, df in run_report(spark, manifest, args.extended).items():
-            print(name)
-            df.show(100, truncate=False)
+        for name, path in write_report(spark, manifest, args.output, args.extended).items():
+            print(name, spark.read.parquet(path).count(), path)
     elif args.step == "publish":
         publish_tables(spark, manifest, args.database, args.directory, args.format)
     elif args.step == "jdbc":

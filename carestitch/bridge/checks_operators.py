@@ -47,6 +47,7 @@ def _(b: Bridge):
         F.col("g_id").alias("location_id"), F.col("s_city").alias("city"), F.col("s_state").alias("state"),
         F.col("s_latitude").alias("latitude"), F.col("s_county").alias("extra_county"))
     aligned = align(df, cdm_spec("location"), keep_others=True)
+    assert aligned.columns == [*cdm_spec("location").columns, "extra_county"]
     return aligned.select("city", "state", "latitude", "address_2", "location_id", "extra_county")
 
 
@@ -307,6 +308,16 @@ def _(b: Bridge):
     return payer_at_encounter(b("source_encounter").drop("s_id"), periods).select("s_encounter_id", "payer_row")
 
 
+@check("payer_open_periods", """select e.s_encounter_id, p.s_id as payer_row from {source_encounter} e
+        join {source_payer} p on p.s_person_id = e.s_person_id
+        and cast(coalesce(e.s_visit_end_datetime, e.s_visit_start_datetime) as timestamp)
+          >= cast(p.s_payer_start_datetime as timestamp)""")
+def _(b: Bridge):
+    """Periods that are open until 9999 meet every later encounter, listed for the years of encounters only."""
+    periods = b("source_payer").select("s_person_id", "s_payer_start_datetime", F.lit("9999-12-31").alias("s_payer_end_datetime"), F.col("s_id").alias("payer_row"))
+    return payer_at_encounter(b("source_encounter").drop("s_id"), periods).select("s_encounter_id", "payer_row")
+
+
 # -- vocabulary and code resolution -------------------------------------------------------
 
 

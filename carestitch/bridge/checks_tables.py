@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators.route import in_domain
 from ..plans import builds as B
-from ..plans.relationships import Relationship, build_fact_relationship
+from ..plans.relationships import Relationship, build_fact_relationship, unknown_links
+from ..specs import cdm_specs
 from .oracle import day, moment, routed
 from .registry import check, portable
 from .views import Bridge
@@ -53,6 +54,30 @@ _dimension(B.NOTE, "o_note", (
     "note_type_concept_id encoding_concept_id note_source_value note_title note_text s_id"))
 
 
+def _older(table: str, view: str, columns: dict[str, str]) -> None:
+    """A table of version 5.3.1, all its columns in their order asked for by name."""
+    names = ", ".join(f"{expression} as {name}" for name, expression in columns.items())
+
+    @check(f"build_{table}_531", f"select {names} from {{{view}}}")
+    def _(b: Bridge):
+        built = b.plans_531._build(table)
+        layout = list(cdm_specs("5.3.1")[table].columns)
+        assert built.columns[:len(layout)] == layout, (table, built.columns)
+        return portable(built.select(*columns))
+
+
+_SAME = lambda names: {n: n for n in names.split()}
+_older("location", "o_location", _SAME("location_id address_1 city state county location_source_value"))
+_older("visit_occurrence", "o_visit", _SAME(
+    "visit_occurrence_id person_id visit_concept_id visit_type_concept_id visit_start_date visit_source_value s_id") | {
+    "admitting_source_value": "admitted_from_source_value", "admitting_source_concept_id": "admitted_from_concept_id",
+    "discharge_to_source_value": "discharged_to_source_value", "discharge_to_concept_id": "discharged_to_concept_id"})
+for _table, _subject in (("procedure_occurrence", "procedure"), ("drug_exposure", "drug"), ("observation", "observation")):
+    _older(_table, f"o_{_table}", _SAME("person_id visit_occurrence_id s_id") | {
+        f"{_subject}_concept_id": "concept_id", f"{_subject}_source_concept_id": "source_concept_id",
+        f"{_subject}_source_value": "code", f"{_subject}_type_concept_id": "type_concept_id"})
+
+
 @check("build_visit_source_link",
        "select visit_occurrence_id, s_encounter_id, person_id, s_person_id from {o_link}")
 def _(b: Bridge):
@@ -132,6 +157,23 @@ def _(b: Bridge):
     return relationship_frame(b, b.plans.table)
 
 
+@check("fact_relationship_two_codes", """select f.domain_concept_id_1, f.domain_concept_id_2, count(*) as n_rows
+        from {o_fact_relationship} f group by f.domain_concept_id_1, f.domain_concept_id_2""")
+def _(b: Bridge):
+    """A second, unknown code under the same name and tables: all rows stay linked."""
+    links = b("source_relationship").withColumn("s_relationship_code", F.when(F.col("g_id") % 2 == 0, F.col("s_relationship_code")).otherwise("none"))
+    made = build_fact_relationship(links, [Relationship("payer", "payer_plan_period", "visit_occurrence")], b, b.plans.table, b("concept"), b("oid_map"))
+    return made.groupBy("domain_concept_id_1", "domain_concept_id_2").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@check("unknown_links", """select 'payer' as s_relationship, 'source_payer' as s_target_from_table_name,
+        'no_column' as s_target_from_table_field, count(*) as n_rows from {source_relationship}""")
+def _(b: Bridge):
+    """Links that name a column which isn't there are counted, not an error."""
+    links = b("source_relationship").withColumn("s_target_from_table_field", F.lit("no_column"))
+    return unknown_links(links, b).select("s_relationship", "s_target_from_table_name", "s_target_from_table_field", "n_rows")
+
+
 @check("combine_domains", " union all ".join(
     f"select '{t}' as cdm_table, g_source_table_name, count(*) as n_rows, count(*) as n_keys "
     f"from {{o_{t}}} group by g_source_table_name" for t in B.PRIMARY_KEYS))

@@ -47,25 +47,39 @@ def composite_id(*parts: Column | str) -> Column:
 
 
 def add_row_id(df: DataFrame, keys: Sequence[str] | None = None, out: str = "g_id") -> DataFrame:
-    """Unique positive 64-bit id per row, depending only on the row's key columns.
+    """Unique positive 64-bit id per row, the same on every run over the same rows.
 
     ``keys`` (all columns by default) must be unique. The rows are hashed into buckets, so
-    no bucket is hot even if single columns are, and numbered inside their bucket.
+    no bucket is hot even if single columns are, and numbered inside their bucket. The
+    number is a rank: ids hold within one staging run, and more rows may change them. So a
+    run replaces whole tables (``sinks.parquet.write_staged``).
     """
     keys = list(keys or df.columns)
+    return _numbered(_bucketed(df, keys), keys, out)
+
+
+def _bucketed(df: DataFrame, keys: list[str]) -> DataFrame:
     row_hash = F.xxhash64(*keys)
-    bucket = F.pmod(row_hash, F.lit(1 << BUCKET_BITS))
+    return df.withColumns({"_bucket": F.pmod(row_hash, F.lit(1 << BUCKET_BITS)), "_hash": row_hash})
+
+
+def _numbered(df: DataFrame, keys: list[str], out: str) -> DataFrame:
     inside = Window.partitionBy("_bucket").orderBy("_hash", *keys)
     return (
-        df.withColumns({"_bucket": bucket, "_hash": row_hash})
-        .withColumn(out, F.shiftleft((F.row_number().over(inside) - 1).cast("bigint"), BUCKET_BITS) + F.col("_bucket"))
+        df.withColumn(out, F.shiftleft((F.row_number().over(inside) - 1).cast("bigint"), BUCKET_BITS) + F.col("_bucket"))
         .drop("_bucket", "_hash")
     )
 
 
 def distinct_with_row_id(df: DataFrame, out: str = "g_id") -> DataFrame:
-    """Distinct rows, each with a surrogate id."""
-    return add_row_id(df.distinct(), out=out)
+    """Distinct rows, each with a surrogate id.
+
+    Rows are dealt out by their bucket once; that also brings equal rows together, so the
+    distinct and the numbering need no exchange of their own.
+    """
+    keys = df.columns
+    dealt = _bucketed(df, keys).repartition("_bucket")
+    return _numbered(dealt.dropDuplicates(["_bucket", "_hash", *keys]), keys, out)
 
 
 def fact_id(row_id: Column | str, ordinal: Column | int = 0, contributor: int = 0) -> Column:

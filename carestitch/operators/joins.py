@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 500_000
@@ -88,17 +88,28 @@ def align_to_visit(facts: DataFrame, visit_link: DataFrame, how: str = "left",
     )
 
 
+def _year_list(first: Column, last: Column) -> Column:
+    """The years from first to last; none if they are the other way round."""
+    return F.when(first <= last, F.sequence(first, last))
+
+
 def payer_at_encounter(encounter: DataFrame, payer: DataFrame) -> DataFrame:
     """Pairs of encounter and payer period of one person where the encounter's end (or
     start) lies in the period; open periods never match.
 
     The range join runs as an equi-join on person and calendar year: a period is listed
     once per year it touches, an encounter falls in exactly one year, so every pair meets
-    once and a person with very many rows is spread over the years.
+    once and a person with very many rows is spread over the years. Only years in which
+    encounters end are listed: an open-ended period (until 9999) has as many rows as those.
     """
     encounters = encounter.withColumn(
         "_at", F.coalesce("s_visit_end_datetime", "s_visit_start_datetime").try_cast("timestamp")
     ).withColumn("_year", F.year("_at"))
+    bounds = encounters.agg(F.min("_year").alias("_first"), F.max("_year").alias("_last"))
+
+    def years(side: str) -> Column:
+        return bounds.select(side).scalar()
+
     periods = (
         payer.withColumnRenamed("s_person_id", "_payer_person_id")
         .withColumns({
@@ -106,7 +117,8 @@ def payer_at_encounter(encounter: DataFrame, payer: DataFrame) -> DataFrame:
             "_to": F.col("s_payer_end_datetime").try_cast("timestamp"),
         })
         .filter(F.col("_from") <= F.col("_to"))
-        .withColumn("_payer_year", F.explode(F.sequence(F.year("_from"), F.year("_to"))))
+        .withColumn("_payer_year", F.explode(_year_list(
+            F.greatest(F.year("_from"), years("_first")), F.least(F.year("_to"), years("_last")))))
     )
     return encounters.join(
         periods,

@@ -16,7 +16,7 @@ from ..operators.resolve import resolve_fanout, resolve_fields, used_pairs
 from ..operators.route import combine, in_domain
 from ..operators.vocab import Codebook
 from ..specs import cdm_spec, psf_spec
-from ..specs.cdm import _NAMES_IN_531, LINEAGE, normalise_version
+from ..specs.cdm import LINEAGE, NAMES_IN_531, normalise_version
 from . import builds as B
 
 # What facts are linked to: table, natural key, surrogate.
@@ -143,7 +143,7 @@ class CdmBuilder:
     def _columns(self, route: B.Route) -> dict[str, str]:
         if self.version != "5.3.1":
             return dict(route.columns)
-        return {_NAMES_IN_531.get(n, n): e for n, e in route.columns.items()}
+        return {NAMES_IN_531.get(n, n): e for n, e in route.columns.items()}
 
     def _project(self, df: DataFrame, build: B.SourceBuild, route: B.Route) -> DataFrame:
         columns = {n: F.expr(e) for n, e in self._columns(route).items()}

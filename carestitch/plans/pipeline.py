@@ -23,7 +23,7 @@ from ..specs.vocabulary import OID_TO_VOCABULARY
 from . import builds as B
 from .cdm import CdmBuilder, StableIds
 from .cdm_source import build_cdm_source
-from .relationships import build_fact_relationship, relationships_from_config
+from .relationships import build_fact_relationship, relationships_from_config, unknown_links
 from .stats import report
 
 # Groups of the manifest.
@@ -105,6 +105,9 @@ def map_to_cdm(spark: SparkSession, config: Mapping, manifest_path: str | None =
             builder.table, vocabulary["concept"], oids)
         for table, wanted in relationships_from_config(config).items()
     ] or [cdm_specs(version)["fact_relationship"].empty(spark)]
+    for table in relationships_from_config(config):
+        unknown = unknown_links(spark.read.parquet(table_path(source_base, table)), sources.__getitem__)
+        write(f"support/{table}_unknown_links", unknown)
     write_and_reload(union_by_name(linked), table_path(output, "fact_relationship"), "relationship_concept_id")
 
     manifest = {
@@ -121,6 +124,7 @@ def stage_documents(spark: SparkSession, path: str, salt: str, output: str) -> d
     """C-CDA documents below a folder to staged tables; tables they do not feed are empty."""
     documents = ccda.parse_documents(ccda.read_documents(spark, path, salt))
     parsed = write_and_reload(documents, table_path(output, "support/documents"))
+    write_and_reload(ccda.rejected_documents(parsed), table_path(output, "support/rejected_documents"))
     tables = ccda.combine_fragments(ccda.extract_fragments(parsed))
     staged = {name: distinct_with_row_id(df) for name, df in tables.items()}
     for name in STAGED_TABLES:
@@ -133,3 +137,9 @@ def run_report(spark: SparkSession, manifest: Mapping[str, Mapping[str, str]], e
     attached = attach_catalog(spark, manifest)
     tables = {name: df for group in attached.values() for name, df in group.items()}
     return report(tables.__getitem__, extended)
+
+
+def write_report(spark: SparkSession, manifest: Mapping[str, Mapping[str, str]], output: str,
+                 extended: bool = False) -> dict[str, str]:
+    """Every statistic as a whole table below a folder; returns their paths."""
+    return export_tables(run_report(spark, manifest, extended), output)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.project import union_by_name
-from ..specs import cdm_spec
+from ..specs import PSF_SPECS, cdm_spec
 from ..specs.cdm import LINEAGE
 
 # CDM table → name of its domain concept.
@@ -32,7 +32,19 @@ DOMAIN_OF_TABLE = {
 _LINK = ("s_target_from_table_name", "s_target_from_table_field",
          "s_target_to_table_name", "s_target_to_table_field")
 _CODE = ("s_relationship_code", "s_relationship_code_type_oid")
-_MAX_LINKS = 1_000
+def _known_ends(links: DataFrame, source: Callable[[str], DataFrame]) -> Column:
+    """Whether both ends of a link name a staging table and one of its columns."""
+    pairs = [_LINK[:2], _LINK[2:]]
+    tables = [F.col(table).isin(list(PSF_SPECS)) for table, _ in pairs]
+    used = links.filter(tables[0] & tables[1]).select(pairs[0][0], pairs[1][0]).distinct().collect()  # pairs of tables
+    fields = [f"{table}.{field}" for table in {t for row in used for t in row} for field in source(table).columns]
+    ends = [F.concat(table, F.lit("."), field).isin(fields) for table, field in pairs]
+    return F.coalesce(ends[0] & ends[1], F.lit(False))
+
+
+def unknown_links(links: DataFrame, source: Callable[[str], DataFrame]) -> DataFrame:
+    """Links that name no staging table or column, counted by what they name."""
+    return links.filter(~_known_ends(links, source)).groupBy("s_relationship", *_LINK).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @dataclass(frozen=True)
@@ -59,31 +71,32 @@ def build_fact_relationship(links: DataFrame, wanted: list[Relationship],
                             concept: DataFrame, oid_map: DataFrame) -> DataFrame:
     """One row per staging relationship whose two ends became CDM rows.
 
-    Which tables and fields the two ends name, and under which code, is data; the distinct
-    combinations are read once (their number is bounded by the columns of the staging
-    layouts) and each becomes one chain of equi-joins on row keys. Concept ids are scalar
-    subqueries: a join on a constant would send every row to one task.
+    Which tables and fields the two ends name is data, checked against the staging tables
+    (``unknown_links`` counts the others); each combination becomes one chain of equi-joins
+    on row keys. Relationship codes are data as well and resolved by a join with the codes
+    in use.
     """
 
-    def concept_id(found: DataFrame) -> Column:
+    def domain_id(table: str) -> Column:
+        found = domains.filter(F.col("concept_name") == DOMAIN_OF_TABLE[table])
         return F.coalesce(found.agg(F.min("concept_id")).scalar(), F.lit(0))
 
     domains = concept.filter("domain_id = 'Metadata' and vocabulary_id = 'Domain'")
-    coded = concept.join(oid_map, "vocabulary_id")
+    coded = concept.join(oid_map, "vocabulary_id").select(F.col("concept_code").alias(_CODE[0]), F.col("oid").alias(_CODE[1]), "concept_id")
+    known = links.filter(_known_ends(links, source))
+    codes = known.select(*_CODE).distinct().join(coded, list(_CODE)).groupBy(*_CODE).agg(F.min("concept_id").alias("relationship_concept_id"))
     parts = []
     for rel in wanted:
-        rows = links.filter(F.col("s_relationship") == rel.s_relationship)
-        shapes = rows.select(*_LINK, *_CODE).distinct().limit(_MAX_LINKS + 1).collect()
-        if len(shapes) > _MAX_LINKS:
-            raise ValueError(f"relationship {rel.s_relationship!r} names over {_MAX_LINKS} table pairs")
-        for shape in shapes:
+        rows = known.filter(F.col("s_relationship") == rel.s_relationship)
+        for shape in rows.select(*_LINK).distinct().collect():  # combinations of staging columns
             ends = {
                 "1": (rel.table_from, shape.s_target_from_table_name, shape.s_target_from_table_field),
                 "2": (rel.table_to, shape.s_target_to_table_name, shape.s_target_to_table_field),
             }
-            same = [F.col(name).eqNullSafe(shape[name]) for name in (*_LINK, *_CODE)]
-            part = rows.filter(reduce(Column.__and__, same)).select(
-                F.col("s_target_from_value").alias("_value_1"), F.col("s_target_to_value").alias("_value_2")
+            same = [F.col(name) == shape[name] for name in _LINK]
+            part = rows.filter(reduce(Column.__and__, same)).join(codes, list(_CODE), "left").select(
+                F.col("s_target_from_value").alias("_value_1"), F.col("s_target_to_value").alias("_value_2"),
+                F.coalesce("relationship_concept_id", F.lit(0)).alias("relationship_concept_id"),
             )
             columns = {}
             for side, (table, source_table, source_field) in ends.items():
@@ -92,13 +105,7 @@ def build_fact_relationship(links: DataFrame, wanted: list[Relationship],
                                          source_table, source_field, side),
                     f"_value_{side}",
                 )
-                columns[f"domain_concept_id_{side}"] = concept_id(
-                    domains.filter(F.col("concept_name") == DOMAIN_OF_TABLE[table])
-                )
-            code, oid = (F.lit(shape[c]) for c in _CODE)
-            columns["relationship_concept_id"] = concept_id(
-                coded.filter((F.col("concept_code") == code) & (F.col("oid") == oid))
-            )
+                columns[f"domain_concept_id_{side}"] = domain_id(table)
             parts.append(part.withColumns(columns).select(
                 "domain_concept_id_1", "fact_id_1", "domain_concept_id_2", "fact_id_2",
                 "relationship_concept_id",

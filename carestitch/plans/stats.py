@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import small
 from ..operators.percentiles import exact_percentiles
 
 Tables = Callable[[str], DataFrame]
@@ -42,10 +41,17 @@ def with_ratio(df: DataFrame) -> DataFrame:
 
 
 def _total(table: str, distinct: dict[str, str], per_person: bool = True):
-    """Rows and distinct keys of a whole table."""
+    """Rows and distinct keys of a whole table.
+
+    Each key is counted on its own: several distinct counts in one aggregate would list
+    every row once for each of them.
+    """
 
     def run(tables: Tables) -> DataFrame:
-        counts = tables(table).agg(*_distinct(distinct), _rows())
+        counts = tables(table).agg(_rows())
+        for out, column in distinct.items():
+            counts = counts.withColumn(out, tables(table).agg(F.count_distinct(column)).scalar())
+        counts = counts.select(*distinct, "n_r")
         return with_person_total(counts, tables) if per_person else counts
 
     return run
@@ -89,14 +95,13 @@ def _by_year(table: str, date: str, year: str, rows: bool = True):
 def measurement_concepts(tables: Tables) -> DataFrame:
     """Counts, ranges and exact quartiles per measurement concept and unit.
 
-    The group is the unit's code, so units are joined before counting. Only the units in
-    use are joined, and counted first: as a rule a few hundred, which are then broadcast.
+    The group is the unit's code, so units are joined before counting. Only units in use are
+    joined, as a rule a few hundred; how is left to the sizes found while the query runs.
     """
     used = tables("measurement").select("unit_concept_id").distinct()
     units = tables("concept").select(
         F.col("concept_id").alias("unit_concept_id"), F.col("concept_code").alias("unit_concept_code")
     ).join(used, "unit_concept_id", "left_semi")
-    units = small(units, units.count())
     facts = tables("measurement").select(
         "person_id", "measurement_concept_id", "unit_concept_id", "value_as_number", "measurement_date"
     ).join(units, "unit_concept_id", "left")

@@ -17,8 +17,11 @@ def table_path(base: str, name: str) -> str:
 
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder every executor can reach: below the session's checkpoint folder, or
-    a local temporary one where the session names none (tests on one machine)."""
+    a local temporary one where the session names none and runs in one process (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
+    master = spark.sparkContext.master
+    if not named and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     base = named.rstrip("/") if named else tempfile.mkdtemp(prefix="carestitch-")
     return f"{base}/carestitch-{uuid.uuid4().hex}"
 
@@ -71,18 +74,19 @@ def write_by_domain(df: DataFrame, path: str) -> DataFrame:
     return write_and_reload(df.hint("rebalance", "mapped_domain_id"), path, "mapped_domain_id")
 
 
-def write_staged(df: DataFrame, path: str, split_by: str) -> DataFrame:
+def write_staged(df: DataFrame, path: str, split_by: str, partial: bool = False) -> DataFrame:
     """A large table built in one job, laid out by a chosen column and by domain.
 
-    Only the partitions present in the frame are replaced, so a run may cover some values
-    of the split column.
+    The whole table is replaced, so nothing of an earlier run stays. With ``partial`` only
+    the partitions present in the frame are: for frames that cover some values of the split
+    column within one staging run (row ids hold for one run).
     """
     keys = [split_by, "mapped_domain_id"]
     (
         df.hint("rebalance", *keys).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+        .option("partitionOverwriteMode", "dynamic" if partial else "static").partitionBy(*keys).parquet(path)
     )
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    return _reload(df, path, not partial)
 
 
 def distinct_splits(df: DataFrame, column: str) -> DataFrame:

@@ -72,13 +72,27 @@ DOCUMENT_SCHEMA = (
 )
 
 
+_UNREADABLE = "_unreadable"
+
+
 def read_documents(spark: SparkSession, path: str, salt: str) -> DataFrame:
     """Documents below a folder; all files of one folder belong to one person."""
-    files = spark.read.option("pathGlobFilter", "*.xml").option("recursiveFileLookup", True).text(path, wholetext=True)
-    named = files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("xml"))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").option("recursiveFileLookup", True).load(path)
+    named = files.select(F.col("_metadata.file_path").alias("path"), _decoded(F.col("content")).alias("xml"))
     return with_person(named, salt)
 
 
+def _decoded(content: Column) -> Column:
+    """A file's text by its byte order mark or the encoding its first line declares; UTF-8 otherwise."""
+    start = F.decode(F.substring(content, 1, 200), "ISO-8859-1")
+    declared = F.upper(F.regexp_extract(start, r"""encoding\s*=\s*["']([^"']+)""", 1))
+    mark = F.hex(F.substring(content, 1, 2))
+    text = F.decode(content, "UTF-8")
+    for charset in ("ISO-8859-1", "US-ASCII"):
+        text = F.when(declared == charset, F.decode(content, charset)).otherwise(text)
+    return F.when(mark.isin("FEFF", "FFFE"), F.decode(content, "UTF-16")).otherwise(F.regexp_replace(text, r"\A\x{FEFF}", ""))
+
+
 def with_person(documents: DataFrame, salt: str) -> DataFrame:
     """(path, xml) with the person key of the folder and the file's short name."""
     folder = F.regexp_replace("path", r"/[^/]*$", "")
@@ -91,10 +105,18 @@ def with_person(documents: DataFrame, salt: str) -> DataFrame:
 def parse_documents(documents: DataFrame) -> DataFrame:
     """The documents with their parsed content. Materialise this when several sections
     are extracted: a reader of the written table then touches one section's columns."""
-    parsed = F.from_xml("xml", DOCUMENT_SCHEMA, {"valueTag": "_text", "attributePrefix": "_"})
+    options = {"valueTag": "_text", "attributePrefix": "_", "columnNameOfCorruptRecord": _UNREADABLE}
+    parsed = F.from_xml("xml", f"{DOCUMENT_SCHEMA}, {_UNREADABLE} string", options)
     return documents.withColumn("doc", parsed)
 
 
+def rejected_documents(parsed: DataFrame) -> DataFrame:
+    """Files that are no readable XML, with the reason; they feed no table."""
+    empty = F.col("xml").isNull() | (F.trim("xml") == "")
+    broken = F.col("doc").isNull() | F.col(f"doc.{_UNREADABLE}").isNotNull()
+    return parsed.filter(empty | broken).select("path", F.when(empty, "empty").otherwise("not well-formed").alias("reason"))
+
+
 # -- expressions over parsed arrays -------------------------------------------------------
 
 def _present(values: Column) -> Column:
@@ -288,7 +310,7 @@ def _narrative(xml: pd.Series, wanted: pd.Series) -> pd.Series:
     """Texts of the content and paragraph elements a document's notes refer to."""
     def texts(document: str, references) -> dict[str, str]:
         found = {"content": {}, "paragraph": {}}
-        for element in ElementTree.fromstring(document.encode("utf-8")).iter():
+        for element in ElementTree.fromstring(document).iter():
             kind, reference = element.tag.rpartition("}")[2], element.get("ID")
             if kind in found and reference in references:
                 lines = "".join(f"{line}\n" for line in element.itertext())

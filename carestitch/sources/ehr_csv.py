@@ -307,8 +307,13 @@ def staging_tables(spark: SparkSession, extract: Extract, lookups: Mapping = LOO
     return tables | {name: PSF_SPECS[name].empty(spark, g_id="bigint") for name in EMPTY_TABLES}
 
 
+# Tables with names and addresses, whose texts may hold line breaks. Files of events have none and are split.
+MULTI_LINE_TABLES = ("patients", "organizations", "providers", "payers")
+
+
 def stage_extract(spark: SparkSession, config: Mapping) -> dict[str, str]:
     """Read an extract's CSVs and write its staging tables; returns their paths."""
     frames = read_tables(spark, {t: t for t in EXTRACT_TABLES}, config["base_path"],
-                         config["csv_extension"], config["file_type"])
+                         config["csv_extension"], config["file_type"],
+                         multi_line=config.get("multi_line", MULTI_LINE_TABLES))
     return export_tables(staging_tables(spark, frames.__getitem__), config["prepared_source_output_location"])

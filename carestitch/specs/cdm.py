@@ -1,230 +1,24 @@
-"""Layouts of the common data model, versions 5.3.1 and 5.4.
-
-Column types follow from the column names (see ``_type_of``). In the layouts
-``x:when`` stands for x_date, x_datetime; ``x:span`` for the start and end pair of
-both; ``x:coded`` for x_concept_id, x_source_value, x_source_concept_id; and
-``:links`` for the provider, visit and visit-detail keys.
-Version 5.3.1 is stated as its differences from 5.4.
-"""
+"""Layouts of the common data model by version, and the lineage columns of its rows."""
 
 from __future__ import annotations
 
 from functools import cache
 
+from . import cdm_54, cdm_531
 from .table import TableSpec
 
 LINEAGE = {"s_id": "string", "g_source_table_name": "string", "s_g_id": "bigint"}
 
-_VALIDITY = "valid_start_date valid_end_date invalid_reason"
-
-# Column names of the public CDM 5.4 standard.
-_LAYOUTS_54 = {
-    "care_site": (
-        "care_site_id care_site_name place_of_service_concept_id location_id "
-        "care_site_source_value place_of_service_source_value"
-    ),
-    "cdm_source": (
-        "cdm_source_name cdm_source_abbreviation cdm_holder source_description "
-        "source_documentation_reference cdm_etl_reference source_release_date "
-        "cdm_release_date cdm_version cdm_version_concept_id vocabulary_version"
-    ),
-    "cohort": "cohort_definition_id subject_id cohort_start_date cohort_end_date",
-    "cohort_definition": (
-        "cohort_definition_id cohort_definition_name cohort_definition_description "
-        "definition_type_concept_id cohort_definition_syntax subject_concept_id "
-        "cohort_initiation_date"
-    ),
-    "concept": (
-        "concept_id concept_name domain_id vocabulary_id concept_class_id standard_concept "
-        f"concept_code {_VALIDITY}"
-    ),
-    "concept_ancestor": (
-        "ancestor_concept_id descendant_concept_id min_levels_of_separation "
-        "max_levels_of_separation"
-    ),
-    "concept_class": "concept_class_id concept_class_name concept_class_concept_id",
-    "concept_relationship": f"concept_id_1 concept_id_2 relationship_id {_VALIDITY}",
-    "concept_synonym": "concept_id concept_synonym_name language_concept_id",
-    "condition_era": (
-        "condition_era_id person_id condition_concept_id condition_era_start_date "
-        "condition_era_end_date condition_occurrence_count"
-    ),
-    "condition_occurrence": (
-        "condition_occurrence_id person_id condition:span condition_type_concept_id "
-        "condition_status_concept_id stop_reason :links condition:coded "
-        "condition_status_source_value"
-    ),
-    "cost": (
-        "cost_id cost_event_id cost_domain_id cost_type_concept_id currency_concept_id "
-        "total_charge total_cost total_paid paid_by_payer paid_by_patient "
-        "paid_patient_copay paid_patient_coinsurance paid_patient_deductible "
-        "paid_by_primary paid_ingredient_cost paid_dispensing_fee payer_plan_period_id "
-        "amount_allowed revenue_code_concept_id revenue_code_source_value drg_concept_id "
-        "drg_source_value"
-    ),
-    "death": "person_id death:when death_type_concept_id cause:coded",
-    "device_exposure": (
-        "device_exposure_id person_id device_exposure:span device_type_concept_id "
-        "unique_device_id production_id quantity :links device:coded unit:coded"
-    ),
-    "domain": "domain_id domain_name domain_concept_id",
-    "dose_era": (
-        "dose_era_id person_id drug_concept_id unit_concept_id dose_value "
-        "dose_era_start_date dose_era_end_date"
-    ),
-    "drug_era": (
-        "drug_era_id person_id drug_concept_id drug_era_start_date drug_era_end_date "
-        "drug_exposure_count gap_days"
-    ),
-    "drug_exposure": (
-        "drug_exposure_id person_id drug_exposure:span verbatim_end_date "
-        "drug_type_concept_id stop_reason refills quantity days_supply sig "
-        "route_concept_id lot_number :links drug:coded route_source_value "
-        "dose_unit_source_value"
-    ),
-    "drug_strength": (
-        "drug_concept_id ingredient_concept_id amount_value amount_unit_concept_id "
-        "numerator_value numerator_unit_concept_id denominator_value "
-        f"denominator_unit_concept_id box_size {_VALIDITY}"
-    ),
-    "episode": (
-        "episode_id person_id episode:span episode_parent_id episode_number "
-        "episode_object_concept_id episode_type_concept_id episode:coded"
-    ),
-    "episode_event": "episode_id event_id episode_event_field_concept_id",
-    "fact_relationship": (
-        "domain_concept_id_1 fact_id_1 domain_concept_id_2 fact_id_2 relationship_concept_id"
-    ),
-    "location": (
-        "location_id address_1 address_2 city state zip county location_source_value "
-        "country_concept_id country_source_value latitude longitude"
-    ),
-    "measurement": (
-        "measurement_id person_id measurement:when measurement_time "
-        "measurement_type_concept_id operator_concept_id value_as_number "
-        "value_as_concept_id range_low range_high :links measurement:coded unit:coded "
-        "value_source_value measurement_event_id meas_event_field_concept_id"
-    ),
-    "metadata": (
-        "metadata_id metadata_concept_id metadata_type_concept_id name value_as_string "
-        "value_as_concept_id value_as_number metadata:when"
-    ),
-    "note": (
-        "note_id person_id note:when note_type_concept_id note_class_concept_id note_title "
-        "note_text encoding_concept_id language_concept_id :links note_source_value "
-        "note_event_id note_event_field_concept_id"
-    ),
-    "note_nlp": (
-        "note_nlp_id note_id section_concept_id snippet offset lexical_variant "
-        "note_nlp_concept_id note_nlp_source_concept_id nlp_system nlp:when term_exists "
-        "term_temporal term_modifiers"
-    ),
-    "observation": (
-        "observation_id person_id observation:when observation_type_concept_id "
-        "value_as_number value_as_string value_as_concept_id qualifier_concept_id "
-        "unit_concept_id :links observation:coded unit_source_value "
-        "qualifier_source_value value_source_value observation_event_id "
-        "obs_event_field_concept_id"
-    ),
-    "observation_period": (
-        "observation_period_id person_id observation_period_start_date "
-        "observation_period_end_date period_type_concept_id"
-    ),
-    "payer_plan_period": (
-        "payer_plan_period_id person_id payer_plan_period_start_date "
-        "payer_plan_period_end_date payer:coded plan:coded sponsor:coded "
-        "family_source_value stop_reason:coded"
-    ),
-    "person": (
-        "person_id year_of_birth month_of_birth day_of_birth birth_datetime location_id "
-        "provider_id care_site_id person_source_value gender:coded race:coded "
-        "ethnicity:coded"
-    ),
-    "procedure_occurrence": (
-        "procedure_occurrence_id person_id procedure:when procedure_end:when "
-        "procedure_type_concept_id modifier_concept_id quantity :links procedure:coded "
-        "modifier_source_value"
-    ),
-    "provider": (
-        "provider_id provider_name npi dea care_site_id year_of_birth "
-        "provider_source_value specialty:coded gender:coded"
-    ),
-    "relationship": (
-        "relationship_id relationship_name is_hierarchical defines_ancestry "
-        "reverse_relationship_id relationship_concept_id"
-    ),
-    "source_to_concept_map": (
-        "source_code source_concept_id source_vocabulary_id source_code_description "
-        f"target_concept_id target_vocabulary_id {_VALIDITY}"
-    ),
-    "specimen": (
-        "specimen_id person_id specimen_concept_id specimen_type_concept_id specimen:when "
-        "quantity unit_concept_id anatomic_site_concept_id disease_status_concept_id "
-        "specimen_source_id specimen_source_value unit_source_value "
-        "anatomic_site_source_value disease_status_source_value"
-    ),
-    "visit_detail": (
-        "visit_detail_id person_id visit_detail:span visit_detail_type_concept_id "
-        "provider_id care_site_id visit_detail:coded admitted_from_concept_id "
-        "admitted_from_source_value discharged_to_source_value discharged_to_concept_id "
-        "preceding_visit_detail_id parent_visit_detail_id visit_occurrence_id"
-    ),
-    "visit_occurrence": (
-        "visit_occurrence_id person_id visit:span visit_type_concept_id provider_id "
-        "care_site_id visit:coded admitted_from_concept_id admitted_from_source_value "
-        "discharged_to_concept_id discharged_to_source_value preceding_visit_occurrence_id"
-    ),
-    "vocabulary": (
-        "vocabulary_id vocabulary_name vocabulary_reference vocabulary_version "
-        "vocabulary_concept_id"
-    ),
-}
-
-# What 5.3.1 lacks, names differently, or has in addition.
-_ADDED_IN_54 = {
-    "cdm_source": "cdm_version_concept_id",
-    "device_exposure": "production_id unit_concept_id unit_source_value unit_source_concept_id",
-    "location": "country_concept_id country_source_value latitude longitude",
-    "measurement": "unit_source_concept_id measurement_event_id meas_event_field_concept_id",
-    "metadata": "metadata_id value_as_number",
-    "note": "note_event_id note_event_field_concept_id",
-    "observation": "value_source_value observation_event_id obs_event_field_concept_id",
-    "procedure_occurrence": "procedure_end_date procedure_end_datetime",
-}
-_TABLES_ADDED_IN_54 = {"cohort", "episode", "episode_event"}
-_NAMES_IN_531 = {
+_LAYOUTS = {"5.3.1": cdm_531.LAYOUTS, "5.4": cdm_54.LAYOUTS}
+# Columns of 5.4 that 5.3.1 names differently.
+NAMES_IN_531 = {
     "admitted_from_concept_id": "admitting_source_concept_id",
     "admitted_from_source_value": "admitting_source_value",
     "discharged_to_concept_id": "discharge_to_concept_id",
     "discharged_to_source_value": "discharge_to_source_value",
     "parent_visit_detail_id": "visit_detail_parent_id",
 }
-_ONLY_IN_531 = {
-    "attribute_definition": (
-        "attribute_definition_id attribute_name attribute_description "
-        "attribute_type_concept_id attribute_syntax"
-    ),
-}
-
-# Names whose type the suffix rules below would get wrong.
-_TEXT_KEYS = {
-    "domain_id", "vocabulary_id", "concept_class_id", "relationship_id",
-    "reverse_relationship_id", "source_vocabulary_id", "target_vocabulary_id",
-    "cost_domain_id", "unique_device_id", "production_id", "specimen_source_id",
-}
-_WHOLE_NUMBERS = {
-    "year_of_birth", "month_of_birth", "day_of_birth", "min_levels_of_separation",
-    "max_levels_of_separation", "condition_occurrence_count", "drug_exposure_count",
-    "gap_days", "refills", "days_supply", "box_size", "episode_number",
-    "concept_id_1", "concept_id_2", "domain_concept_id_1", "domain_concept_id_2",
-}
-_DECIMALS = {
-    "value_as_number", "range_low", "range_high", "dose_value", "amount_value",
-    "numerator_value", "denominator_value", "latitude", "longitude", "amount_allowed",
-}
-_FRACTIONAL_QUANTITY = {"drug_exposure", "specimen"}
-
-CDM_VERSIONS = ("5.3.1", "5.4")
+CDM_VERSIONS = tuple(_LAYOUTS)
 
 
 def normalise_version(version: str) -> str:
@@ -235,55 +29,11 @@ def normalise_version(version: str) -> str:
     return wanted
 
 
-def _type_of(table: str, column: str) -> str:
-    if column in _TEXT_KEYS:
-        return "string"
-    if column == "quantity":
-        return "double" if table in _FRACTIONAL_QUANTITY else "int"
-    if column in _DECIMALS or (table == "cost" and column.startswith(("total_", "paid_"))):
-        return "double"
-    if column in _WHOLE_NUMBERS or column.endswith("concept_id"):
-        return "int"
-    if column.endswith("_id") or column in {"fact_id_1", "fact_id_2"}:
-        return "bigint"
-    if column.endswith("_datetime"):
-        return "timestamp"
-    if column.endswith("_date"):
-        return "date"
-    return "string"
-
-
-def _names(layout: str) -> list[str]:
-    names: list[str] = []
-    for token in layout.split():
-        stem, _, macro = token.partition(":")
-        if macro == "when":
-            names += [f"{stem}_date", f"{stem}_datetime"]
-        elif macro == "span":
-            names += [f"{stem}_{edge}_{kind}" for edge in ("start", "end") for kind in ("date", "datetime")]
-        elif macro == "coded":
-            names += [f"{stem}_concept_id", f"{stem}_source_value", f"{stem}_source_concept_id"]
-        elif macro == "links":
-            names += ["provider_id", "visit_occurrence_id", "visit_detail_id"]
-        else:
-            names.append(stem)
-    return names
-
-
 @cache
 def cdm_specs(version: str = "5.4") -> dict[str, TableSpec]:
-    version = normalise_version(version)
-    names = {table: _names(layout) for table, layout in _LAYOUTS_54.items()}
-    if version == "5.3.1":
-        names = {t: n for t, n in names.items() if t not in _TABLES_ADDED_IN_54}
-        for table, added in _ADDED_IN_54.items():
-            dropped = set(added.split())
-            names[table] = [n for n in names[table] if n not in dropped]
-        names = {t: [_NAMES_IN_531.get(n, n) for n in cols] for t, cols in names.items()}
-        names |= {t: _names(layout) for t, layout in _ONLY_IN_531.items()}
     return {
-        table: TableSpec(table, {n: _type_of(table, n) for n in cols})
-        for table, cols in names.items()
+        table: TableSpec(table, dict(column.split() for column in ddl.split(",")))
+        for table, ddl in _LAYOUTS[normalise_version(version)].items()
     }
 
 

@@ -121,10 +121,54 @@ def test_a_staged_write_replaces_only_its_own_split(spark, tmp_path):
     rows = spark.createDataFrame([("a", 1), ("b", 2)], "split string, v int").withColumn("mapped_domain_id", F.lit("Drug"))
     path = f"{tmp_path}/t"
     write_staged(rows, path, "split")
-    back = write_staged(rows.filter("split = 'b'").withColumn("v", F.lit(3)), path, "split")
+    back = write_staged(rows.filter("split = 'b'").withColumn("v", F.lit(3)), path, "split", partial=True)
     assert sorted((r.split, r.v) for r in back.collect()) == [("a", 1), ("b", 3)]
 
 
+def test_a_staged_rerun_keeps_nothing_of_the_run_before(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "split string, v int").withColumn("mapped_domain_id", F.lit("Drug"))
+    path = f"{tmp_path}/t"
+    write_staged(rows, path, "split")
+    assert [r.split for r in write_staged(rows.filter("split = 'b'"), path, "split").collect()] == ["b"]
+
+
+def test_distinct_rows_get_their_ids_in_one_exchange(spark):
+    from carestitch.functions.keys import distinct_with_row_id
+    rows = spark.range(1000).select((F.col("id") % 100).cast("string").alias("a"), F.lit("x").alias("b"))
+    made = distinct_with_row_id(rows)
+    assert plan_of(made).split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
+    assert made.count() == 100 == made.select("g_id").distinct().count()
+
+
+def test_large_csv_files_are_split(spark, tmp_path):
+    from carestitch.sources.tabular import read_csv
+    with open(f"{tmp_path}/t.csv", "w") as out:
+        out.write("a,b\n" + "".join(f"{i},some text of the row\n" for i in range(20000)))
+    with settings(spark, spark__sql__files__maxPartitionBytes="64k", spark__sql__files__openCostInBytes="1"):
+        assert read_csv(spark, f"{tmp_path}/t.csv", False).rdd.getNumPartitions() > 1
+        assert read_csv(spark, f"{tmp_path}/t.csv", True).rdd.getNumPartitions() == 1
+
+
+def test_a_statistic_of_many_rows_is_written_whole(spark, tmp_path):
+    paths = export_tables({"top_locations": spark.range(250)}, str(tmp_path))
+    assert spark.read.parquet(paths["top_locations"]).count() == 250
+
+
+def test_documents_are_read_in_the_encoding_they_declare(spark, tmp_path):
+    from carestitch.sources.ccda import parse_documents, read_documents, rejected_documents
+    text = '<?xml version="1.0" encoding="{}"?><ClinicalDocument><title>caf\u00e9</title></ClinicalDocument>'
+    for name in ("ISO-8859-1", "UTF-8"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.xml").write_bytes(text.format(name).encode(name))
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "b.xml").write_text("<ClinicalDocument><title>")
+    (tmp_path / "broken" / "c.xml").write_text(" ")
+    docs = read_documents(spark, str(tmp_path), "salt")
+    assert docs.filter("xml like '%caf\u00e9%'").count() == 2
+    found = {r.path.rpartition("/")[2]: r.reason for r in rejected_documents(parse_documents(docs)).collect()}
+    assert found == {"b.xml": "not well-formed", "c.xml": "empty"}
+
+
 def test_an_empty_partitioned_table_keeps_its_columns(spark, tmp_path):
     write_and_reload(spark.createDataFrame([], "a int, k string"), f"{tmp_path}/empty", "k")
     assert spark.read.parquet(f"{tmp_path}/empty").columns == ["a", "k"]

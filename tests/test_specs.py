@@ -14,6 +14,32 @@ def test_staging_layouts_have_their_columns(table, columns):
     assert len(PSF_SPECS[table].columns) == columns
 
 
+@pytest.mark.parametrize("version, table, columns", [
+    ("5.4", "person", "person_id gender_concept_id year_of_birth month_of_birth day_of_birth birth_datetime race_concept_id"),
+    ("5.4", "condition_occurrence", "condition_occurrence_id person_id condition_concept_id condition_start_date"),
+    ("5.4", "visit_occurrence", "visit_occurrence_id person_id visit_concept_id visit_start_date visit_start_datetime"),
+    ("5.4", "visit_detail", "visit_detail_id person_id visit_detail_concept_id visit_detail_start_date"),
+    ("5.4", "drug_exposure", "drug_exposure_id person_id drug_concept_id drug_exposure_start_date"),
+    ("5.4", "device_exposure", "device_exposure_id person_id device_concept_id device_exposure_start_date"),
+    ("5.4", "procedure_occurrence", "procedure_occurrence_id person_id procedure_concept_id procedure_date"),
+    ("5.4", "measurement", "measurement_id person_id measurement_concept_id measurement_date"),
+    ("5.4", "observation", "observation_id person_id observation_concept_id observation_date"),
+    ("5.4", "provider", "provider_id provider_name npi dea specialty_concept_id care_site_id year_of_birth gender_concept_id"),
+    ("5.4", "episode", "episode_id person_id episode_concept_id episode_start_date"),
+    ("5.3.1", "person", "person_id gender_concept_id year_of_birth"),
+    ("5.3.1", "visit_occurrence", "visit_occurrence_id person_id visit_concept_id visit_start_date"),
+    ("5.3.1", "provider", "provider_id provider_name npi dea specialty_concept_id"),
+])
+def test_columns_stand_in_their_order(version, table, columns):
+    assert list(cdm_specs(version)[table].columns)[:len(columns.split())] == columns.split()
+
+
+def test_eras_of_the_older_version_are_timestamps():
+    for table in ("condition_era", "drug_era", "dose_era"):
+        kinds = {n: k for n, k in cdm_specs("5.3.1")[table].columns.items() if n.endswith("_date")}
+        assert set(kinds.values()) == {"timestamp"} and len(kinds) == 2, kinds
+
+
 def test_staging_layouts():
     assert len(PSF_SPECS) == 20 and len(STAGED_TABLES) == 16
     assert list(PSF_SPECS["source_provider"].columns)[3:5] == ["s_dea_number", "s_specialty"]
