@@ -1,8 +1,17 @@
-"""Token ids of whole texts by a public tokenizer file."""
+"""Token ids of whole texts by a public tokenizer file.
+
+A tokenizer that drops white space and never joins across it gives a text the ids of its words in turn, so each distinct
+word is tokenised once in a while and looked up otherwise. Words of plain letters, digits and signs go through the same
+merges in the faster of two public libraries; all others, and texts for any other kind of file, through the library
+that the file is made for. Tests compare both.
+"""
 
 from __future__ import annotations
 
+import json
 import os
+import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -11,7 +20,14 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 END = 1
-_KNOWN: dict[str, list[int]] = {}
+_MOST_KNOWN = 400_000
+#: What a file's entries must say for words to be independent (fixed values of this kind of file).
+_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+_WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_WORD_END = "</w>"
+#: The same pattern for lower-case words of ASCII and Latin-1 letters, digits and signs.
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_PLAIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
 
 def default_tokenizer() -> str:
@@ -21,37 +37,81 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-@lru_cache(maxsize=4)
-def _tokenizer(path: str | None):
+class Words:
+    """Ids by word, for files whose words are independent."""
+
+    def __init__(self, tokenizer, model: dict):
+        self.tokenizer = tokenizer
+        self.known: dict[bytes, bytes] = {}
+        self.merge = self._merges(model["vocab"])
+
+    @staticmethod
+    def _merges(vocab: dict[str, int]):
+        """A function from a word's bytes to ids. The other library has no word ends: a byte that is in no UTF-8 text marks them."""
+        import tiktoken
+
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that such files write as themselves
+        hidden = [b for b in range(256) if b not in shown]
+        byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+        ranks = {}
+        for token, id in vocab.items():
+            word = token.removesuffix(_WORD_END)
+            if not token.startswith("<|"):
+                ranks[bytes(byte[c] for c in word) + (b"\xff" if word != token else b"")] = id
+        return tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+    def _new(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "surrogatepass")
+        if "<|" not in text and _PLAIN.fullmatch(text):
+            text = text.lower()
+            ids = self.merge(text.encode() + b"\xff") if text.isalpha() else [i for p in _PLAIN_PIECES.findall(text) for i in self.merge(p.encode() + b"\xff")]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
+
+    def ids(self, text: str) -> np.ndarray:
+        words, known = text.encode("utf-8", "surrogatepass").split(), self.known
+        if len(known) > _MOST_KNOWN:
+            known.clear()
+        try:
+            return np.frombuffer(b"".join([known[w] for w in words]), np.uint32)
+        except KeyError:
+            for w in words:
+                if w not in known:
+                    known[w] = self._new(w)
+        return np.frombuffer(b"".join([known[w] for w in words]), np.uint32)
+
+
+class Texts:
+    """Ids by text, for any other file."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+
+@lru_cache(maxsize=2)
+def _tokenizer(path: str | None) -> Words | Texts:
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path or default_tokenizer())
-
-
-def token_ids(text: str | None, path: str | None = None) -> list[int]:
-    """Ids of a text, without special tokens added.
-
-    This tokenizer never joins across white space, so ids are looked up word by word and each distinct word is
-    tokenised once. The words are cut at ASCII white space only; any other kind is left to the tokenizer.
-    """
-    found: list[int] = []
-    if not text:
-        return found
-    known = _KNOWN
-    if len(known) > 300_000:
-        known.clear()
-    words = text.replace("\x0b", " ").replace("\x0c", " ").replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" ")
-    try:
-        for w in words:
-            found += known[w]
-        return found
-    except KeyError:
-        new = list({w for w in words if w not in known})
-    for w, coded in zip(new, _tokenizer(path).encode_batch(new, add_special_tokens=False), strict=True):
-        known[w] = coded.ids
-    return [i for w in words for i in known[w]]
+    path = path or default_tokenizer()
+    tokenizer = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as source:
+        said = json.load(source)
+    normal = [x["type"] for x in (said["normalizer"] or {}).get("normalizers", [])]
+    patterns = [x["pattern"]["Regex"] for x in (said["pre_tokenizer"] or {}).get("pretokenizers", []) if x["type"] == "Split" and x["behavior"] == "Removed"]
+    if normal == _NORMALIZERS and patterns == [_WORD_PATTERN] and said["model"].get("end_of_word_suffix") == _WORD_END:
+        return Words(tokenizer, said["model"])
+    return Texts(tokenizer)
+
+
+def token_ids(text: str | None, path: str | None = None) -> np.ndarray:
+    """Ids of a text, without special tokens added; none for null."""
+    return _tokenizer(path).ids(text) if text else np.zeros(0, np.uint32)
 
 
 def with_end(text: str | None, path: str | None = None) -> np.ndarray:
     """Ids of a text and the end mark."""
-    return np.array([*token_ids(text, path), END], np.uint32)
+    return np.append(token_ids(text, path), np.uint32(END))
