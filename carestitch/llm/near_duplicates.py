@@ -211,7 +211,7 @@ def near_duplicates(
     classes = reps.select("d1", "d2", "n", F.col("id").alias("rep"))
     found = signed.select("id", "n", "d1", "d2").join(classes, ["d1", "d2", "n"], "left")
     found = found.join(grouped.withColumnRenamed("node", "rep"), "rep", "left")
-    component = F.when(F.col("n") > 0, F.coalesce("component", "rep", "id")).otherwise(F.col("id"))
+    component = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.coalesce("component", "rep", "id")).otherwise(F.col("id"))
     return found.select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"),
         F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"),
