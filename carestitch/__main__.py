@@ -40,6 +40,8 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--salt", default="")
     parser.add_argument("--format", default="delta")
     parser.add_argument("--schema")
+    parser.add_argument("--ddl", choices=("mssql", "psql"), help="load rules to publish or write under")
+    parser.add_argument("--version", default="5.4", help="model version of what is published or written")
     parser.add_argument("--extended", action="store_true")
     parser.add_argument("-x", "--exclude-concept-tables", action="store_true")
     parser.add_argument("--exclude-source-tables", action="store_true")
@@ -74,10 +76,11 @@ def main() -> None:
         for name, path in write_report(spark, manifest, args.output, args.extended).items():
             print(name, spark.read.parquet(path).count(), path)
     elif args.step == "publish":
-        publish_tables(spark, manifest, args.database, args.directory, args.format)
+        publish_tables(spark, manifest, args.database, args.directory, args.format, args.version, args.ddl)
     elif args.step == "jdbc":
         targets = jdbc_targets(manifest, args.schema, args.exclude_concept_tables, args.exclude_source_tables)
-        write_jdbc(spark, targets, config["jdbc"]["connection_string"], config["jdbc"]["properties"])
+        write_jdbc(spark, targets, config["jdbc"]["connection_string"], config["jdbc"]["properties"],
+                   version=args.version, dialect=args.ddl)
     else:
         populate_cdm_source(spark, args.database, config, args.format)
 

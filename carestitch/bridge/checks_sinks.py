@@ -62,8 +62,10 @@ def _(b: Bridge):
         "relationship_id", "mapped_concept_id", "mapped_vocabulary_id", "mapped_domain_id")
 
 
-# A sample is random by nature: rows only.
-@check("sample_concepts")
+@check("sample_concepts", """select source_concept_id, mapped_concept_id from (
+        select *, row_number() over (order by md5(concat_ws('|', cast(source_concept_id as varchar), relationship_id,
+          cast(mapped_concept_id as varchar))), source_concept_id, relationship_id, mapped_concept_id) as n
+        from {cmap} where source_vocabulary_id = 'Brand#2') where n <= 1000""")
 def _(b: Bridge):
     return sample_concepts(b.concept_map, "Brand#2").select("source_concept_id", "mapped_concept_id")
 

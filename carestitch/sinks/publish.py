@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from ..operators.conform import conform_to_ddl
+from ..specs import cdm_specs
 
 Manifest = Mapping[str, Mapping[str, str]]
 
@@ -13,18 +16,27 @@ Manifest = Mapping[str, Mapping[str, str]]
 JDBC_GROUPS = ("ohdsi", "concept", "prepared_source")
 
 
+def _load_ready(df: DataFrame, group: str, table: str, version: str, dialect: str | None) -> DataFrame:
+    """Model and vocabulary tables under the load rules of a dialect; others, or without one, as they are."""
+    if dialect and group in ("ohdsi", "concept") and table in cdm_specs(version):
+        return conform_to_ddl(df, table, version, dialect)
+    return df
+
+
 def publish_tables(spark: SparkSession, manifest: Manifest, database: str, location: str,
-                   fmt: str = "delta") -> list[str]:
+                   fmt: str = "delta", version: str = "5.4", dialect: str | None = None) -> list[str]:
     """Every table of a manifest as a managed table of a schema at a location.
 
-    ``fmt`` is any table format the session has; Delta needs its own package.
+    ``fmt`` is any table format the session has; Delta needs its own package. With a
+    ``dialect`` the tables follow the load rules of ``conform_to_ddl``.
     """
-    spark.sql(f"create schema if not exists `{database}` location '{location}'")
+    named, place = database.replace("`", "``"), location.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"create schema if not exists `{named}` location '{place}'")
     published = []
-    for tables in manifest.values():
+    for group, tables in manifest.items():
         for table, path in tables.items():
-            name = f"`{database}`.`{table}`"
-            spark.read.parquet(path).write.format(fmt).mode("overwrite").saveAsTable(name)
+            name = f"`{named}`.`{table.replace('`', '``')}`"
+            _load_ready(spark.read.parquet(path), group, table, version, dialect).write.format(fmt).mode("overwrite").saveAsTable(name)
             published.append(name)
     return published
 
@@ -53,9 +65,9 @@ def jdbc_targets(manifest: Manifest, schema: str | None = None, exclude_concepts
 
 
 def write_jdbc(spark: SparkSession, targets: list[JdbcTarget], url: str, properties: Mapping[str, str],
-               connections: int = 32) -> None:
+               connections: int = 32, version: str = "5.4", dialect: str | None = None) -> None:
     """Overwrite the targets; at most ``connections`` tasks write to the database at once."""
     for target in targets:
-        spark.read.parquet(target.path).write.option("numPartitions", connections).jdbc(
+        _load_ready(spark.read.parquet(target.path), target.group, target.table, version, dialect).write.option("numPartitions", connections).jdbc(
             url=url, table=target.name, mode="overwrite", properties=dict(properties)
         )

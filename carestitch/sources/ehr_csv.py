@@ -16,7 +16,7 @@ from ..operators.joins import lookup_value_code, payer_at_encounter
 from ..operators.project import align, split_by_type, union_by_name
 from ..sinks.parquet import export_tables
 from ..specs import PSF_SPECS
-from .tabular import read_tables
+from .tabular import read_lookup, read_tables
 
 SOURCE_SYSTEM = "synthea"
 
@@ -312,8 +312,16 @@ MULTI_LINE_TABLES = ("patients", "organizations", "providers", "payers")
 
 
 def stage_extract(spark: SparkSession, config: Mapping) -> dict[str, str]:
-    """Read an extract's CSVs and write its staging tables; returns their paths."""
+    """Read an extract's CSVs and write its staging tables; returns their paths.
+
+    ``lookup_files`` in the configuration replaces lookups by name: CSVs with the columns
+    value, mapped and code.
+    """
+    lookups = dict(LOOKUPS)
+    for name, path in config.get("lookup_files", {}).items():
+        rows = read_lookup(spark, path).select("value", "mapped", "code").collect()  # written by hand
+        lookups[name] = (*LOOKUPS[name][:2], {r.value: (r.mapped, r.code) for r in rows})
     frames = read_tables(spark, {t: t for t in EXTRACT_TABLES}, config["base_path"],
                          config["csv_extension"], config["file_type"],
                          multi_line=config.get("multi_line", MULTI_LINE_TABLES))
-    return export_tables(staging_tables(spark, frames.__getitem__), config["prepared_source_output_location"])
+    return export_tables(staging_tables(spark, frames.__getitem__, lookups), config["prepared_source_output_location"])

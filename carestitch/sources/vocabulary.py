@@ -49,12 +49,19 @@ def base_path(config: Mapping) -> str:
 
 
 def build_vocabulary(spark: SparkSession, config: Mapping) -> dict[str, str]:
-    """Stage the vocabulary and its concept map as partitioned Parquet tables."""
+    """Stage the vocabulary and its concept map as partitioned Parquet tables.
+
+    ``sample_vocabularies`` in the configuration names vocabularies whose map is sampled to CSV beside them.
+    """
     tables = read_vocabulary(spark, base_path(config), config["concept_csv_file_extension"])
     tables["concept_map"] = build_concept_map(
         tables["concept"], tables["concept_relationship"], tables["vocabulary"]
     )
-    return export_tables(tables, config["export_concept_mapping_table_path"], PARTITION_COLUMNS)
+    paths = export_tables(tables, config["export_concept_mapping_table_path"], PARTITION_COLUMNS)
+    for name in config.get("sample_vocabularies", ()):
+        sample_concepts(spark.read.parquet(paths["concept_map"]), name).write.mode("overwrite").option("header", True).csv(
+            f"{config['export_concept_mapping_table_path'].rstrip('/')}/samples/{name}.csv")
+    return paths
 
 
 def load_vocabulary(spark: SparkSession, base: str) -> dict[str, DataFrame]:
@@ -66,8 +73,8 @@ def load_vocabulary(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     }
 
 
-def sample_concepts(concept_map: DataFrame, vocabulary_id: str, fraction: float = 0.1,
-                    seed: int = 0, rows: int = 1000) -> DataFrame:
-    """A sample of one vocabulary's map for inspection."""
+def sample_concepts(concept_map: DataFrame, vocabulary_id: str, rows: int = 1000) -> DataFrame:
+    """A sample of one vocabulary's map for inspection: the ``rows`` rows of smallest hash."""
+    keys = ["source_concept_id", "relationship_id", "mapped_concept_id"]
     chosen = concept_map.filter(F.col("source_vocabulary_id") == vocabulary_id)
-    return chosen.sample(fraction, seed).limit(rows)
+    return chosen.orderBy(F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys])), *keys).limit(rows)

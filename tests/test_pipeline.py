@@ -329,3 +329,24 @@ def test_documents_of_one_folder_are_one_person(spark, tmp_path):
     assert (period.s_start_observation_datetime, period.s_end_observation_datetime) == ("2022-10-24", "2022-10-24")
     assert spark.read.parquet(paths["source_encounter"]).count() == 0
     assert json.loads(json.dumps(paths))["source_note"]
+
+
+def test_lookups_can_be_replaced_by_files(spark, config, tmp_path):
+    (tmp_path / "race.csv").write_text('value,mapped,code\nwhite,"Other, race",9\n')
+    stage_extract(spark, config | {"lookup_files": {"race": f"{tmp_path}/race.csv"}, "prepared_source_output_location": f"{tmp_path}/staged/"})
+    rows = {r.s_person_id: r.m_race_code for r in spark.read.parquet(f"{tmp_path}/staged/source_person.parquet").collect()}
+    assert rows == {"p1": "9", "p2": None}
+
+
+def test_published_tables_follow_the_load_rules(spark, manifest, tmp_path):
+    from carestitch.sinks.publish import publish_tables
+    from carestitch.specs import cdm_specs
+    wanted = {"ohdsi": {"person": manifest["ohdsi"]["person"]}}
+    publish_tables(spark, wanted, "load_ready", f"{tmp_path}/it's", "parquet", dialect="psql")
+    assert spark.table("load_ready.person").columns == list(cdm_specs("5.4")["person"].columns)
+
+
+def test_the_report_is_written_whole(spark, manifest, tmp_path):
+    from carestitch.plans.pipeline import write_report
+    paths = write_report(spark, manifest, str(tmp_path))
+    assert len(paths) >= 30 and spark.read.parquet(paths["count_people"]).count() == 1
