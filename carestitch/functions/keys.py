@@ -17,6 +17,7 @@ BUCKET_BITS = 20
 # A fact key is (row id, ordinal of the target within the row's code, contributing table).
 FANOUT_BITS = 10
 SOURCE_BITS = 3
+STAGED_ID = "_staged_id"
 
 
 def location_key(*parts: Column | str) -> Column:
@@ -82,15 +83,34 @@ def distinct_with_row_id(df: DataFrame, out: str = "g_id") -> DataFrame:
     return _numbered(dealt.dropDuplicates(["_bucket", "_hash", *keys]), keys, out)
 
 
-def fact_id(row_id: Column | str, ordinal: Column | int = 0, contributor: int = 0) -> Column:
+def staged_id(df: DataFrame) -> str:
+    """The column with the id of the staging row: ``g_id``, or what ``with_small_ids`` kept of it."""
+    return STAGED_ID if STAGED_ID in df.columns else "g_id"
+
+
+def fanout_bits(max_ordinal: int) -> int:
+    """Bits for the ordinal of a target in a run whose widest code has that many besides the first."""
+    return max(FANOUT_BITS, int(max_ordinal).bit_length())
+
+
+def with_small_ids(df: DataFrame, bits: int = FANOUT_BITS) -> DataFrame:
+    """Ids of foreign staging runs may be too large for fact keys; such rows are numbered anew,
+    and their staging id is kept beside the number (``staged_id``) for lineage."""
+    largest = df.agg(F.max("g_id")).first()[0] or 0
+    if largest < 1 << (63 - bits - SOURCE_BITS):
+        return df
+    return add_row_id(df.withColumnRenamed("g_id", STAGED_ID), [STAGED_ID])
+
+
+def fact_id(row_id: Column | str, ordinal: Column | int = 0, contributor: int = 0, bits: int = FANOUT_BITS) -> Column:
     """Key of one fact: unique across rows, across the targets of a row, and across the
-    contributing tables, as long as the row id stays below 2**50 and the ordinal below
-    2**FANOUT_BITS (``check_fact_id_range`` verifies both).
+    contributing tables, as long as the ordinal fits ``bits`` (see ``fanout_bits``) and the
+    row id the bits that are left (see ``with_small_ids``).
     """
     row = F.col(row_id) if isinstance(row_id, str) else row_id
     nth = F.lit(ordinal) if isinstance(ordinal, int) else F.coalesce(ordinal, F.lit(0))
     return (
-        F.shiftleft(row.cast("bigint"), FANOUT_BITS + SOURCE_BITS)
+        F.shiftleft(row.cast("bigint"), bits + SOURCE_BITS)
         + F.shiftleft(nth.cast("bigint"), SOURCE_BITS)
         + F.lit(contributor).cast("bigint")
     )
@@ -99,10 +119,3 @@ def fact_id(row_id: Column | str, ordinal: Column | int = 0, contributor: int =
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys that more than one row carries, with their number of rows."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
-
-
-def check_fact_id_range(max_row_id: int, max_fanout: int) -> None:
-    if max_row_id >= 1 << (63 - FANOUT_BITS - SOURCE_BITS):
-        raise ValueError(f"row id {max_row_id} is too large for fact keys: re-key with add_row_id")
-    if max_fanout >= 1 << FANOUT_BITS:
-        raise ValueError(f"a code with {max_fanout} targets: raise FANOUT_BITS")

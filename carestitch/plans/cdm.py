@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.keys import duplicate_keys, fact_id, stable_id
+from ..functions.keys import FANOUT_BITS, duplicate_keys, fact_id, stable_id, staged_id
 from ..operators.joins import align_to_person, align_to_visit, key_table, lookup
 from ..operators.project import align, exclude_rows, stamp_lineage, union_by_name
 from ..operators.resolve import resolve_fanout, resolve_fields, used_pairs
@@ -69,6 +69,7 @@ class CdmBuilder:
     materialise: Callable[[str, DataFrame], DataFrame] = lambda name, df: df
     measure: bool = False
     keep_columns: frozenset[str] = frozenset()
+    fanout_bits: int = FANOUT_BITS
     _sizes: dict[str, int | None] = field(default_factory=dict)
     _tables: dict[str, DataFrame] = field(default_factory=dict)
 
@@ -105,7 +106,8 @@ class CdmBuilder:
         return union_by_name(parts).distinct()
 
     def _resolved(self, build: B.SourceBuild, codes: bool = True) -> DataFrame:
-        """Staging rows with codes resolved, persons, visits and dimension keys attached.
+        """Staging rows with codes resolved, persons, visits and dimension keys attached;
+        without ``codes`` only persons and visits.
 
         Codes come first: they are map-side lookups and let the code texts be dropped
         before the rows are shuffled to their persons and visits.
@@ -119,7 +121,7 @@ class CdmBuilder:
         elif build.domain_column:
             df = df.withColumns({"mapped_domain_id": F.col(build.domain_column),
                                  "domain_id": F.col(build.domain_column)})
-        for dimension, key in build.links.items():
+        for dimension, key in build.links.items() if codes else ():
             keys, rows = self.link(dimension)
             _, (natural,), surrogate = LINKS[dimension]
             df = lookup(df, keys, {key: natural}, {surrogate: surrogate}, unique=True, dim_rows=rows)
@@ -129,7 +131,7 @@ class CdmBuilder:
         if build.visit:
             keys, rows = self.link("visit")
             df = align_to_visit(df, keys, build.visit, unique=True, visit_rows=rows)
-        df = stamp_lineage(df, build.source)
+        df = stamp_lineage(df, build.source, staged_id(df))
         if build.source == "source_person":
             key = stable_id(self.stable.salt, "s_person_id") if self.stable.person else F.col("g_id")
             df = df.withColumn("g_person_id", key)
@@ -150,7 +152,7 @@ class CdmBuilder:
         if build in B.FACTS:
             ordinal = F.col("g_ordinal") if build.fanout else 0
             columns[B.PRIMARY_KEYS[route.table]] = fact_id(
-                "g_id", ordinal, B.CONTRIBUTORS.index(build.source)
+                "g_id", ordinal, B.CONTRIBUTORS.index(build.source), self.fanout_bits
             )
             if self.version == "5.3.1" and build is B.PROCEDURE:
                 # 5.3.1 source procedures have no end.

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.keys import FANOUT_BITS, SOURCE_BITS, add_row_id, check_fact_id_range, distinct_with_row_id
+from ..functions.keys import distinct_with_row_id, fanout_bits, with_small_ids
 from ..operators.project import union_by_name
 from ..operators.vocab import Codebook, build_codebook
 from ..sinks.parquet import (
@@ -48,14 +48,6 @@ def oid_table(spark: SparkSession, config: Mapping) -> tuple[DataFrame, int | No
     return dict_table(spark, OID_TO_VOCABULARY, columns), len(OID_TO_VOCABULARY)
 
 
-def _with_fact_range(df: DataFrame) -> DataFrame:
-    """Row ids of foreign staging runs may be too large for fact keys; those are re-keyed."""
-    largest = df.agg(F.max("g_id")).first()[0] or 0
-    if largest < 1 << (63 - FANOUT_BITS - SOURCE_BITS):
-        return df
-    return add_row_id(df.withColumnRenamed("g_id", "_staged_id"), ["_staged_id"]).drop("_staged_id")
-
-
 def map_to_cdm(spark: SparkSession, config: Mapping, manifest_path: str | None = None,
                write_cdm_source: bool = True) -> dict[str, dict[str, str]]:
     """Build every CDM table from staged tables; returns (and writes) the manifest.
@@ -80,7 +72,6 @@ def map_to_cdm(spark: SparkSession, config: Mapping, manifest_path: str | None =
         return write_and_reload(df, path)
 
     sources = load_tables(spark, STAGED_TABLES, source_base)
-    sources |= {b.source: _with_fact_range(sources[b.source]) for b in B.FACTS}
     whole = build_codebook(vocabulary["concept"], vocabulary["concept_map"], oids, oid_rows)
     builder = CdmBuilder(
         spark, sources, whole, version, stable_ids(config),
@@ -91,7 +82,8 @@ def map_to_cdm(spark: SparkSession, config: Mapping, manifest_path: str | None =
     used = whole.restricted_to(write("support/used_codes", builder.used_codes()))
     builder.codebook = Codebook(
         write("support/codes", used.best), write("support/code_targets", used.targets)).measured()
-    check_fact_id_range(0, builder.codebook.targets.agg(F.max("ordinal")).first()[0] or 0)
+    builder.fanout_bits = fanout_bits(builder.codebook.targets.agg(F.max("ordinal")).first()[0] or 0)
+    builder.sources = sources | {b.source: with_small_ids(sources[b.source], builder.fanout_bits) for b in B.FACTS}
     names = builder.table_names()
     for name in names:
         builder.table(name)

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.keys import staged_id
 from ..operators.project import union_by_name
 from ..specs import PSF_SPECS, cdm_spec
 from ..specs.cdm import LINEAGE
@@ -61,7 +62,7 @@ def _facts_by_source_key(fact: DataFrame, key: str, source: DataFrame, source_ta
         F.col("s_g_id").alias(f"_row_{side}"), F.col(key).alias(f"fact_id_{side}")
     )
     named = source.select(
-        F.col("g_id").alias(f"_row_{side}"), F.col(source_field).alias(f"_value_{side}")
+        F.col(staged_id(source)).alias(f"_row_{side}"), F.col(source_field).alias(f"_value_{side}")
     )
     return named.join(made, f"_row_{side}").drop(f"_row_{side}")
 

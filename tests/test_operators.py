@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from carestitch.functions import add_row_id, distinct_with_row_id, fact_id, hl7_timestamp, stable_id
-from carestitch.functions.keys import check_fact_id_range
+from carestitch.functions.keys import fanout_bits, staged_id, with_small_ids
 from carestitch.operators.joins import BROADCAST_ROWS, lookup, payer_at_encounter, small
 from carestitch.operators.percentiles import exact_percentiles
 from carestitch.operators.project import align, exclude_rows, rename_columns, union_by_name
@@ -189,10 +189,19 @@ def test_fact_ids_do_not_collide(spark):
     rows = spark.range(200).crossJoin(spark.range(3).withColumnRenamed("id", "nth"))
     ids = [rows.select(fact_id("id", F.col("nth"), c).alias("k")) for c in range(5)]
     assert union_by_name(ids).distinct().count() == 200 * 3 * 5
-    with pytest.raises(ValueError):
-        check_fact_id_range(1 << 50, 1)
-    with pytest.raises(ValueError):
-        check_fact_id_range(1, 1 << 10)
+    wide = fanout_bits(5000)  # a code with 5,001 targets
+    assert (fanout_bits(3), wide) == (10, 13)
+    many = spark.range(3).crossJoin(spark.range(5001).withColumnRenamed("id", "nth")).select(fact_id("id", F.col("nth"), 1, wide).alias("k"))
+    assert many.distinct().count() == 3 * 5001
+
+
+def test_large_foreign_ids_are_renumbered_and_kept_for_lineage(spark):
+    rows = spark.range(100).select((F.col("id") + (1 << 60)).alias("g_id"), F.col("id").cast("string").alias("s_id"))
+    made = with_small_ids(rows)
+    assert staged_id(rows) == "g_id" and staged_id(made) == "_staged_id"
+    assert made.agg(F.max("g_id")).first()[0] < 1 << 50 and made.select("g_id").distinct().count() == 100
+    assert made.where(F.col("_staged_id") - (1 << 60) == F.col("s_id").cast("long")).count() == 100
+    assert with_small_ids(spark.range(5).withColumnRenamed("id", "g_id")).columns == ["g_id"]
 
 
 def test_null_keeps_a_null_key(spark):
