@@ -235,17 +235,17 @@ def test_quality_tells_junk_from_prose(spark):
     r = random.Random(3)
     junk = lambda t, k: [" | ".join(t.split()), " ".join(w.upper() + "!!" for w in t.split()), " ".join(f"{w} {w} {w}" for w in t.split())][k % 3]
     rows, labels = [], []
-    for i in range(600):
+    for i in range(1600):
         text, good = _prose(r, r.randint(20, 120)), i % 4 > 0
         rows.append((i, text if good else junk(text, i // 4)))
         if i % 2:
             labels.append((i, int(good)))
-    rows += [(None, "no id"), (601, None), (602, ""), (0, rows[0][1])]
+    rows += [(None, "no id"), (1601, None), (1602, ""), (0, rows[0][1])]
     table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit("clash"))
     marks = spark.createDataFrame([*labels, (None, 1), (1, None)], "doc_id long, quality int")
     got = quality.score_quality(table, quality.fit_quality(table, marks)).withColumn("h", quality.held_out()).collect()
     assert len(got) == len(rows) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got)
-    held = [(r.predicted, int(r.doc_id % 4 > 0)) for r in got if r.h and r.doc_id is not None and r.doc_id < 600]
+    held = [(r.predicted, int(r.doc_id % 4 > 0)) for r in got if r.h and r.doc_id is not None and r.doc_id < 1600]
     assert len(held) > 80 and sum(a == b for a, b in held) / len(held) > 0.97
     assert {r.h for r in got if r.doc_id is None} == {False}
     assert all(r.h == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got if r.doc_id is not None)
