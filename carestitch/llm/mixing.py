@@ -135,7 +135,7 @@ def mix_sources(
     plan = cut(budgets.groupBy("source").applyInPandas(_fit, schema), "plan")
 
     # A length with many documents is drawn by slices of the hash: whole slices go by their counts, one is ranked.
-    plan = plan.withColumn("slices", F.greatest(F.lit(1), F.ceil(F.col("n") / 4096)).cast("long"))
+    plan = plan.withColumn("slices", F.greatest(F.lit(1), F.ceil(F.col("n") / 512)).cast("long"))
     left = plan.select(F.col("source").alias("p_source"), F.col("size").alias("p_size"), "passes", "extra", "slices")
     drawn = sized.join(left, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("size") == F.col("p_size"))).drop("p_source", "p_size")
     drawn = drawn.withColumn("slice", F.pmod("draw", "slices"))
