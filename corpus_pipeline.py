@@ -48,10 +48,13 @@ def repeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: not at all, once or twice. Texts without words are taken as their length is."""
-    number = F.row_number().over(Window.partitionBy("m_id", "m_version").orderBy("m_version"))
+    keyed = docs.withColumns({"m_id": F.col("doc_id").cast("long"), "m_version": F.xxhash64("text")})
+    # Rows that can't be told apart are numbered on both sides; that costs a shuffle of the texts of its own.
+    copies = keyed.groupBy("m_id", "m_version").count().where("count > 1").limit(1).count()
+    number = F.row_number().over(Window.partitionBy("m_id", "m_version").orderBy("m_version")) if copies else F.lit(1)
     times = mix_sources(docs).select(F.col("doc_id").alias("m_id"), F.col("version").alias("m_version"), F.col("times").cast("int").alias("m_times"))
     taken = times.withColumn("m_copy", number).select(*[F.col(c).alias(f"t{c}") for c in ("m_id", "m_version", "m_copy", "m_times")])
-    rows = docs.withColumns({"m_id": F.col("doc_id").cast("long"), "m_version": F.xxhash64("text")}).withColumn("m_copy", number)
+    rows = keyed.withColumn("m_copy", number)
     same = F.col("m_id").eqNullSafe(F.col("tm_id")) & (F.col("m_version") == F.col("tm_version")) & (F.col("m_copy") == F.col("tm_copy"))
     return rows.join(taken.where("tm_times > 0"), same).withColumn("m_time", F.explode(F.sequence(F.lit(1), "tm_times"))).select(*docs.columns)
 
