@@ -27,7 +27,7 @@ from .words import chunks, codes, mix, words
 @dataclass(frozen=True)
 class Lexicons:
     """Terms with ``low`` <= log(n / df) / log(n) <= ``high`` of n documents are kept. There are ``parts`` random parts
-    for each of the ``scales``; the i-th scale's parts hold one term in 2^i. ``places`` of the frequency table: 2^places."""
+    for each of the ``scales`` (at most 16); the i-th scale's parts hold one term in 2^i. ``places`` of the frequency table: 2^places."""
 
     low: float = 0.2
     high: float = 1.0
@@ -87,25 +87,23 @@ def _hashes(texts: list[str | None], bits: np.ndarray, rule: Lexicons) -> np.nda
     place = (code >> np.uint64(52 - rule.places)).astype(np.int64)
     inside = np.flatnonzero(bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1)
     owner, code = owner[inside], code[inside]
-    out = np.zeros((len(texts), rule.scales * rule.parts), np.uint16)
+    out = np.zeros((rule.scales * rule.parts, len(texts)), np.uint16)
+    # Terms come sorted and distinct, so the sum of their mixed codes stands for the list of those in a part.
+    worth = mix(code)
     for part in range(rule.parts):
-        # A term's draw decides up to which scale this part holds it; its terms come sorted, so sums of their mixed
-        # codes stand for the sorted list of distinct terms.
-        drawn = mix(code ^ mix(np.full(1, rule.seed * 1000 + part, np.uint64)))
-        worth = mix(drawn + np.uint64(1))
-        zeros = np.minimum(rule.scales - 1, np.log2((drawn & (~drawn + np.uint64(1))).astype(np.float64)).astype(np.int64))
+        if part % 4 == 0:  # four parts draw on 16 bits each of one hash
+            drawn = mix(code ^ mix(np.full(1, rule.seed * 1000 + part, np.uint64)))
+        bits_, owner_, worth_ = (drawn >> np.uint64(16 * (part % 4))).astype(np.uint16), owner, worth
         for scale in range(rule.scales):
-            some = zeros >= scale
-            if not some.any():
+            if scale:
+                some = np.flatnonzero((bits_ & np.uint16((1 << scale) - 1)) == 0)
+                bits_, owner_, worth_ = bits_[some], owner_[some], worth_[some]
+            if not len(owner_):
                 break
-            owner_, worth_ = owner[some], worth[some]
-            total = np.zeros(len(texts), np.uint64)
             starts = np.flatnonzero(np.concatenate(([True], owner_[1:] != owner_[:-1])))
-            total[owner_[starts]] = np.add.reduceat(worth_, starts)
-            held = np.zeros(len(texts), bool)
-            held[owner_[starts]] = True
-            out[:, scale * rule.parts + part] = np.where(held, mix(total) % np.uint64(65535) + np.uint64(1), 0)
-    return out
+            total = mix(np.add.reduceat(worth_, starts))
+            out[scale * rule.parts + part, owner_[starts]] = total % np.uint64(65535) + np.uint64(1)
+    return np.ascontiguousarray(out.T)
 
 
 def likeness(a: np.ndarray, b: np.ndarray, rule: Lexicons) -> np.ndarray:
