@@ -7,7 +7,9 @@ Spark runs in one process (tests) is a folder of this machine taken, and set for
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,16 +29,17 @@ def folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, name: str = "table") -> DataFrame:
+def cut(df: DataFrame, name: str = "table", compression: str | None = None) -> DataFrame:
     """``df`` written once as Parquet and read back."""
     path = f"{folder(df.sparkSession)}/{name}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark remove shuffle files of earlier steps now: it does so when their plans are collected as garbage."""
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Lets Spark remove shuffle files of earlier steps now: it does so when their plans are collected as garbage,
+    which takes two rounds (the first one frees what holds them)."""
+    for _ in range(3):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)

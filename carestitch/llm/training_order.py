@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .scratch import cut, folder
+from .scratch import cut, folder, release
 from .tokens import with_end
 from .words import chunks, mix
 
@@ -33,11 +33,13 @@ _HEAD = 8
 
 @dataclass(frozen=True)
 class Order:
-    """``length`` ids of a sequence, each of ``id_bytes`` (2 up to 65,536 ids, else 4); ``per_shard`` sequences of a file."""
+    """``length`` ids of a sequence, each of ``id_bytes`` (2 up to 65,536 ids, else 4); ``per_shard`` sequences of a file.
+    Shards are written in ``waves``, each a range of slots, so that no shuffle holds the whole corpus."""
 
     length: int = 1024
     id_bytes: int = 2
     per_shard: int = 4096
+    waves: int = 2
     key: int = 20240229
     rounds: int = 6
     tokenizer: str | None = None
@@ -159,7 +161,7 @@ def write_in_order(docs: DataFrame, path: str, order: Order = Order(), id: str =
     """
     source = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     kinds = "part long, n long, n_tokens long, ids binary, pieces array<struct<doc_id:long,start:long,length:long>>"
-    return write_sequences(cut(source.mapInArrow(_sequences(order), kinds), "sequences"), path, order)
+    return write_sequences(cut(source.mapInArrow(_sequences(order), kinds), "sequences", "zstd"), path, order)
 
 
 def write_sequences(made: DataFrame, path: str, order: Order = Order()) -> DataFrame:
@@ -174,9 +176,8 @@ def write_sequences(made: DataFrame, path: str, order: Order = Order()) -> DataF
     placed = made.join(F.broadcast(parts), "part").withColumn("index", F.col("before") + F.col("n"))
     placed = placed.withColumn("slot", slot_column("index", max(1, total), order)).withColumn("shard", F.floor(F.col("slot") / order.per_shard))
     shards = max(1, -(-total // order.per_shard))
-    ranged = placed.select("shard", "slot", "n_tokens", "ids").repartition(shards, "shard").sortWithinPartitions("shard", "slot")
-    report = ranged.mapInArrow(_write(path, total, order), "shard long, sequences long, kept boolean")
-    written = report.agg(F.coalesce(F.sum("sequences"), F.lit(0))).first()[0]
+    waves = max(1, min(order.waves, shards))
+    written = sum(_write_wave(placed, w * shards // waves, (w + 1) * shards // waves, path, total, order) for w in range(waves))
     if written != total:
         raise RuntimeError(f"{written} of {total} sequences were written")
     with fs.open_output_stream(f"{root}/order.json") as out:
@@ -186,6 +187,17 @@ def write_sequences(made: DataFrame, path: str, order: Order = Order()) -> DataF
     return spark.read.parquet(index)
 
 
+def _write_wave(placed: DataFrame, first: int, last: int, path: str, total: int, order: Order) -> int:
+    """Writes the shards from ``first`` to before ``last``; returns their number of sequences."""
+    some = placed.select("shard", "slot", "n_tokens", "ids").where((F.col("shard") >= first) & (F.col("shard") < last))
+    ranged = some.repartition(max(1, last - first), "shard").sortWithinPartitions("shard", "slot")
+    report = ranged.mapInArrow(_write(path, total, order), "shard long, sequences long, kept boolean")
+    written = report.agg(F.coalesce(F.sum("sequences"), F.lit(0))).first()[0]
+    del some, ranged, report
+    release(placed.sparkSession)
+    return written
+
+
 def read_in_order(spark: SparkSession, path: str, start: int = 0, end: int | None = None) -> DataFrame:
     """(slot, n_tokens, ids, sound) of the slots from ``start`` to before ``end``, each shard read from its first wanted record on."""
     fs, root = pyarrow.fs.FileSystem.from_uri(path)
