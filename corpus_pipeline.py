@@ -6,12 +6,14 @@ one reads it. Each handles nulls, empty texts, repeated rows and further columns
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from carestitch.llm.mixing import mix_sources
-from carestitch.llm.near_duplicates import near_duplicates
+from carestitch.llm.near_duplicates import NearDuplicates, near_duplicates
 from carestitch.llm.packing import pack_documents
 from carestitch.llm.quality import fit_quality, score_quality
 from carestitch.llm.scratch import cut
@@ -26,12 +28,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return score_quality(work, model).where("predicted = 1").select(*[F.col("doc")[c].alias(c) for c in names])
 
 
-def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str, rule: NearDuplicates = NearDuplicates()) -> DataFrame:
     """One document of each group of near duplicates, the one of the smallest id; rows without an id stay.
 
     Repeated rows of one id are the same document, one of them stays.
     """
-    kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id")
+    kept = near_duplicates(docs, rule).where("kept and doc_id is not null").select("doc_id")
     kept = cut(kept.groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
     named = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
     if kept.where("rows > 1").limit(1).count():
@@ -64,7 +66,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs)
 
 
-STAGES = [("quality", quality), ("near", near), ("repeated", repeated), ("mixture", mixture), ("pack", pack)]
+#: The stage links texts from a similarity of 0.8 on; 0.85, the default of the rule, is that of the op6 query.
+STAGES = [("quality", quality), ("near", partial(near, rule=NearDuplicates(percent=80))), ("repeated", repeated), ("mixture", mixture), ("pack", pack)]
 #: No stage's rows can be had in SQL: tests compare them with plain versions.
 ORACLE_SQL = None
 

@@ -55,6 +55,21 @@ def test_one_document_of_each_group_stays(spark, docs, folder):
     assert all(n == 1 for i, n in ids.items() if i is not None) and ids[None] == sum(i is None for i, _ in rows)
 
 
+def test_near_copies_from_a_similarity_of_0_8_on_go(spark, docs, folder):
+    """Copies with one word changed every so often: similarities on both sides of 0.8 and of 0.85."""
+    r, rows = random.Random(12), []
+    for k in range(40):
+        text = _prose(r, 200).split()
+        rows.append((2 * k, " ".join(text)))
+        for i, at in enumerate(range(10, 190, 180 // (1 + k % 8))):
+            text[at] = f"w{k}x{i}"
+        rows.append((2 * k + 1, " ".join(text)))
+    expected = _groups(rows, 80)
+    assert len(set(expected.values())) < len(set(_groups(rows, 85).values())) < len(rows)
+    table = spark.createDataFrame([(i, t, "en", "a", len(t), *docs.first()[5:]) for i, t in rows], SCHEMA).repartition(3)
+    assert sorted(x.doc_id for x in dict(pipeline.STAGES)["near"](spark, table, folder).collect()) == sorted(set(expected.values()))
+
+
 def test_repeated_units_go_and_lengths_follow(spark, docs, folder):
     done = pipeline.repeated(spark, docs, folder)
     assert done.columns == docs.columns and done.count() == docs.count()
