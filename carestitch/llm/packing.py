@@ -53,25 +53,23 @@ def pack(lengths: list[int], rule: Packing) -> list[tuple[int, int, int, int, in
     full, tail = divmod(sum(n for n, _, _ in short), room)
     used = [0] * full
     cheapest = [(0.0, s) for s in range(full)]
+    # Lengths descend: what has no room now is set aside by its room and comes back when a document fits into it.
+    aside: list[tuple[int, float, int]] = []
     homeless: list[tuple[int, int, int]] = []
     for n, doc, start in sorted(short, key=lambda x: (-x[0], x[1], x[2])):
-        aside, place = [], -1
-        while cheapest and len(aside) < 8:
-            item = heapq.heappop(cheapest)
-            if used[item[1]] == room:
-                continue
-            aside.append(item)
-            if used[item[1]] + n <= room:
-                place = item[1]
-                break
-        if place >= 0:
-            pieces.append((doc, start, n, sequence + place, used[place]))
-            used[place] += n
-            aside[-1] = (aside[-1][0] + cost(n), place)
-        else:
+        while aside and -aside[0][0] >= n:
+            heapq.heappush(cheapest, heapq.heappop(aside)[1:])
+        while cheapest and used[cheapest[0][1]] + n > room:
+            spent, s = heapq.heappop(cheapest)
+            if used[s] < room:
+                heapq.heappush(aside, (used[s] - room, spent, s))
+        if not cheapest:
             homeless.append((n, doc, start))
-        for item in aside:
-            heapq.heappush(cheapest, item)
+            continue
+        spent, s = cheapest[0]
+        heapq.heapreplace(cheapest, (spent + cost(n), s))
+        pieces.append((doc, start, n, sequence + s, used[s]))
+        used[s] += n
     rooms = [(s, room - used[s]) for s in range(full) if used[s] < room]
     last = sequence + full
     for bit in range(tail.bit_length() - 1, -1, -1):

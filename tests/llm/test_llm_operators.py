@@ -385,6 +385,26 @@ def test_packing_keeps_costs_even():
     assert max(full) < 1.25 * min(full)
 
 
+def test_only_what_fits_nowhere_is_cut():
+    """Each document goes to the cheapest of all sequences with room, found here by looking at all of them."""
+    r = np.random.default_rng(5)
+    rule = packing.Packing()
+    for mean in (4.5, 5.5, 6.0):
+        lengths = np.maximum(1, r.lognormal(mean, 1.2, 1500).astype(int)) % rule.capacity + 1
+        full = int(lengths.sum()) // rule.capacity
+        used, spent, home = np.zeros(full, int), np.zeros(full), {}
+        for n, doc in sorted(zip(lengths.tolist(), range(len(lengths)), strict=True), key=lambda x: (-x[0], x[1])):
+            if (used + n <= rule.capacity).any():
+                home[doc] = s = int(np.where(used + n <= rule.capacity, spent, np.inf).argmin())
+                used[s] += n
+                spent[s] += rule.linear * n + rule.quadratic * n * n / rule.capacity
+        pieces = collections.defaultdict(list)
+        for doc, start, n, s, _ in packing.pack(lengths.tolist(), rule):
+            pieces[doc].append((start, n, s))
+        whole = {doc: p[0][2] for doc, p in pieces.items() if p[0][1] == lengths[doc] and p[0][2] < full}
+        assert home and all(whole.get(doc) == s for doc, s in home.items() if lengths[doc] < rule.capacity)
+
+
 def test_packing_of_an_empty_table(none):
     assert packing.pack_documents(none).collect() == []
 
