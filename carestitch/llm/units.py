@@ -1,6 +1,7 @@
 """Repeated units (lines, cut further at sentence ends) removed after their earliest occurrence.
 
-Every unit of every whole text is normalised and hashed to 128 bits; digests are grouped over the whole corpus by a
+Every unit of every whole text is normalised and hashed to 128 bits, and so is every whole line, and every run of lines
+around a short one; digests are grouped over the whole corpus by a
 partial aggregate that keeps the smallest (document, offset), so a unit in a third of all rows costs one row a task.
 All later occurrences are removed; what is left keeps its original offsets.
 """
@@ -39,13 +40,40 @@ def normalise(unit: str) -> list[str]:
     return unit.lower().split()
 
 
+def _runs(lines: list[list[str]], min_words: int) -> set[tuple[int, int]]:
+    """(first, last) of the runs of lines that are compared as a whole: each line of ``min_words`` words or more, and
+    around each shorter one the fewest lines after it, and before it, that have as many together."""
+    worded = [i for i, words in enumerate(lines) if words]
+    found = set()
+    for at, i in enumerate(worded):
+        if len(lines[i]) >= min_words:
+            found.add((i, i))
+            continue
+        for step in (1, -1):
+            total, to = len(lines[i]), at
+            while total < min_words and 0 <= to + step < len(worded):
+                to += step
+                total += len(lines[worded[to]])
+            if total >= min_words:
+                found.add((min(i, worded[to]), max(i, worded[to])))
+    return found
+
+
 def _digests(text: str, unit: str, min_words: int) -> list[tuple[int, int, int, int]]:
-    found = []
-    for start, end in split_units(text, unit):
-        words = normalise(text[start:end])
+    """(start, end, digest in two halves) of everything that is compared; a range comes once."""
+    ranges: dict[tuple[int, int], str] = {}
+    pieces = [(a, b, normalise(text[a:b])) for a, b in split_units(text, unit)]
+    for start, end, words in pieces:
         if len(words) >= min_words:
-            digest = xxhash.xxh3_128_intdigest(" ".join(words).encode("utf-8", "surrogatepass"))
-            found.append((start, end, (digest >> 64) - (1 << 63), (digest & _MASK) - (1 << 63)))
+            ranges[start, end] = " ".join(words)
+    spans = split_units(text, "line") if unit == "sentence" else [(a, b) for a, b, _ in pieces]
+    lines = [normalise(text[a:b]) for a, b in spans]
+    for i, j in _runs(lines, min_words):
+        ranges[spans[i][0], spans[j][1]] = "\n".join(" ".join(words) for words in lines[i:j + 1] if words)
+    found = []
+    for (start, end), words in ranges.items():
+        digest = xxhash.xxh3_128_intdigest(words.encode("utf-8", "surrogatepass"))
+        found.append((start, end, (digest >> 64) - (1 << 63), (digest & _MASK) - (1 << 63)))
     return found
 
 
@@ -55,8 +83,8 @@ def _extract(unit: str, min_words: int):
             found = [_digests(text or "", unit, min_words) for text in part.column("text").to_pylist()]
             row = pa.array([i for i, units in enumerate(found) for _ in units], pa.int64())
             flat = [x for units in found for x in units]
-            new = [pa.array([x[k] for x in flat], pa.int64()) for k in (0, 2, 3)]
-            yield pa.RecordBatch.from_arrays([part.column("id").take(row), part.column("version").take(row), *new], ["id", "version", "start", "d1", "d2"])
+            new = [pa.array([x[k] for x in flat], pa.int64()) for k in range(4)]
+            yield pa.RecordBatch.from_arrays([part.column("id").take(row), part.column("version").take(row), *new], ["id", "version", "start", "end", "d1", "d2"])
 
     return extract
 
@@ -76,8 +104,14 @@ def _merge(spans: list[tuple[int, int]]) -> list[dict]:
     return found
 
 
-def _cut_text(text: str | None, drop: list[int] | None, unit: str) -> dict:
-    spans, gone = split_units(text or "", unit), set(drop or ())
+def _cut_text(text: str | None, drop: list[dict] | None, unit: str) -> dict:
+    spans, gone, end = split_units(text or "", unit), set(), 0
+    later = sorted((d["start"], d["end"]) for d in drop or ())[::-1]
+    for a, _ in spans:
+        while later and later[-1][0] <= a:
+            end = max(end, later.pop()[1])
+        if a < end:
+            gone.add(a)
     keep = [s for s in spans if s[0] not in gone]
     return {
         "kept_text": None if text is None else "".join(text[a:b] for a, b in keep),
@@ -101,17 +135,18 @@ def remove_repeated_units(docs: DataFrame, unit: str = "sentence", min_words: in
 
     ``unit``: "sentence" (lines, cut at sentence ends too), "line" or "paragraph". The earliest occurrence is the one
     of the smallest id (null last), then of the earliest place. Repeated rows of one id with the same text are one
-    document and share its result; with other texts they are ordered by a hash of the text. Units of fewer than
-    ``min_words`` words stay. A null text stays null, an empty one empty. All columns of ``docs`` stay; where one has
+    document and share its result; with other texts they are ordered by a hash of the text. A line that occurs
+    earlier goes with all its sentences. Units of fewer than ``min_words`` words go with their line, or if they occur
+    earlier with the same lines next to them that make up as many words; else they stay. A null text stays null, an empty one empty. All columns of ``docs`` stay; where one has
     the name of a new one, the new one replaces it. An empty table gives an empty result.
     """
     work = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(id).cast("long").alias("id"),
                        F.xxhash64(text).alias("version"), F.col(text).alias("text"))
-    units = work.select("id", "version", "text").mapInArrow(_extract(unit, min_words), "id long, version long, start long, d1 long, d2 long")
+    units = work.select("id", "version", "text").mapInArrow(_extract(unit, min_words), "id long, version long, start long, end long, d1 long, d2 long")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "version", "start").alias("place")
     repeated = cut(units.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("final")).where("first <> final").drop("final"), "repeated")
     later = units.join(repeated, ["d1", "d2"]).where(~place.eqNullSafe(F.col("first")))
-    drop = cut(later.groupBy("id", "version").agg(F.collect_set("start").alias("drop")), "later")
+    drop = cut(later.groupBy("id", "version").agg(F.collect_set(F.struct("start", "end")).alias("drop")), "later")
     matched = work.withColumnRenamed("id", "w_id").withColumnRenamed("version", "w_version").join(
         drop, F.col("w_id").eqNullSafe(F.col("id")) & (F.col("w_version") == F.col("version")), "left")
     kind = docs.schema.simpleString()

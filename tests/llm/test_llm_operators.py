@@ -157,6 +157,21 @@ def test_repeated_units_go_after_their_first_occurrence(docs):
     assert {r.score for r in got} == {"s"}
 
 
+@pytest.mark.parametrize("unit", ["sentence", "line"])
+def test_repeated_lines_and_blocks_of_short_lines_go_whole(spark, unit):
+    line = "It was the sixth, anea. Eriner thanea. So ended a very long day."
+    menu = "Home\nAbout us\n\nNews\nContact\n"
+    rows = [(1, f"Alpha beta gamma delta.\n{line}\n{menu}"), (2, f"{menu}Something else is said here.\n{line.upper()}\nEriner thanea."),
+            (3, f"Eriner thanea. {line}\nNews\nTravel\n"), (4, menu), (5, "one two three"), (6, "one two\tthree")]
+    got = units.remove_repeated_units(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), unit).collect()
+    kept = {r.doc_id: r.kept_text for r in got}
+    assert kept[1] == rows[0][1] and kept[4] == ""
+    assert kept[2] == "Something else is said here.\nEriner thanea."
+    assert kept[3] == ("Eriner thanea. Eriner thanea. News\nTravel\n" if unit == "sentence" else rows[2][1])
+    assert (kept[5], kept[6]) == ("one two three", "one two\tthree")
+    assert all(r.kept_text == "".join(t[s.start:s.end] for s in r.kept) for r in got for t in [dict(rows)[r.doc_id]])
+
+
 @pytest.mark.parametrize("unit, text, parts", [
     ("line", "a\n\nb c\n", ["a\n\n", "b c\n"]), ("paragraph", "a\nb\n \nc", ["a\nb\n \n", "c"]), ("sentence", "A b. C?  D\nE", ["A b. ", "C?  ", "D\n", "E"]), ("line", "", [])])
 def test_units_tile_a_text(unit, text, parts):
