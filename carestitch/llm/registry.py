@@ -7,9 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-
-from . import chat
+from . import chat, hard_negatives, pivot_search, spelling
 from .fingerprints import document_fingerprints
 from .hamming_index import nearest
 from .mixing import mix_sources
@@ -68,6 +66,18 @@ def op10_cost_balanced_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(_table(spark, folder, "documents"), keep_ids=False)
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, folder, "documents"))
+
+
+def op12_four_russians_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.hard_negatives(hard_negatives.relabelled(_table(spark, folder, "embeddings")))
+
+
+def op13_pivot_table_search(spark: SparkSession, folder: str) -> DataFrame:
+    return pivot_search.top_k(_table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_budgeted_chat_windows": op1_budgeted_chat_windows,
     "op2_multi_index_hashing": op2_multi_index_hashing,
@@ -79,6 +89,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_imatch_fingerprints": op8_imatch_fingerprints,
     "op9_suffix_repeats": op9_suffix_repeats,
     "op10_cost_balanced_packing": op10_cost_balanced_packing,
-    "pipeline": corpus_pipeline.run,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_four_russians_negatives": op12_four_russians_negatives,
+    "op13_pivot_table_search": op13_pivot_table_search,
+}
+ORACLES: dict[str, str] = {
+    "op1_budgeted_chat_windows": chat.SQL,
+    "op11_spelling_variants": spelling.SQL,
+    "op12_four_russians_negatives": hard_negatives.SQL,
+    "op13_pivot_table_search": pivot_search.SQL,
 }
-ORACLES: dict[str, str] = {"op1_budgeted_chat_windows": chat.SQL}
