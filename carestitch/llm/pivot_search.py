@@ -39,9 +39,9 @@ class PivotSearch:
     scale: int = 64
     pivots: int = 64
     sample: int = 2048
-    tile: int = 4096
+    tile: int = 8192
     block: int = 4096
-    first: int = 128
+    first: int = 512
     seed: int = 3
 
 
@@ -91,25 +91,40 @@ def _limit(square: float, query: np.ndarray, score: float) -> float:
 
 
 def best_of_tile(v: np.ndarray, table: np.ndarray, many: np.ndarray, query: np.ndarray, asked: np.ndarray, least: int | None, square: float, rule: PivotSearch):
-    """Rows with the ``k + 1`` best scores among those of ``least`` or more, their scores, and how many were evaluated."""
-    bound = np.abs(table - asked).max(axis=1)
-    order = np.argsort(bound, kind="stable")
+    """Rows with the ``k + 1`` best scores among those of ``least`` or more, their scores, and how many were evaluated.
+
+    ``table`` has a line for each pivot. Rows are evaluated in the order of their bounds, in steps that double, until the
+    next bound passes the limit; a step may hold rows that its own scores rule out.
+    """
+    gap = table - asked[:, None]
+    bound = np.abs(gap, out=gap).max(axis=0)
     limit = np.inf if least is None else _limit(square, query, least)
+    order = np.flatnonzero(bound <= limit)
+    # In steps of 1 / 65,535 of the largest bound: whole numbers of 16 bits sort in one pass over their bytes.
+    per = 65535 / float(bound.max(initial=0) or 1)
+    level = (bound[order] * per).astype(np.uint16)
+    sort = np.argsort(level, kind="stable")
+    order, level = order[sort], level[sort]
     want, at, step = rule.k + 1, 0, rule.first
-    rows, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    while at < len(order) and bound[order[at]] <= limit:
+    rows, scores = np.zeros(0, np.int64), np.zeros(0, v.dtype)
+    while at < len(order) and level[at] <= limit * per:
         some = order[at : at + step]
-        some = some[bound[some] <= limit]
-        got = v[some] @ query
-        rows, scores = np.concatenate([rows, some]), np.concatenate([scores, got.astype(np.int64)])
-        at, step = at + step, 2 * step
+        got = v.take(some, axis=0) @ query
+        if least is not None:
+            hit = np.flatnonzero(got >= least)
+            some, got = some[hit], got[hit]
+        rows, scores = np.concatenate([rows, some]), np.concatenate([scores, got])
+        if len(rows) > 4 * want:
+            hit = np.flatnonzero(scores >= np.partition(scores, len(scores) - want)[len(scores) - want])
+            rows, scores = rows[hit], scores[hit]
         best = np.lexsort((rows, -scores))[:want]
         rows, scores = rows[best], scores[best]
+        at, step = at + step, 2 * step
         enough = np.flatnonzero(np.cumsum(many[rows]) >= want)
         if len(enough):
-            limit = min(limit, _limit(square, query, int(scores[enough[0]])))
-    keep = scores >= least if least is not None else np.ones(len(rows), bool)
-    return rows[keep], scores[keep], min(at, len(order))
+            least = int(scores[enough[0]])
+            limit = min(limit, _limit(square, query, least))
+    return rows, scores.astype(np.int64), min(at, len(order))
 
 
 def _search(pivots: Pivots, width: int, rule: PivotSearch):
@@ -119,12 +134,13 @@ def _search(pivots: Pivots, width: int, rule: PivotSearch):
             rows = rows.sort_by("class_id")  # ties go to the class of the smallest id
             v, q = matrix(rows.column("v"), width), matrix(queries.column("v"), width)
             longest = np.sqrt(float((v.astype(float) ** 2).sum(axis=1).max()) * float((q.astype(float) ** 2).sum(axis=1).max()))
-            if longest < 1 << 52:  # whole numbers of that size are exact in double precision, which multiplies faster
-                v, q = v.astype(np.float64), q.astype(np.float64)
-            table = matrix(rows.column("distances"), len(pivots.points), np.float32)
+            away = pivots.distances(q, query=True)
+            if longest < 1 << 52:  # whole numbers of that size are exact in floating point, which multiplies faster
+                v, q = (x.astype(np.float32 if longest < 1 << 23 else np.float64) for x in (v, q))
+            table = np.ascontiguousarray(matrix(rows.column("distances"), len(pivots.points), np.float32).T)
             ids = rows.column("ids").to_pylist()
             many = np.array([len(i) for i in ids])
-            names, least, away = queries.column("class_id").to_pylist(), queries.column("least").to_pylist(), pivots.distances(q, query=True)
+            names, least = queries.column("class_id").to_pylist(), queries.column("least").to_pylist()
             for i, name in enumerate(names):
                 found, scores, _ = best_of_tile(v, table, many, q[i], away[i], least[i], pivots.square, rule)
                 asked += [name] * len(found)

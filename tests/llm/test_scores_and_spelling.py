@@ -150,7 +150,7 @@ def test_bounds_leave_out_what_lies_far_away():
     table, away, many = pivots.distances(x), pivots.distances(x[:200], query=True), np.ones(len(x), int)
     evaluated = 0
     for i in range(0, 200, 10):
-        rows, scores, n = pivot_search.best_of_tile(x, table, many, x[i], away[i], None, pivots.square, rule)
+        rows, scores, n = pivot_search.best_of_tile(x, table.T, many, x[i], away[i], None, pivots.square, rule)
         s = x @ x[i]
         assert rows.tolist() == np.lexsort((np.arange(len(x)), -s))[:21].tolist() and scores.tolist() == s[rows].tolist()
         evaluated += n
