@@ -157,13 +157,16 @@ def _(b: Bridge):
     return relationship_frame(b, b.plans.table)
 
 
-@check("fact_relationship_two_codes", """select f.domain_concept_id_1, f.domain_concept_id_2, count(*) as n_rows
-        from {o_fact_relationship} f group by f.domain_concept_id_1, f.domain_concept_id_2""")
+@check("fact_relationship_two_codes", """select 3000002 as domain_concept_id_1, p.payer_plan_period_id as fact_id_1,
+        3000001 as domain_concept_id_2, v.visit_occurrence_id as fact_id_2,
+        case when right(r.s_target_to_value, 1) in ('0', '2', '4', '6', '8') then 3000003 else 0 end as relationship_concept_id
+        from {source_relationship} r join {o_payer} p on p.s_id = r.s_target_from_value
+        join {o_link} v on v.s_encounter_id = r.s_target_to_value""")
 def _(b: Bridge):
-    """A second, unknown code under the same name and tables: all rows stay linked."""
-    links = b("source_relationship").withColumn("s_relationship_code", F.when(F.col("g_id") % 2 == 0, F.col("s_relationship_code")).otherwise("none"))
-    made = build_fact_relationship(links, [Relationship("payer", "payer_plan_period", "visit_occurrence")], b, b.plans.table, b("concept"), b("oid_map"))
-    return made.groupBy("domain_concept_id_1", "domain_concept_id_2").agg(F.count(F.lit(1)).alias("n_rows"))
+    """A second, unknown code under the same name and tables: all rows stay linked, each with its code's concept."""
+    even = F.right("s_target_to_value", F.lit(1)).isin("0", "2", "4", "6", "8")
+    links = b("source_relationship").withColumn("s_relationship_code", F.when(even, F.col("s_relationship_code")).otherwise("none"))
+    return build_fact_relationship(links, [Relationship("payer", "payer_plan_period", "visit_occurrence")], b, b.plans.table, b("concept"), b("oid_map"))
 
 
 @check("unknown_links", """select 'payer' as s_relationship, 'source_payer' as s_target_from_table_name,

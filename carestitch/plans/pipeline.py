@@ -94,7 +94,7 @@ def map_to_cdm(spark: SparkSession, config: Mapping, manifest_path: str | None =
     linked = [
         build_fact_relationship(
             spark.read.parquet(table_path(source_base, table)), wanted, sources.__getitem__,
-            builder.table, vocabulary["concept"], oids)
+            builder.table, vocabulary["concept"], oids, lambda index, t=table: write(f"support/{t}_key_index", index))
         for table, wanted in relationships_from_config(config).items()
     ] or [cdm_specs(version)["fact_relationship"].empty(spark)]
     for table in relationships_from_config(config):
