@@ -69,7 +69,7 @@ def main() -> None:
     elif args.step == "stage-ehr":
         stage_extract(spark, config)
     elif args.step == "stage-ccda":
-        stage_documents(spark, args.directory, args.salt, args.output)
+        stage_documents(spark, args.directory, args.salt, args.output, config.get("key_registry_path"))
     elif args.step == "map":
         map_to_cdm(spark, config, args.manifest or f"{args.config}.generated.parquet.json")
     elif args.step == "report":

@@ -3,20 +3,25 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..operators.conform import conform_to_ddl
+from ..operators.project import union_by_name
 from ..plans.cdm_source import build_cdm_source, latest_measurement, replacement_cdm_source
 from ..sinks.parquet import (
     export_tables, read_manifest, table_path, write_by_domain, write_manifest, write_staged,
 )
+from ..sinks.registry import Registry, stage_increment
 from ..sources.parquet import attach_catalog, load_tables
-from ..sources.tabular import StagingConfig, read_tables, stage_tables
+from ..sources.tabular import StagingConfig, read_tables, rejected_rows, stage_tables
 from ..sources.vocabulary import build_vocabulary, load_vocabulary, sample_concepts
 from .oracle import ORACLE_VIEWS
+from ..specs import STAGED_TABLES
 from .registry import check, portable
-from .views import Bridge
+from .views import VIEWS, Bridge
 
 
 @check("csv_roundtrip", "select cast(doc_id as varchar) as doc_id, text, lang from {documents}")
@@ -28,17 +33,90 @@ def _(b: Bridge):
     return read_tables(b.spark, {"documents": "documents"}, path, ".csv")["documents"]
 
 
-@check("stage_generic_csv", """select distinct s_encounter_id, s_person_id, s_visit_start_datetime,
-        s_visit_end_datetime, k_provider, i_exclude from {source_encounter}""")
+# The staging tables that have a derived view; the others come out empty.
+_STAGED = tuple(t for t in STAGED_TABLES if t in VIEWS)
+
+
+def _staging_sql() -> str:
+    """Every distinct row of every table, as a sum of digests over all columns."""
+    filled = "select staging_table, count(*) as n_rows, sum(cast('0x' || substr(digest, 1, 8) as bigint))::bigint as digest_sum from ("
+    rows = " union all ".join(
+        f"select '{t}' as staging_table, md5(concat_ws('|', *columns(*))) as digest from (select distinct coalesce(nullif(columns(*)::varchar, ''), '~') from {{{t}}})"
+        for t in _STAGED)
+    empty = " union all ".join(f"select '{t}', 0, 0" for t in STAGED_TABLES if t not in _STAGED)
+    return f"{filled}{rows}) group by staging_table union all {empty}"
+
+
+@check("stage_generic_csv", _staging_sql())
 def _(b: Bridge):
-    """Staging CSVs come out distinct, with an id, in their layout."""
+    """Staging CSVs of all tables come out distinct, with an id, in their layout."""
     path = f"{b.folder}/staging_csv/"
-    columns = ["s_encounter_id", "s_person_id", "s_visit_start_datetime", "s_visit_end_datetime", "k_provider", "i_exclude"]
-    rows = b("source_encounter").select(*columns)
-    rows.unionByName(rows).write.mode("overwrite").option("header", True).option("escape", '"').csv(
-        f"{path}IN_SOURCE_ENCOUNTER.csv")
-    config = StagingConfig(path, f"{path}out/", ".csv", "IN_", True, ("source_note",))
-    return stage_tables(b.spark, config, ["source_encounter", "source_note"])["source_encounter"].select(*columns)
+    for table in _STAGED:
+        rows = b(table).drop("g_id").withColumn("not_in_the_layout", F.lit("x"))
+        rows.unionByName(rows).write.mode("overwrite").option("header", True).option("escape", '"').option(
+            "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{path}IN_{table.upper()}.csv")
+    config = StagingConfig(path, f"{path}out/", ".csv", "IN_", True, tuple(set(STAGED_TABLES) - set(_STAGED)))
+    parts = []
+    for table, df in stage_tables(b.spark, config).items():
+        text = F.concat_ws("|", *[F.coalesce(c, F.lit("~")) for c in (b(table).columns if table in _STAGED else []) if c != "g_id"])
+        number = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+        parts.append(df.agg(F.lit(table).alias("staging_table"), F.count_distinct("g_id").alias("n_rows"),
+                            F.coalesce(F.sum(number), F.lit(0)).cast("bigint").alias("digest_sum")))
+    return union_by_name(parts)
+
+
+@check("csv_rejects", """select 'customer' as "table", 'customers' as file,
+        case when c_custkey % 10 = 3 then '2 fields instead of 3' when c_custkey % 10 = 7 then '4 fields instead of 3' else 'read' end as reason,
+        case when c_custkey % 10 = 3 then c_custkey || ',"' || c_name || '"' when c_custkey % 10 = 7 then c_custkey || ',"' || c_name || '",' || c_mktsegment || ',more'
+          else c_custkey || '/' || c_name || ', "Ltd"/' || c_mktsegment end as text from {customer}""")
+def _(b: Bridge):
+    """Rows with a field too few or too many are kept apart with their file and reason; the others are read."""
+    path = f"{b.folder}/csv_rejects/"
+    name = F.concat(F.lit('"'), "c_name", F.lit('"'))
+    line = F.when(F.col("c_custkey") % 10 == 3, F.concat_ws(",", "c_custkey", name)).when(
+        F.col("c_custkey") % 10 == 7, F.concat_ws(",", "c_custkey", name, "c_mktsegment", F.lit("more"))).otherwise(
+        F.concat(F.col("c_custkey").cast("string"), F.lit(',"'), "c_name", F.lit(', ""Ltd""",'), "c_mktsegment"))
+    lines = b("customer").select(line.alias("line")).repartition(4).sortWithinPartitions("line")
+    # Each file begins with the header, as the reader expects of a folder.
+    headed = lines.mapInArrow(_with_header, "line string")
+    headed.write.mode("overwrite").text(f"{path}customers.csv")
+    files = {"customer": "customers"}
+    kept = read_tables(b.spark, files, path, ".csv", multi_line=False)["customer"]
+    rejects = rejected_rows(b.spark, files, path, ".csv", multi_line=False)
+    file = F.regexp_extract("path", r"/([^/]+)\.csv/", 1)
+    read = kept.select(F.lit("customer").alias("table"), F.lit("customers").alias("file"), F.lit("read").alias("reason"), F.concat_ws("/", "key", "name", "segment").alias("text"))
+    return rejects.select("table", file.alias("file"), "reason", "text").unionByName(read)
+
+
+def _with_header(batches):
+    first = True
+    for batch in batches:
+        if first:
+            yield pa.RecordBatch.from_pydict({"line": ["Key,Name,Segment"]})
+            first = False
+        yield batch
+
+
+_HELD = "split_year = 1997 and right(s_id, 1) in ('1', '2', '3')"
+
+
+@check("staged_rerun_added_rows", f"""select split_year, count(*) as n_rows, count(*) as n_ids,
+        count(*) filter (not ({_HELD})) as n_kept_ids, split_year = 1997 as rewritten
+        from (select distinct s_id, cast(substr(s_start_procedure_datetime, 1, 4) as bigint) as split_year from {{source_procedure}}) group by split_year""")
+def _(b: Bridge):
+    """A second delivery with more rows of one year: old rows keep their ids, other years' files stay."""
+    path, registry = table_path(b.folder, "increments"), Registry(b.spark, f"{b.folder}/increments_registry-{uuid.uuid4().hex}")
+    rows = b("source_procedure").drop("g_id").withColumn("split_year", F.substring("s_start_procedure_datetime", 1, 4).cast("bigint"))
+    stage_increment(rows.filter(f"not ({_HELD})"), path, registry, "split_year")
+    read = lambda: b.spark.read.parquet(path).select("s_id", "g_id", F.col("split_year").cast("bigint").alias("split_year"), F.col("_metadata.file_path").alias("file"))
+    before = b.stage("increments_before", read())
+    stage_increment(rows, path, registry, "split_year")
+    old = before.select("s_id", "split_year", F.col("g_id").alias("old_id"), F.col("file").alias("old_file"))
+    both = read().join(old, ["s_id", "split_year"], "left")
+    kept = F.count_if(F.col("g_id") == F.col("old_id"))
+    return both.groupBy("split_year").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("g_id").alias("n_ids"), kept.alias("n_kept_ids"),
+        F.max(F.coalesce(F.col("file") != F.col("old_file"), F.lit(True))).alias("rewritten"))
 
 
 @check("vocabulary_files", """select source_concept_id, source_vocabulary_id, source_vocabulary_version, source_domain_id,

@@ -13,6 +13,7 @@ from ..operators.vocab import Codebook, build_codebook
 from ..sinks.parquet import (
     export_tables, table_path, write_and_reload, write_by_domain, write_manifest, write_staged,
 )
+from ..sinks.registry import rekeyed
 from ..sources import ccda
 from ..sources.parquet import attach_catalog, load_tables
 from ..sources.tabular import dict_table, json_dict_table
@@ -112,13 +113,16 @@ def map_to_cdm(spark: SparkSession, config: Mapping, manifest_path: str | None =
     return manifest
 
 
-def stage_documents(spark: SparkSession, path: str, salt: str, output: str) -> dict[str, str]:
-    """C-CDA documents below a folder to staged tables; tables they do not feed are empty."""
+def stage_documents(spark: SparkSession, path: str, salt: str, output: str, registry: str | None = None) -> dict[str, str]:
+    """C-CDA documents below a folder to staged tables; tables they do not feed are empty. With a ``registry`` folder
+    rows keep their ids over deliveries."""
     documents = ccda.parse_documents(ccda.read_documents(spark, path, salt))
     parsed = write_and_reload(documents, table_path(output, "support/documents"))
     write_and_reload(ccda.rejected_documents(parsed), table_path(output, "support/rejected_documents"))
     tables = ccda.combine_fragments(ccda.extract_fragments(parsed))
     staged = {name: distinct_with_row_id(df) for name, df in tables.items()}
+    if registry:
+        staged = rekeyed(staged, registry)
     for name in STAGED_TABLES:
         staged.setdefault(name, PSF_SPECS[name].empty(spark, g_id="bigint"))
     return export_tables(staged, output)

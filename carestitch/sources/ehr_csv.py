@@ -12,11 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import composite_id, distinct_with_row_id, location_key
-from ..operators.joins import lookup_value_code, payer_at_encounter
+from ..operators.joins import lookup_value_code, payer_at_encounter, unique_by
 from ..operators.project import align, split_by_type, union_by_name
 from ..sinks.parquet import export_tables
+from ..sinks.registry import rekeyed
 from ..specs import PSF_SPECS
-from .tabular import read_lookup, read_tables
+from .tabular import read_lookup, read_tables, rejected_rows
 
 SOURCE_SYSTEM = "synthea"
 
@@ -88,9 +89,14 @@ PAYER_RELATIONSHIP = ("payer", "4001000175104", *SNOMED)
 Extract = Callable[[str], DataFrame]
 
 
-def lookup_table(spark: SparkSession, name: str, lookups: Mapping = LOOKUPS) -> tuple[DataFrame, int]:
-    """A lookup as a table (s_x, m_x and its code columns), with its number of rows."""
+def lookup_table(spark: SparkSession, name: str, lookups: Mapping = LOOKUPS) -> tuple[DataFrame, int | None]:
+    """A lookup as a table (s_x, m_x and its code columns), with its number of rows, if that is known: a lookup
+    out of a file is a frame of any size."""
     code_type, oid, values = lookups[name]
+    if isinstance(values, DataFrame):
+        one = unique_by(values, ["value"], ["mapped", "code"])
+        return one.select(F.col("value").alias(f"s_{name}"), F.col("mapped").alias(f"m_{name}"), F.col("code").alias(f"m_{name}_code"),
+                          F.lit(code_type).alias(f"m_{name}_code_type"), F.lit(oid).alias(f"m_{name}_code_type_oid")), None
     rows = [(s, m, code, code_type, oid) for s, (m, code) in values.items()]
     columns = [f"s_{name}", f"m_{name}", f"m_{name}_code", f"m_{name}_code_type", f"m_{name}_code_type_oid"]
     return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns)), len(rows)
@@ -315,13 +321,17 @@ def stage_extract(spark: SparkSession, config: Mapping) -> dict[str, str]:
     """Read an extract's CSVs and write its staging tables; returns their paths.
 
     ``lookup_files`` in the configuration replaces lookups by name: CSVs with the columns
-    value, mapped and code.
+    value, mapped and code. With ``key_registry_path`` rows keep their ids over deliveries.
+    Damaged rows go to ``support/rejected_rows``.
     """
     lookups = dict(LOOKUPS)
     for name, path in config.get("lookup_files", {}).items():
-        rows = read_lookup(spark, path).select("value", "mapped", "code").collect()  # written by hand
-        lookups[name] = (*LOOKUPS[name][:2], {r.value: (r.mapped, r.code) for r in rows})
-    frames = read_tables(spark, {t: t for t in EXTRACT_TABLES}, config["base_path"],
-                         config["csv_extension"], config["file_type"],
-                         multi_line=config.get("multi_line", MULTI_LINE_TABLES))
-    return export_tables(staging_tables(spark, frames.__getitem__, lookups), config["prepared_source_output_location"])
+        lookups[name] = (*LOOKUPS[name][:2], read_lookup(spark, path).select("value", "mapped", "code"))
+    files, output = {t: t for t in EXTRACT_TABLES}, config["prepared_source_output_location"]
+    where = (config["base_path"], config["csv_extension"], config["file_type"])
+    multi_line = config.get("multi_line", MULTI_LINE_TABLES)
+    export_tables({"support/rejected_rows": rejected_rows(spark, files, *where, multi_line)}, output)
+    tables = staging_tables(spark, read_tables(spark, files, *where, multi_line=multi_line).__getitem__, lookups)
+    if "key_registry_path" in config:
+        tables = rekeyed(tables, config["key_registry_path"])
+    return export_tables(tables, output)
