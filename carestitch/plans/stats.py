@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.percentiles import exact_percentiles
+from ..operators.percentiles import percentiles_of_counts
+from ..sinks.parquet import shared_folder, write_and_reload
 
 Tables = Callable[[str], DataFrame]
 
@@ -95,31 +96,34 @@ def _by_year(table: str, date: str, year: str, rows: bool = True):
 def measurement_concepts(tables: Tables) -> DataFrame:
     """Counts, ranges and exact quartiles per measurement concept and unit.
 
-    The group is the unit's code, so units are joined before counting. Only units in use are
-    joined, as a rule a few hundred; how is left to the sizes found while the query runs.
+    The group is the unit's code. Facts are aggregated by ids first, once by value, for everything but persons, and once
+    by person; the counts by value are written, as the quartiles read them several times. Codes and names are joined to what
+    is left.
     """
-    used = tables("measurement").select("unit_concept_id").distinct()
-    units = tables("concept").select(
-        F.col("concept_id").alias("unit_concept_id"), F.col("concept_code").alias("unit_concept_code")
-    ).join(used, "unit_concept_id", "left_semi")
-    facts = tables("measurement").select(
-        "person_id", "measurement_concept_id", "unit_concept_id", "value_as_number", "measurement_date"
-    ).join(units, "unit_concept_id", "left")
-    keys = ["measurement_concept_id", "unit_concept_code"]
-    counts = facts.groupBy(*keys).agg(
-        *_distinct(_PEOPLE), _rows(),
-        F.min("value_as_number").alias("min_value_as_number"),
-        F.max("value_as_number").alias("max_value_as_number"),
-        F.min("measurement_date").alias("min_measurement_date"),
-        F.max("measurement_date").alias("max_measurement_date"),
-    )
-    quartiles = exact_percentiles(facts, keys, "value_as_number", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-    sides = quartiles.withColumnsRenamed({k: f"_{k}" for k in keys})
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    facts, concept = tables("measurement"), tables("concept")
+    ids, keys = ["measurement_concept_id", "unit_concept_id"], ["measurement_concept_id", "unit_concept_code"]
+    by_value = facts.groupBy(*ids, F.col("value_as_number").cast("double").alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("measurement_date").alias("_first"), F.max("measurement_date").alias("_last"))
+    units = concept.select(F.col("concept_id").alias("unit_concept_id"), F.col("concept_code").alias("unit_concept_code"))
+    units = units.join(facts.select("unit_concept_id").distinct(), "unit_concept_id", "left_semi")
+    folder = shared_folder(facts.sparkSession)
+    coded = write_and_reload(by_value.join(units, "unit_concept_id", "left").select(*keys, "_v", "_n", "_first", "_last"), f"{folder}/by_value")
+    counts = coded.groupBy(*keys).agg(
+        F.sum("_n").alias("n_r"), F.min("_v").alias("min_value_as_number"), F.max("_v").alias("max_value_as_number"),
+        F.min("_first").alias("min_measurement_date"), F.max("_last").alias("max_measurement_date"))
+    people = facts.select(*ids, "person_id").distinct().join(units, "unit_concept_id", "left").groupBy(*keys).agg(*_distinct(_PEOPLE))
+    # Units that share a code: their counts of a value are added up by the ranks.
+    quartiles = percentiles_of_counts(coded.filter("_v is not null").select(*keys, "_v", "_n"), keys, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+
+    def beside(df: DataFrame, other: DataFrame, how: str) -> DataFrame:
+        other = other.withColumnsRenamed({k: f"_{k}" for k in keys})
+        return df.join(other, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], how).drop(*[f"_{k}" for k in keys])
+
     return (
-        counts.join(sides, same, "left").drop(*[f"_{k}" for k in keys])
-        .join(_concept_names(tables, "measurement_concept_id", "measurement_concept_name"),
-              "measurement_concept_id")
+        beside(beside(counts, people, "inner"), quartiles, "left")
+        .join(_concept_names(tables, "measurement_concept_id", "measurement_concept_name"), "measurement_concept_id")
+        .select("measurement_concept_id", "unit_concept_code", "n", "n_r", "min_value_as_number", "max_value_as_number", "min_measurement_date",
+                "max_measurement_date", "p25", "p50", "p75", "measurement_concept_name")
         .orderBy(F.desc("n_r"), "measurement_concept_id", "unit_concept_code")
     )
 

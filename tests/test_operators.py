@@ -218,8 +218,9 @@ def test_hl7_dates(spark, text, expected):
     assert spark.range(1).select(hl7_timestamp(F.lit(text)).cast("string").alias("t")).first().t == expected
 
 
+@pytest.mark.parametrize("most", [3, 1_000_000])
 @pytest.mark.parametrize("shape", ["plain", "one value", "outlier", "few", "single"])
-def test_percentiles_are_exact(spark, shape):
+def test_percentiles_are_exact(spark, shape, most):
     import numpy as np
     values = {
         "plain": [float(i * 37 % 1009) for i in range(1009)], "one value": [4.0] * 500 + [9.0],
@@ -228,7 +229,7 @@ def test_percentiles_are_exact(spark, shape):
     df = spark.createDataFrame([("g", None, v) for v in values] + [("h", "u", 1.0), ("e", "u", None)],
                                "g string, u string, v double")
     cuts = {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99}
-    found = {r.g: r for r in exact_percentiles(df, ["g", "u"], "v", cuts).collect()}
+    found = {r.g: r for r in exact_percentiles(df, ["g", "u"], "v", cuts, most).collect()}
     assert set(found) == {"g", "h"}
     for name, p in cuts.items():
         assert found["g"][name] == pytest.approx(float(np.quantile(values, p)), rel=1e-12)

@@ -2,12 +2,13 @@
 
 import contextlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from carestitch.bridge.views import Bridge
 from carestitch.operators.joins import align_to_person, align_to_visit, key_table
-from carestitch.operators.percentiles import SLICES, _with_slice
+from carestitch.operators.percentiles import percentiles_of_counts, wanted_slices
 from carestitch.sinks.parquet import export_tables, write_and_reload, write_staged
 
 
@@ -79,11 +80,18 @@ def test_small_measured_sides_need_no_shuffle_of_the_facts(spark, skewed):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
-def test_slices_of_a_dominant_group_are_bounded(spark):
-    values = spark.range(12800).select(F.col("id").cast("double").alias("_v"))
-    cuts = values.agg(F.percentile_approx("_v", [i / SLICES for i in range(1, SLICES)], 1000)).scalar()
-    sizes = [r["count"] for r in _with_slice(values.withColumn("_cuts", cuts)).groupBy("_slice").count().collect()]
-    assert len(sizes) == SLICES and max(sizes) < 4 * 12800 / SLICES
+def test_what_is_sorted_of_a_dominant_group_is_bounded(spark, tmp_path):
+    """Twenty million distinct values in one group, fifty in another; no task sorts more than ten thousand."""
+    n, most = 20_000_000, 10_000
+    value = F.pmod(F.col("id") * 48271, F.lit(n)).cast("double").alias("_v")
+    big = spark.range(10, n).select(F.lit("big").alias("g"), value, F.lit(1).cast("bigint").alias("_n"))
+    counted = write_and_reload(big.union(spark.range(50).select(F.lit("small"), F.col("id").cast("double"), F.lit(2).cast("bigint"))), f"{tmp_path}/counts")
+    wanted = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    sizes = wanted_slices(counted, ["g"], wanted, most).groupBy("g", "_slice").count().collect()
+    assert max(r["count"] for r in sizes) <= most and 2 <= len(sizes) <= 7
+    found = {r.g: r for r in percentiles_of_counts(counted, ["g"], wanted, most).collect()}
+    values = np.arange(10, n) * 48271 % n
+    assert [found["big"][p] for p in wanted] == np.quantile(values, list(wanted.values())).tolist() and found["small"].p50 == 24.5
 
 
 def test_scans_read_only_what_a_query_needs(spark):
