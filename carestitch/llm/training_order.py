@@ -88,12 +88,13 @@ def _sequences(order: Order):
 
         def close() -> None:
             nonlocal n, room, held, pieces
-            rows.append((part, n, order.length - room, np.concatenate(held).astype(kind).tobytes(), pieces))
+            ids = np.concatenate(held).astype(kind).tobytes()
+            rows.append((part, n, order.length - room, ids, pieces, zlib.crc32(ids)))
             n, room, held, pieces = n + 1, order.length, [], []
 
         def batch() -> pa.RecordBatch:
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), _PIECES]
-            made = pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["part", "n", "n_tokens", "ids", "pieces"])
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), _PIECES, pa.int64()]
+            made = pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["part", "n", "n_tokens", "ids", "pieces", "crc"])
             rows.clear()
             return made
 
@@ -133,7 +134,7 @@ def _write(path: str, n: int, order: Order):
             return pa.RecordBatch.from_arrays([pa.array([shard]), pa.array([count]), pa.array([kept])], ["shard", "sequences", "kept"])
 
         for batch in batches:
-            for at, slot, n_tokens, ids in zip(*(batch.column(c).to_pylist() for c in ("shard", "slot", "n_tokens", "ids")), strict=True):
+            for at, slot, n_tokens, ids, crc in zip(*(batch.column(c).to_pylist() for c in ("shard", "slot", "n_tokens", "ids", "crc")), strict=True):
                 if at != shard:
                     if shard is not None:
                         yield close()
@@ -142,7 +143,7 @@ def _write(path: str, n: int, order: Order):
                     kept = fs.get_file_info(_file(root, shard)).size == due
                     out = None if kept else fs.open_output_stream(name)
                 if not kept:
-                    out.write(np.array([n_tokens, zlib.crc32(ids)], "<u4").tobytes() + ids.ljust(order.stride - _HEAD, b"\0"))
+                    out.write(np.array([n_tokens, crc], "<u4").tobytes() + ids.ljust(order.stride - _HEAD, b"\0"))
                 count += 1
         if shard is not None:
             yield close()
@@ -150,29 +151,56 @@ def _write(path: str, n: int, order: Order):
     return write
 
 
-def write_in_order(docs: DataFrame, path: str, order: Order = Order(), id: str = "doc_id", text: str = "text") -> DataFrame:
+def write_in_order(docs: DataFrame, path: str, order: Order = Order(), id: str = "doc_id", text: str = "text", replace: bool = False) -> DataFrame:
     """Writes shards, ``index`` (slot, n_tokens, pieces as Parquet) and ``order.json`` below ``path``; returns the index.
 
     ``path`` is a folder that all executors reach, in a file system that pyarrow opens too. Null and empty texts are the
     end mark alone; rows without an id and repeated rows are documents of their own. The last sequence of each task is
     shorter, its record is filled up with zeros. An empty table writes an index without rows. Which documents share a
-    sequence depends on how Spark splits the input; a second write to the same path is meant to resume the first one
-    over the same ``sequences`` and keeps the files that are complete.
+    sequence depends on how Spark splits the input. A second write of the same sequences in the same order resumes the
+    first one and keeps the files that are complete; what the folder is for stands in ``source.json``, which is written
+    first. A folder that was begun for other sequences is an error, or with ``replace`` emptied of its shards.
     """
     source = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    kinds = "part long, n long, n_tokens long, ids binary, pieces array<struct<doc_id:long,start:long,length:long>>"
-    return write_sequences(cut(source.mapInArrow(_sequences(order), kinds), "sequences", "zstd"), path, order)
+    kinds = "part long, n long, n_tokens long, ids binary, pieces array<struct<doc_id:long,start:long,length:long>>, crc long"
+    return write_sequences(cut(source.mapInArrow(_sequences(order), kinds), "sequences", "zstd"), path, order, replace)
 
 
-def write_sequences(made: DataFrame, path: str, order: Order = Order()) -> DataFrame:
-    """Writes a table of sequences (part, n, n_tokens, ids, pieces), see ``write_in_order``."""
+def _claim(path: str, source: dict, replace: bool) -> None:
+    """Says in the folder which sequences it is for; what a stopped run left half written goes."""
+    fs, root = pyarrow.fs.FileSystem.from_uri(path)
+    fs.create_dir(root)
+    name, held = f"{root}/source.json", [f for f in fs.get_file_info(pyarrow.fs.FileSelector(root)) if f.is_file]
+    files = [f.path for f in held]
+    before = None
+    if any(f.endswith("/source.json") for f in files):
+        with fs.open_input_stream(name) as said:
+            before = json.loads(said.read())
+    ours = before == source
+    if not ours and any(f.endswith((".bin", ".json")) for f in files):
+        if not replace:
+            raise ValueError(f"{path} holds other sequences; name an empty folder, or replace them")
+        # The shards first: until the last of them is gone the folder says that it is the old one.
+        for file in sorted(files, key=lambda f: f.endswith("/source.json")):
+            if file.endswith((".bin", ".json")):
+                fs.delete_file(file)
+    for file in files:
+        if file.endswith(".tmp"):
+            fs.delete_file(file)
+    if not ours:
+        with fs.open_output_stream(name) as out:
+            out.write(json.dumps(source).encode())
+
+
+def write_sequences(made: DataFrame, path: str, order: Order = Order(), replace: bool = False) -> DataFrame:
+    """Writes a table of sequences (part, n, n_tokens, ids, pieces, crc: the CRC-32 of ids), see ``write_in_order``."""
     spark = made.sparkSession
     parts = made.groupBy("part").agg(F.count("*").alias("in_part"))  # one row for each task that made sequences
     before = F.sum("in_part").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     parts = parts.withColumn("before", F.coalesce(before, F.lit(0)))
-    total = made.count()
-    fs, root = pyarrow.fs.FileSystem.from_uri(path)
-    fs.create_dir(root)
+    digest = F.sum(F.xxhash64("part", "n", "n_tokens", "crc").cast("decimal(38,0)"))
+    total, digest = made.agg(F.count("*"), digest).first()
+    _claim(path, asdict(order) | {"sequences": total, "digest": str(digest)}, replace)
     placed = made.join(F.broadcast(parts), "part").withColumn("index", F.col("before") + F.col("n"))
     placed = placed.withColumn("slot", slot_column("index", max(1, total), order)).withColumn("shard", F.floor(F.col("slot") / order.per_shard))
     shards = max(1, -(-total // order.per_shard))
@@ -180,6 +208,7 @@ def write_sequences(made: DataFrame, path: str, order: Order = Order()) -> DataF
     written = sum(_write_wave(placed, w * shards // waves, (w + 1) * shards // waves, path, total, order) for w in range(waves))
     if written != total:
         raise RuntimeError(f"{written} of {total} sequences were written")
+    fs, root = pyarrow.fs.FileSystem.from_uri(path)
     with fs.open_output_stream(f"{root}/order.json") as out:
         out.write(json.dumps(asdict(order) | {"sequences": total}).encode())
     index = f"{path}/index"
@@ -189,7 +218,7 @@ def write_sequences(made: DataFrame, path: str, order: Order = Order()) -> DataF
 
 def _write_wave(placed: DataFrame, first: int, last: int, path: str, total: int, order: Order) -> int:
     """Writes the shards from ``first`` to before ``last``; returns their number of sequences."""
-    some = placed.select("shard", "slot", "n_tokens", "ids").where((F.col("shard") >= first) & (F.col("shard") < last))
+    some = placed.select("shard", "slot", "n_tokens", "ids", "crc").where((F.col("shard") >= first) & (F.col("shard") < last))
     ranged = some.repartition(max(1, last - first), "shard").sortWithinPartitions("shard", "slot")
     report = ranged.mapInArrow(_write(path, total, order), "shard long, sequences long, kept boolean")
     written = report.agg(F.coalesce(F.sum("sequences"), F.lit(0))).first()[0]
@@ -198,14 +227,17 @@ def _write_wave(placed: DataFrame, first: int, last: int, path: str, total: int,
     return written
 
 
-def read_in_order(spark: SparkSession, path: str, start: int = 0, end: int | None = None) -> DataFrame:
-    """(slot, n_tokens, ids, sound) of the slots from ``start`` to before ``end``, each shard read from its first wanted record on."""
+def read_in_order(spark: SparkSession, path: str, start: int = 0, end: int | None = None, digests: bool = False) -> DataFrame:
+    """(slot, n_tokens, ids, sound) of the slots from ``start`` to before ``end``, each shard read from its first wanted
+    record on; with ``digests`` the CRC-32 of the ids as 32-bit numbers (``ids_crc32``) in place of the ids."""
     fs, root = pyarrow.fs.FileSystem.from_uri(path)
     with fs.open_input_stream(f"{root}/order.json") as source:
         said = json.loads(source.read())
     total = said.pop("sequences")
     order, end = Order(**said), min(total, total if end is None else end)
 
+    names = ["slot", "n_tokens", "ids_crc32" if digests else "ids", "sound"]
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pyarrow.fs.FileSystem.from_uri(path)
         kind = np.dtype("<u2" if order.id_bytes == 2 else "<u4")
@@ -219,11 +251,12 @@ def read_in_order(spark: SparkSession, path: str, start: int = 0, end: int | Non
                     head = records[:, :_HEAD].copy().view("<u4")
                     ids = [r[_HEAD:_HEAD + int(m) * order.id_bytes].tobytes() for r, m in zip(records, head[:, 0], strict=True)]
                     sound = [zlib.crc32(i) == c for i, c in zip(ids, head[:, 1].tolist(), strict=True)]
-                    values = [np.frombuffer(i, kind).astype(np.int32) for i in ids]
-                    yield pa.RecordBatch.from_arrays([pa.array(range(a, b)), pa.array(head[:, 0].astype(np.int64)), pa.array(values, pa.list_(pa.int32())), pa.array(sound)], ["slot", "n_tokens", "ids", "sound"])
+                    values = [np.frombuffer(i, kind).astype("<i4") for i in ids]
+                    what = pa.array([zlib.crc32(v) for v in values], pa.int64()) if digests else pa.array(values, pa.list_(pa.int32()))
+                    yield pa.RecordBatch.from_arrays([pa.array(range(a, b)), pa.array(head[:, 0].astype(np.int64)), what, pa.array(sound)], names)
 
     shards = spark.range(start // order.per_shard, -(-end // order.per_shard) if end > start else start // order.per_shard, 1, max(1, -(-(end - start) // order.per_shard)))
-    return shards.mapInArrow(read, "slot long, n_tokens long, ids array<int>, sound boolean")
+    return shards.mapInArrow(read, f"slot long, n_tokens long, {'ids_crc32 long' if digests else 'ids array<int>'}, sound boolean")
 
 
 def order_digests(docs: DataFrame, path: str | None = None, order: Order = Order()) -> DataFrame:
@@ -232,10 +265,6 @@ def order_digests(docs: DataFrame, path: str | None = None, order: Order = Order
     path = path or f"{folder(spark)}/shards"
     index = write_in_order(docs, path, order)
 
-    @F.pandas_udf("long")
-    def crc(ids: pd.Series) -> pd.Series:
-        return pd.Series([zlib.crc32(np.asarray(i, "<u4").tobytes()) for i in ids], dtype="int64")
-
-    read = read_in_order(spark, path).select("slot", crc("ids").alias("ids_crc32"), "sound")
+    read = read_in_order(spark, path, digests=True).select("slot", "ids_crc32", "sound")
     return read.join(index, "slot").select("slot", F.floor(F.col("slot") / order.per_shard).alias("shard"), "n_tokens", "ids_crc32", "sound",
                                            F.col("pieces.doc_id").alias("doc_ids"), "pieces")
