@@ -1,8 +1,8 @@
 """Near-duplicate documents by SuperMinHash signatures, banding, exact checks and union-find grouping.
 
 1. Each whole text becomes its set of distinct word shingles, a signature of the set and a digest of the set.
-2. Documents with equal sets form a class; from here on its smallest id stands for it, so copies cost one row each.
-3. Band keys bring representatives together. In each bucket everyone is checked against the smallest id: this
+2. Documents with equal sets form a class; from here on one row stands for it, so copies cost one row each.
+3. Band keys bring representatives together. In each bucket everyone is checked against its first class: this
    resolves a group of any size in rows proportional to its members.
 4. What that leaves open, pairs inside a bucket that are still in different components, is checked in tiles of
    bounded size. A tile compares signatures first and full sets where the estimate allows the threshold.
@@ -58,8 +58,8 @@ def _sign(rule: NearDuplicates):
             keys = pa.FixedSizeListArray.from_arrays(pa.array(band_keys(ranks, rule.bands).view(np.int64).ravel()), rule.bands)
             low = pa.array([r.tobytes() for r in (ranks >> np.uint64(4)).astype(np.uint8)], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(size), pa.array(one), pa.array(two), keys.cast(pa.list_(pa.int64())), low],
-                ["id", "n", "d1", "d2", "bands", "low"],
+                [part.column("id"), part.column("v"), pa.array(size), pa.array(one), pa.array(two), keys.cast(pa.list_(pa.int64())), low],
+                ["id", "v", "n", "d1", "d2", "bands", "low"],
             )
 
     return sign
@@ -167,26 +167,29 @@ def _pairs_with(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, rule: NearDuplicates = NearDuplicates(), id: str | Column = "doc_id", text: str | Column = "text"
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for each row of ``docs``.
+    """(doc_id, n_shingles, component_id, kept, version, group) for each row of ``docs``.
 
     ``component_id`` is the smallest id reachable over links, ``kept`` whether it is the row's own. Null or empty
-    texts have no shingles and are linked with nothing; so are rows without an id (component null, kept). Repeated
-    rows of one id are one document with several results; other columns are not looked at. An empty table gives an
-    empty result.
+    texts have no shingles and are linked with nothing; so are rows without an id (component null, kept). Equal rows
+    have equal results. Rows of one id with different texts are documents of their own, which links join only where
+    the texts are near; ``version`` (a hash of the text) tells them apart, ``group`` the components (null where there
+    are no links by rule). Other columns are not looked at. An empty table gives an empty result.
     """
     source = docs.select(F.col(id).cast("long").alias("id") if isinstance(id, str) else id.cast("long").alias("id"),
-                         (F.col(text) if isinstance(text, str) else text).alias("text"))
-    signed = cut(source.mapInArrow(_sign(rule), "id long, n long, d1 long, d2 long, bands array<long>, low binary"), "signed")
+                         (F.col(text) if isinstance(text, str) else text).alias("text")).withColumn("v", F.xxhash64("text"))
+    signed = cut(source.mapInArrow(_sign(rule), "id long, v long, n long, d1 long, d2 long, bands array<long>, low binary"), "signed")
     full = signed.where("n > 0 and id is not null")
+    # From here on ``id`` numbers the classes; ``doc`` and ``v`` name a row of each. Two classes may have the same ``doc``.
+    one = full.groupBy("d1", "d2", "n").agg(F.min(F.struct("id", "v", "bands", "low")).alias("r"))
     reps = cut(
-        full.groupBy("d1", "d2", "n").agg(F.min(F.struct("id", "bands", "low")).alias("r")).select("d1", "d2", "n", "r.*"),
+        one.select("d1", "d2", "n", F.monotonically_increasing_id().alias("id"), F.col("r.id").alias("doc"), "r.v", "r.bands", "r.low"),
         "representatives",
     )
     entries = reps.select("id", F.posexplode("bands").alias("band", "key"))
     shared = cut(entries.groupBy("key").agg(F.min("id").alias("centre"), F.count("*").alias("members")).where("members > 1"), "buckets")
     members = cut(entries.join(shared, "key"), "members")
-    needed = members.select("id").distinct()
-    texts = source.join(needed, "id", "left_semi")
+    needed = reps.join(members.select("id").distinct(), "id", "left_semi").select("id", "doc", F.col("v").alias("doc_v"))
+    texts = source.withColumnRenamed("id", "doc_id").join(needed, (F.col("doc_id") == F.col("doc")) & (F.col("v") == F.col("doc_v"))).select("id", "text")
     sets = cut(texts.mapInArrow(_sets(rule.shingle_words), "id long, elements binary").dropDuplicates(["id"]), "sets")
 
     stars = members.where("id <> centre").select(F.col("id").alias("one"), F.col("centre").alias("two")).distinct()
@@ -208,11 +211,14 @@ def near_duplicates(
     more = rest.mapInArrow(_tiles(rule), schema)
     grouped = cut(components(links.union(more)), "components")
 
-    classes = reps.select("d1", "d2", "n", F.col("id").alias("rep"))
-    found = signed.select("id", "n", "d1", "d2").join(classes, ["d1", "d2", "n"], "left")
-    found = found.join(grouped.withColumnRenamed("node", "rep"), "rep", "left")
-    component = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.coalesce("component", "rep", "id")).otherwise(F.col("id"))
+    placed = reps.select("d1", "d2", "n", "id", "doc").join(grouped.withColumnRenamed("node", "id"), "id", "left")
+    placed = cut(placed.select("d1", "d2", "n", "doc", F.coalesce("component", "id").alias("group")), "classes")
+    least = placed.groupBy("group").agg(F.min("doc").alias("least"))
+    classes = cut(placed.join(least, "group").select("d1", "d2", "n", "group", "least"), "least")
+    found = signed.select("id", "v", "n", "d1", "d2").join(classes, ["d1", "d2", "n"], "left")
+    linked = (F.col("n") > 0) & F.col("id").isNotNull()
+    component = F.when(linked, F.col("least")).otherwise(F.col("id"))
     return found.select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"),
-        F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"),
+        F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"), F.col("v").alias("version"), F.when(linked, F.col("group")).alias("group"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from carestitch.llm import tokens, units
-from test_llm_operators import SCHEMA, _check_pieces, _groups, _prose, _rows, _targets
+from test_llm_operators import SCHEMA, _check_pieces, _components, _groups, _prose, _rows, _targets
 
 
 @pytest.fixture(scope="module")
@@ -44,15 +44,18 @@ def test_quality_keeps_whole_rows_and_drops_junk(spark, docs, folder):
 
 
 def test_one_document_of_each_group_stays(spark, docs, folder):
-    some = docs.where("doc_id is null or doc_id <> 7")
-    rows = [(r.doc_id, r.text) for r in some.collect()]
-    groups = _groups(rows)
-    kept = pipeline.near(spark, some, folder)
+    """Also where rows of one id hold different texts: each text that isn't near another stays."""
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    kept = pipeline.near(spark, docs, folder)
     assert kept.columns == docs.columns
-    ids = collections.Counter(r.doc_id for r in kept.collect())
-    alone = {i for i, _ in rows if i is not None} - set(groups)
-    assert {i for i in ids if i is not None} == set(groups.values()) | alone
-    assert all(n == 1 for i, n in ids.items() if i is not None) and ids[None] == sum(i is None for i, _ in rows)
+    got = collections.Counter((r.doc_id, r.text) for r in kept.collect())
+    linked = _components(rows)
+    alone = {x for x in rows if x[0] is not None} - {x for group in linked for x in group}
+    assert sum(got[x] for x in got if x[0] is None) == sum(i is None for i, _ in rows)
+    assert all(got[x] == 1 for x in alone)
+    for group in linked:
+        (one,) = [x for x in group if got[x]]
+        assert got[one] == 1 and one[0] == min(group)[0]
 
 
 def test_near_copies_from_a_similarity_of_0_8_on_go(spark, docs, folder):

@@ -5,6 +5,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -63,36 +64,53 @@ def _sets(rows):
     return found
 
 
-def _groups(rows, percent=85):
-    """Component by text, over rows with ids, by comparing all."""
+def _components(rows, percent=85):
+    """Sets of linked (id, text), over rows with ids and words, by comparing all."""
     sets = _sets(rows)
-    nodes = [(i, t) for i, t in rows if i is not None and sets[t]]
-    root = {i: i for i, _ in nodes}
+    nodes = sorted({(i, t) for i, t in rows if i is not None and sets[t]})
+    root = {x: x for x in nodes}
 
     def find(x):
         while root[x] != x:
             x = root[x]
         return x
 
-    for a, s in nodes:
-        for b, t in nodes:
-            both = len(sets[s] & sets[t])
-            if both and 100 * both >= percent * len(sets[s] | sets[t]):
+    for a in nodes:
+        for b in nodes:
+            s, t = sets[a[1]], sets[b[1]]
+            both = len(s & t)
+            if both and 100 * both >= percent * len(s | t):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
-    return {i: find(i) for i in root}
+    found = collections.defaultdict(set)
+    for x in nodes:
+        found[find(x)].add(x)
+    return list(found.values())
+
+
+def _groups(rows, percent=85):
+    """The smallest id linked with each (id, text)."""
+    return {x: min(group)[0] for group in _components(rows, percent) for x in group}
 
 
 def test_near_duplicates_match_a_comparison_of_all(docs):
-    rows = [(i, t) for i, t in _pairs(docs) if i != 7]
+    """Rows of one id with different texts included."""
+    rows = _pairs(docs)
     expected, sets = _groups(rows), _sets(rows)
-    got = near_duplicates.near_duplicates(docs.where("doc_id is null or doc_id <> 7")).collect()
-    assert len(got) == len(rows)
-    sizes = collections.Counter((i, len(sets[t])) for i, t in rows)
-    assert collections.Counter((r.doc_id, r.n_shingles) for r in got) == sizes
-    for r in got:
-        assert r.component_id == expected.get(r.doc_id, r.doc_id)
-        assert r.kept == (r.doc_id is None or r.component_id == r.doc_id)
+    got = near_duplicates.near_duplicates(docs).collect()
+    first = lambda i, t: expected.get((i, t), i)
+    assert collections.Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == collections.Counter(
+        (i, len(sets[t]), first(i, t), i is None or first(i, t) == i) for i, t in rows)
+
+
+def test_texts_that_share_an_id_are_told_apart(spark):
+    r = random.Random(3)
+    a, b, c = (_prose(r, 120) for _ in range(3))
+    rows = [(1, a), (1, b), (2, b), (3, c), (3, a + " more"), (4, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates.near_duplicates(table).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (3, 3, True), (4, 4, True)]
+    assert len({r.group for r in got if r.doc_id < 4}) == 3
 
 
 def test_chains_of_near_copies_are_found_past_the_centre_of_a_bucket(spark):
@@ -109,7 +127,7 @@ def test_chains_of_near_copies_are_found_past_the_centre_of_a_bucket(spark):
     rows = [(ids[i], t) for i, t in rows]
     table = spark.createDataFrame(rows, "doc_id long, text string")
     got = near_duplicates.near_duplicates(table, near_duplicates.NearDuplicates(tile=16)).collect()
-    assert {r.doc_id: r.component_id for r in got} == _groups(rows)
+    assert {r.doc_id: r.component_id for r in got} == {i: first for (i, _), first in _groups(rows).items()}
 
 
 def test_near_duplicates_of_an_empty_table(none):
@@ -454,6 +472,28 @@ def test_shards_are_read_back_from_anywhere_and_resumed(spark, docs, tmp_path):
     assert files[0].exists() and files[1].stat().st_mtime_ns == before
 
 
+def test_a_folder_is_never_taken_for_other_sequences(spark, docs, tmp_path):
+    order, path = training_order.Order(length=64, per_shard=50), f"file://{tmp_path}/shards"
+    some = docs.where("n_chars < 1000")
+    training_order.write_in_order(some, path, order)
+    (tmp_path / "shards" / ".left.tmp").write_bytes(b"x")
+    other = some.withColumn("text", F.reverse("text"))
+    with pytest.raises(ValueError):
+        training_order.write_in_order(other, path, order)
+    with pytest.raises(ValueError):
+        training_order.write_in_order(some, path, training_order.Order(length=64, per_shard=50, key=5))
+    index = {r.slot: r.pieces for r in training_order.write_in_order(other, path, order, replace=True).collect()}
+    got = training_order.read_in_order(spark, path).collect()
+    texts = {r.doc_id: r.text for r in other.collect() if r.doc_id is not None and r.doc_id != 7}
+    assert {r.slot for r in got} == set(index) and all(r.sound for r in got)
+    for r in got:
+        if all(p.doc_id in texts for p in index[r.slot]):
+            assert r.ids == [x for p in index[r.slot] for x in tokens.with_end(texts[p.doc_id]).tolist()[p.start:p.start + p.length]]
+    assert not list((tmp_path / "shards").glob(".*.tmp"))
+    crc = {r.slot: r.ids_crc32 for r in training_order.read_in_order(spark, path, digests=True).collect()}
+    assert crc == {r.slot: zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in got}
+
+
 def test_training_order_of_an_empty_table(spark, none, tmp_path):
     assert training_order.order_digests(none, f"file://{tmp_path}/none").collect() == []
 
@@ -546,3 +586,19 @@ def test_windows_stay_on_the_jvm(spark):
     table = spark.createDataFrame(_conversations(), "conv_id long, turn long, role string, text string")
     plan = chat.conversation_digests(chat.chat_windows(table))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_suffixes_of_a_long_text_are_made_in_bounded_memory():
+    """Pieces of a megabyte, whatever a text's length; both ways stay below 250 MB with the powers that a worker keeps."""
+    r = np.random.default_rng(6)
+    text, rule = r.integers(97, 123, 6 << 20, np.uint8).tobytes().decode(), suffixes.Suffixes()
+    pieces = list(suffixes._pieces([text, "short", None, text[:2_000_000]], rule.length))
+    assert max(sum(len(p[2]) for p in group) for group in pieces) <= (1 << 20) + rule.length
+    assert sum(max(0, len(p[2]) - rule.length + 1) for group in pieces for p in group) == len(text) + 2_000_000 - 2 * rule.length + 2
+    tracemalloc.start()
+    for group in pieces:
+        suffixes._anchored(group, rule)
+    suffixes._each_byte(pieces[0], [np.arange(len(text) - rule.length)] * 4, rule)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 250 << 20
