@@ -29,15 +29,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str, rule: NearDuplicates = NearDuplicates()) -> DataFrame:
-    """One document of each group of near duplicates, the one of the smallest id; rows without an id stay.
+    """One document of each group of near duplicates, that of the smallest id; rows without an id or words stay.
 
-    Repeated rows of one id are the same document, one of them stays.
+    Equal rows are one document. Different texts of one id are documents of their own: all stay, unless they are
+    near duplicates.
     """
-    kept = near_duplicates(docs, rule).where("kept and doc_id is not null").select("doc_id")
-    kept = cut(kept.groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
-    named = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
-    if kept.where("rows > 1").limit(1).count():
-        named = named.dropDuplicates(["doc_id"])
+    found = cut(near_duplicates(docs, rule).where("doc_id is not null").select("doc_id", "version", "group"), "found")
+    first = found.where("group is not null").groupBy("group").agg(F.min(F.struct("doc_id", "version")).alias("row")).select("row.*")
+    kept = first.union(found.where("group is null").select("doc_id", "version").distinct())
+    kept = cut(kept.select(F.col("doc_id").alias("n_id"), F.col("version").alias("n_version")), "kept")
+    keyed = docs.withColumns({"n_row_id": F.col("doc_id").cast("long"), "n_row_version": F.xxhash64("text")})
+    named = keyed.join(kept, (F.col("n_row_id") == F.col("n_id")) & (F.col("n_row_version") == F.col("n_version")), "left_semi")
+    if found.groupBy("doc_id", "version").count().where("count > 1").limit(1).count():
+        named = named.dropDuplicates(["n_row_id", "n_row_version"])
     return named.select(*docs.columns).union(docs.where("doc_id is null"))
 
 
