@@ -3,9 +3,11 @@
 1. Each whole text becomes its set of distinct word shingles, a signature of the set and a digest of the set.
 2. Documents with equal sets form a class; from here on one row stands for it, so copies cost one row each.
 3. Band keys bring representatives together. In each bucket everyone is checked against its first class: this
-   resolves a group of any size in rows proportional to its members.
+   resolves a group of any size in rows proportional to its members. Buckets of more members than a tile holds are
+   so checked again, against one of those that are outside their largest component, for some rounds.
 4. What that leaves open, pairs inside a bucket that are still in different components, is checked in tiles of
-   bounded size. A tile compares signatures first and full sets where the estimate allows the threshold.
+   bounded size. One of such a pair is always outside the bucket's largest component, so members are dealt out once
+   for each tile of outsiders. A tile compares signatures first and full sets where the estimate allows the threshold.
 5. Links are joined to components without collecting them.
 """
 
@@ -29,7 +31,8 @@ from .words import chunks, mix, shingles
 class NearDuplicates:
     """``percent``: link at 100 * intersection >= percent * union. With 24 bands of 4 places a pair of similarity
     0.85 shares no band with a probability of 2e-8. ``slack``: a pair is left unchecked only if its estimate is this
-    far below the threshold (5 standard deviations of 96 places)."""
+    far below the threshold (5 standard deviations of 96 places). ``tile``: members, and outsiders, of one tile.
+    ``rounds``: further centres of a bucket with more members than that; they save work, results don't depend on them."""
 
     shingle_words: int = 5
     percent: int = 85
@@ -37,6 +40,7 @@ class NearDuplicates:
     bands: int = 24
     slack: float = 0.18
     tile: int = 1500
+    rounds: int = 3
 
 
 def _digests(owner: np.ndarray, element: np.ndarray, sets: int) -> list[np.ndarray]:
@@ -99,14 +103,17 @@ def _verify(percent: int):
 
 
 def _tile_links(rows: list[dict], rule: NearDuplicates) -> tuple[list[int], list[int]]:
-    """Links between rows of one tile that lie in different components; pairs of an earlier shared band are left to it."""
+    """Links of the tile's outsiders with members of other components; pairs of an earlier shared band are left to it.
+
+    Two outsiders meet twice in a bucket: the pair is checked where the larger id is the outsider."""
     ids = np.array([r["id"] for r in rows], np.int64)
     group = np.array([r["component"] for r in rows], np.int64)
     n = np.array([r["n"] for r in rows], np.int64)
     low = np.frombuffer(b"".join(r["low"] for r in rows), np.uint8).reshape(len(rows), rule.places)
     bands = np.array([r["bands"] for r in rows], np.int64)
-    part = np.array([r["part"] for r in rows])
-    apart = rows[0]["first"] != rows[0]["second"]
+    outside = group != rows[0]["main"]
+    asks = outside & (np.array([r["o_part"] for r in rows]) == rows[0]["second"])
+    answers = np.array([r["part"] for r in rows]) == rows[0]["first"]
     band = rows[0]["band"]
     least = (rule.percent / 100 - rule.slack) * rule.places
     root: dict[int, int] = {}
@@ -119,11 +126,9 @@ def _tile_links(rows: list[dict], rule: NearDuplicates) -> tuple[list[int], list
     sets = [np.frombuffer(r["elements"], np.uint64) for r in rows]
     one: list[int] = []
     two: list[int] = []
-    for i in range(1, len(rows)):
-        open_ = group[:i] != group[i]
-        if apart:
-            open_ &= part[:i] != part[i]
-        other = np.flatnonzero(open_ & (100 * np.minimum(n[:i], n[i]) >= rule.percent * np.maximum(n[:i], n[i])))
+    for i in np.flatnonzero(asks).tolist():
+        open_ = answers & (group != group[i]) & (~outside | (ids < ids[i]))
+        other = np.flatnonzero(open_ & (100 * np.minimum(n, n[i]) >= rule.percent * np.maximum(n, n[i])))
         other = other[(low[other] == low[i]).sum(axis=1) >= least]
         if len(other):
             other = other[(bands[other] == bands[i]).argmax(axis=1) == band]
@@ -164,6 +169,34 @@ def _pairs_with(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.select("one", "two", "one_set", "two_set")
 
 
+def _placed(members: DataFrame, grouped: DataFrame) -> DataFrame:
+    """Members of buckets with their components."""
+    named = grouped.withColumnRenamed("node", "id")
+    return members.join(named, "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+
+def _open(placed: DataFrame) -> DataFrame:
+    """(key, main, largest, members) of buckets with members of more than one component."""
+    sizes = placed.groupBy("key", "component").agg(F.count("*").alias("rows"))
+    found = sizes.groupBy("key").agg(
+        F.max(F.struct("rows", "component")).alias("m"), F.sum("rows").alias("members"), F.count("*").alias("groups"))
+    return found.where("groups > 1").select("key", F.col("m.component").alias("main"), F.col("m.rows").alias("largest"), "members")
+
+
+def _dealt(placed: DataFrame, opened: DataFrame, tile: int) -> DataFrame:
+    """Members of open buckets by tile (key, first, second): in each meet the members of part ``first`` and the outsiders
+    of part ``second``. A row that is both in a tile is dealt there once."""
+    rest = placed.join(opened, "key")
+    spread = F.xxhash64("id")
+    parts = F.ceil(F.col("members") / F.lit(tile)).cast("int")
+    o_parts = F.ceil((F.col("members") - F.col("largest")) / F.lit(tile)).cast("int")
+    rest = rest.withColumns({"part": F.pmod(spread, parts).cast("int"), "o_part": F.pmod(spread, o_parts).cast("int")})
+    as_member = F.transform(F.sequence(F.lit(0), o_parts - 1), lambda j: F.struct(F.col("part").alias("first"), j.alias("second")))
+    as_outsider = F.transform(F.sequence(F.lit(0), parts - 1), lambda i: F.struct(i.alias("first"), F.col("o_part").alias("second")))
+    tiles = F.when(F.col("component") == F.col("main"), as_member).otherwise(F.array_distinct(F.concat(as_member, as_outsider)))
+    return rest.withColumn("t", F.explode(tiles)).select("key", "band", "id", "component", "main", "part", "o_part", "t.first", "t.second")
+
+
 def near_duplicates(
     docs: DataFrame, rule: NearDuplicates = NearDuplicates(), id: str | Column = "doc_id", text: str | Column = "text"
 ) -> DataFrame:
@@ -197,15 +230,21 @@ def near_duplicates(
     links = cut(_pairs_with(stars, sets).mapInArrow(_verify(rule.percent), schema), "star_links")
     grouped = cut(components(links), "grouped")
 
-    placed = members.join(grouped.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    centres = placed.where("id = centre").select("key", F.col("component").alias("main"))
-    placed = cut(placed.join(centres, "key"), "placed")
-    outside = placed.where("component <> main").groupBy("key").agg(F.count("*").alias("outside"))
-    rest = placed.join(outside, "key").where("outside > 1 or members - outside > 1")
-    chunks_ = F.ceil(F.col("members") / F.lit(rule.tile)).cast("int")
-    rest = rest.withColumn("part", F.pmod(F.xxhash64("id"), chunks_).cast("int"))
-    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), chunks_ - 1)))
-    rest = rest.select("key", "band", "id", "component", "part", F.least("part", "other").alias("first"), F.greatest("part", "other").alias("second"))
+    # Pairs with a centre are settled: the centre leaves its bucket.
+    placed = cut(_placed(members.where("id <> centre").select("key", "band", "id"), grouped), "placed")
+    opened = cut(_open(placed), "open")
+    for _ in range(rule.rounds):
+        large = placed.join(opened.where(F.col("members") > rule.tile), "key").where("component <> main")
+        chosen = cut(large.groupBy("key").agg(F.min_by(F.struct("id", "component"), F.xxhash64("id")).alias("c")), "chosen")
+        if chosen.isEmpty():
+            break
+        meets = placed.join(chosen, "key")
+        asked = meets.where("component <> c.component").select(F.col("id").alias("one"), F.col("c.id").alias("two")).distinct()
+        links = cut(links.union(_pairs_with(asked, sets).mapInArrow(_verify(rule.percent), schema)), "more_links")
+        left = placed.join(chosen, "key", "left").where("c is null or id <> c.id").select("key", "band", "id")
+        placed = cut(_placed(left, components(links)), "placed")
+        opened = cut(_open(placed), "open")
+    rest = _dealt(placed, opened, rule.tile)
     rest = rest.join(reps.select("id", "n", "bands", "low"), "id").join(sets, "id")
     rest = rest.repartition("key", "first", "second").sortWithinPartitions("key", "first", "second", "id")
     more = rest.mapInArrow(_tiles(rule), schema)

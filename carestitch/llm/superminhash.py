@@ -15,11 +15,25 @@ from .words import mix
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def signatures(owner: np.ndarray, element: np.ndarray, sets: int, places: int) -> np.ndarray:
-    """Ranks by set and place (step in the upper, fraction in the lower 32 bits); sets without elements stay empty."""
-    ranks = np.full(sets * places, _EMPTY, np.uint64)
-    order = np.broadcast_to(np.arange(places, dtype=np.uint8 if places <= 256 else np.uint16), (len(owner), places))
-    order = order.copy()
+def signatures(owner: np.ndarray, element: np.ndarray, sets: int, places: int, slice_: int = 1 << 16) -> np.ndarray:
+    """Ranks by set and place (step in the upper, fraction in the lower 32 bits); sets without elements stay empty.
+
+    ``owner`` ascends. At most ``slice_`` elements walk at a time, whatever the size of a set: ranks are minima, so
+    slices merge in place, and a set is closed once every rank it holds is of an earlier step.
+    """
+    ranks = np.full((sets, places), _EMPTY, np.uint64)
+    for start in range(0, len(owner), slice_):
+        part = owner[start:start + slice_]
+        low = int(part[0])
+        _walk(part - low, element[start:start + slice_], ranks[low:int(part[-1]) + 1])
+    return ranks
+
+
+def _walk(owner: np.ndarray, element: np.ndarray, ranks: np.ndarray) -> None:
+    """Lowers ``ranks`` (a row for each owner) by the walks of some elements."""
+    places = ranks.shape[1]
+    flat = ranks.reshape(-1)
+    order = np.broadcast_to(np.arange(places, dtype=np.uint8 if places <= 256 else np.uint16), (len(owner), places)).copy()
     half = np.uint64(32)
     for step in range(places):
         if not len(owner):
@@ -29,12 +43,10 @@ def signatures(owner: np.ndarray, element: np.ndarray, sets: int, places: int) -
         row = np.arange(len(owner))
         place = order[row, other]
         order[row, other] = order[:, step]
-        np.minimum.at(ranks, owner * places + place, (np.uint64(step) << half) | (drawn >> half))
-        open_sets = (ranks.reshape(sets, places) == _EMPTY).any(axis=1)
-        stay = open_sets[owner]
+        np.minimum.at(flat, owner * places + place, (np.uint64(step) << half) | (drawn >> half))
+        stay = (ranks >= np.uint64(step + 1) << half).any(axis=1)[owner]
         if not stay.all():
             owner, element, order = owner[stay], element[stay], order[stay]
-    return ranks.reshape(sets, places)
 
 
 def band_keys(ranks: np.ndarray, bands: int) -> np.ndarray:

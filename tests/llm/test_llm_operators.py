@@ -130,6 +130,56 @@ def test_chains_of_near_copies_are_found_past_the_centre_of_a_bucket(spark):
     assert {r.doc_id: r.component_id for r in got} == {i: first for (i, _), first in _groups(rows).items()}
 
 
+def test_a_bucket_is_dealt_in_rows_proportional_to_its_members_and_every_open_pair_meets_once(spark):
+    copies, few = 3000, 5
+    rows = [("hot", 0, i, 0 if i < copies else i) for i in range(copies + few)] + [("even", 0, i, i % 3) for i in range(90)]
+    placed = spark.createDataFrame(rows, "key string, band int, id long, component long")
+    opened = near_duplicates._open(placed)
+    dealt = near_duplicates._dealt(placed, opened, 100).collect()
+    assert sum(r.key == "hot" for r in dealt) <= 1.1 * (copies + few)
+    small = near_duplicates._dealt(placed.where("key = 'even'"), opened, 20).collect()
+    tiles = collections.defaultdict(list)
+    for r in small:
+        tiles[r.first, r.second].append(r)
+    met = collections.Counter()
+    for (first, second), rows in tiles.items():
+        assert len({r.id for r in rows}) == len(rows)
+        for a in rows:
+            for b in rows:
+                if a.component != a.main and a.o_part == second and b.part == first and a.component != b.component and (b.component == b.main or b.id < a.id):
+                    met[frozenset((a.id, b.id))] += 1
+    assert met == collections.Counter(frozenset((a, b)) for a in range(90) for b in range(a) if a % 3 != b % 3)
+
+
+@pytest.mark.parametrize("rule", [dict(tile=8), dict(tile=8, rounds=0), dict(tile=1, rounds=1), dict()])
+def test_buckets_of_several_groups_are_resolved_whatever_the_tile(spark, rule):
+    """Groups that share much of their text, so that buckets hold members of many groups and outsiders."""
+    r = random.Random(5)
+    frame, rows = _prose(r, 60).split(), []
+    for group in range(6):
+        own = _prose(r, 14).split()
+        for copy in range(9):
+            text = frame + own
+            text[r.randrange(60)] = f"c{group}x{copy}"
+            rows.append((len(rows), " ".join(text)))
+    rows += [(100 + i, " ".join(frame + _prose(r, 16).split())) for i in range(6)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates.near_duplicates(table, near_duplicates.NearDuplicates(**rule)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: first for (i, _), first in _groups(rows).items()}
+
+
+def test_signatures_of_a_huge_set_in_bounded_memory():
+    element = np.arange(2_000_000, dtype=np.uint64) * np.uint64(2654435761)
+    owner = np.zeros(len(element), np.int64)
+    tracemalloc.start()
+    ranks = signatures(owner, element, 1, 96)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20
+    few = element[:5000], owner[:5000]
+    assert (signatures(few[1], few[0], 1, 96) == signatures(few[1], few[0], 1, 96, slice_=7)).all() and (ranks >> np.uint64(32) < 96).all()
+
+
 def test_near_duplicates_of_an_empty_table(none):
     assert near_duplicates.near_duplicates(none).collect() == []
 
