@@ -351,6 +351,16 @@ def _(b: Bridge):
     return b.codebook.restricted_to(used_pairs(b("source_procedure"), ["s_procedure"])).best
 
 
+@check("field_codebooks", """select 'source_device.' || p as field, oid, concept_code, concept_id, mapped_concept_id, standard_only_id
+        from {best} b join (
+            select 's_device' as p, s_device_code_type_oid as o, s_device_code as c from {source_device}
+            union select 'm_device', m_device_code_type_oid, m_device_code from {source_device}) on o = b.oid and c = b.concept_code""")
+def _(b: Bridge):
+    fields = ["s_device", "m_device"]
+    books = b.codebook.by_field(used_pairs(b("source_device"), fields, "source_device"), [f"source_device.{f}" for f in fields], [])
+    return books.best.select("field", "oid", "concept_code", "concept_id", "mapped_concept_id", "standard_only_id")
+
+
 @check("concept_lookup", """select x.s_id, 'm_device_code' as code_field_name, c.concept_code as code, c.vocabulary_id,
         c.concept_id, c.standard_concept, c.domain_id from {source_device} x
         join {coded} c on c.oid = x.m_device_code_type_oid and c.concept_code = x.m_device_code""")

@@ -1,7 +1,7 @@
 """Key lookups and row alignment.
 
-Broadcasts happen in two ways only: a side whose row count was measured and lies below
-``BROADCAST_ROWS`` is hinted; any other side is left to Catalyst, which broadcasts below
+Broadcasts happen in two ways only: a side whose size was measured and lies below
+``BROADCAST_ROWS`` or, for code lookups, ``BROADCAST_BYTES`` is hinted; any other side is left to Catalyst, which broadcasts below
 ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, with AQE splitting hot
 partitions (``spark.sql.adaptive.skewJoin.enabled``). AQE can split a join only if both
 inputs come straight from a shuffle, so sides are de-duplicated into a table of their own
@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 500_000
+# A table resolves up to a dozen fields in one plan, each with a lookup of its own.
+BROADCAST_BYTES = 32 << 20
 
 
 def small(df: DataFrame, rows: int | None) -> DataFrame:
@@ -23,6 +25,17 @@ def small(df: DataFrame, rows: int | None) -> DataFrame:
     return F.broadcast(df) if rows is not None and rows <= BROADCAST_ROWS else df
 
 
+def small_in_bytes(df: DataFrame, size: int | None) -> DataFrame:
+    """Broadcast a side of measured bytes; leave unmeasured or large sides alone."""
+    return F.broadcast(df) if size is not None and size <= BROADCAST_BYTES else df
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """What a row takes in a broadcast side: a header, a word for each column, and the texts."""
+    texts = [F.coalesce(F.octet_length(name), F.lit(0)) + 8 for name, kind in df.dtypes if kind == "string"]
+    return sum(texts, F.lit(24 + 8 * len(df.columns)).cast("long"))
+
+
 def unique_by(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """One row per key: the smallest combination of the values (map-side combined)."""
     if not values:

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import concept_or_zero
-from .joins import small
+from .joins import small_in_bytes
 from .project import has_code
-from .vocab import Codebook
+from .vocab import Codebook, FieldBooks, field_name
 
 
 def code_columns(prefix: str) -> tuple[str, str]:
@@ -38,17 +38,18 @@ class CodedField:
     mapped_domain: str | None = None
 
 
-def _attach_best(df: DataFrame, book: Codebook, prefix: str, level: int, columns: Sequence[str]) -> DataFrame:
+def _attach_best(df: DataFrame, books: Codebook | FieldBooks, prefix: str, level: int, columns: Sequence[str]) -> DataFrame:
     code, oid = code_columns(prefix)
+    book = books.of_field(prefix)
     side = book.best.select(
         F.col("oid").alias(f"_oid_{level}"), F.col("concept_code").alias(f"_code_{level}"),
         *[F.col(c).alias(f"_{c}_{level}") for c in columns],
     )
     condition = (F.col(oid) == F.col(f"_oid_{level}")) & (F.col(code) == F.col(f"_code_{level}"))
-    return df.join(small(side, book.rows), condition, "left").drop(f"_oid_{level}", f"_code_{level}")
+    return df.join(small_in_bytes(side, book.best_bytes), condition, "left").drop(f"_oid_{level}", f"_code_{level}")
 
 
-def resolve_field(df: DataFrame, book: Codebook, field: CodedField) -> DataFrame:
+def resolve_field(df: DataFrame, book: Codebook | FieldBooks, field: CodedField) -> DataFrame:
     """Resolve one field in place: a left lookup per candidate, no self-join, no window.
 
     The first candidate whose code is a known concept wins, also if that concept maps to
@@ -83,13 +84,13 @@ def resolve_field(df: DataFrame, book: Codebook, field: CodedField) -> DataFrame
     )
 
 
-def resolve_fields(df: DataFrame, book: Codebook, fields: Sequence[CodedField]) -> DataFrame:
+def resolve_fields(df: DataFrame, book: Codebook | FieldBooks, fields: Sequence[CodedField]) -> DataFrame:
     for field in fields:
         df = resolve_field(df, book, field)
     return df
 
 
-def resolve_fanout(df: DataFrame, book: Codebook, prefix: str, how: str = "left") -> DataFrame:
+def resolve_fanout(df: DataFrame, books: Codebook | FieldBooks, prefix: str, how: str = "left") -> DataFrame:
     """One row per source row and standard target of its code, with the domains.
 
     With a left join, rows without a known code stay, with concept ids 0.
@@ -102,12 +103,13 @@ def resolve_fanout(df: DataFrame, book: Codebook, prefix: str, how: str = "left"
         "mapped_domain_id": "mapped_domain_id", "relationship_id": "relationship_id",
         "ordinal": "g_ordinal",
     }
+    book = books.of_field(prefix)
     side = book.targets.select(
         F.col("oid").alias("_oid"), F.col("concept_code").alias("_code"),
         *[F.col(c).alias(out) for c, out in names.items()],
     )
     joined = df.join(
-        small(side, book.target_rows),
+        small_in_bytes(side, book.target_bytes),
         (F.col(oid) == F.col("_oid")) & (F.col(code) == F.col("_code")), how,
     ).drop("_oid", "_code")
     if how == "left":
@@ -137,12 +139,16 @@ def best_match(matches: DataFrame, row_id: str = "g_id") -> DataFrame:
     return matches.withColumn("match_rank", F.row_number().over(ranked)).filter("match_rank = 1")
 
 
-def used_pairs(df: DataFrame, prefixes: Sequence[str]) -> DataFrame:
-    """The distinct (oid, concept_code) pairs of some coded fields, in one scan."""
-    pairs = F.array(*[
-        F.struct(F.col(code_columns(p)[1]).alias("oid"), F.col(code_columns(p)[0]).alias("concept_code"))
-        for p in prefixes
-    ])
+def used_pairs(df: DataFrame, prefixes: Sequence[str], source: str | None = None) -> DataFrame:
+    """The distinct (oid, concept_code) pairs of some coded fields, in one scan; for each
+    field apart, under a ``field`` column, if the staging table is named."""
+
+    def pair(prefix: str):
+        code, oid = code_columns(prefix)
+        named = [F.lit(field_name(source, prefix)).alias("field")] if source else []
+        return F.struct(*named, F.col(oid).alias("oid"), F.col(code).alias("concept_code"))
+
+    pairs = F.array(*[pair(p) for p in prefixes])
     return (
         df.select(F.explode(pairs).alias("_pair")).select("_pair.*")
         .filter("oid is not null and concept_code is not null").distinct()

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import small
+from .joins import row_bytes, small
 
 MAPPING_RELATIONSHIPS = ("Maps to", "Maps to value")
 
@@ -50,13 +51,20 @@ class Codebook:
              of the pair that is itself standard.
     targets  one row per pair, source concept and standard target, numbered; a pair
              without target keeps one row with a null target.
-    rows     measured size of ``best`` if known.
+    best_bytes, target_bytes  measured sizes if known.
     """
 
     best: DataFrame
     targets: DataFrame
-    rows: int | None = None
-    target_rows: int | None = None
+    best_bytes: int | None = None
+    target_bytes: int | None = None
+
+    def of_table(self, source: str) -> "Codebook":
+        """The lookups of one staging table: here one codebook serves all."""
+        return self
+
+    def of_field(self, prefix: str) -> "Codebook":
+        return self
 
     def restricted_to(self, pairs: DataFrame) -> "Codebook":
         """Only the pairs that occur in the data: (oid, concept_code) rows.
@@ -68,9 +76,64 @@ class Codebook:
         keep = lambda df: df.join(used, ["oid", "concept_code"], "left_semi")
         return Codebook(keep(self.best), keep(self.targets))
 
+    def by_field(self, used: DataFrame, lookups: Sequence[str], fanouts: Sequence[str]) -> "FieldBooks":
+        """A codebook for each coded field, of the codes that occur in it.
+
+        used     (field, oid, concept_code) rows
+        lookups  fields that take one concept: they need ``best`` only
+        fanouts  fields that take all targets: they need ``targets`` only
+        """
+
+        def part(df: DataFrame, fields: Sequence[str]) -> DataFrame:
+            wanted = used.filter(F.col("field").isin(*fields)).select("field", "oid", "concept_code").distinct()
+            return df.join(wanted, ["oid", "concept_code"]).select(*df.columns, "field")
+
+        return FieldBooks(part(self.best, lookups), part(self.targets, fanouts))
+
     def measured(self) -> "Codebook":
-        """Count both parts (call it on materialised frames: the count reads metadata)."""
-        return replace(self, rows=self.best.count(), target_rows=self.targets.count())
+        """Sum the bytes of both parts (call it on materialised frames)."""
+        size = lambda df: df.agg(F.sum(row_bytes(df))).first()[0] or 0
+        return replace(self, best_bytes=size(self.best), target_bytes=size(self.targets))
+
+
+def field_name(source: str, prefix: str) -> str:
+    return f"{source}.{prefix}"
+
+
+@dataclass(frozen=True)
+class FieldBooks:
+    """A codebook for each coded field of each staging table.
+
+    The codes of one field are few where those of another (drugs, say) may be millions:
+    kept apart, each lookup is a map-side join or a shuffle by its own size. Written
+    partitioned by ``field``, a lookup reads its own partition only.
+
+    best, targets  as in ``Codebook``, with a ``field`` column
+    best_bytes, target_bytes  measured sizes by field; a field without rows is not listed
+    """
+
+    best: DataFrame
+    targets: DataFrame
+    best_bytes: Mapping[str, int] | None = None
+    target_bytes: Mapping[str, int] | None = None
+    source: str = ""
+
+    def of_table(self, source: str) -> "FieldBooks":
+        return replace(self, source=source)
+
+    def of_field(self, prefix: str) -> Codebook:
+        name = field_name(self.source, prefix)
+        part = lambda df: df.filter(F.col("field") == name).drop("field")
+        size = lambda sizes: None if sizes is None else sizes.get(name, 0)
+        return Codebook(part(self.best), part(self.targets), size(self.best_bytes), size(self.target_bytes))
+
+    def measured(self) -> "FieldBooks":
+        """Sum the bytes of each field; as many rows as the model has coded fields come back."""
+
+        def sizes(df: DataFrame) -> dict[str, int]:
+            return {r.field: r.size for r in df.groupBy("field").agg(F.sum(row_bytes(df)).alias("size")).collect()}
+
+        return replace(self, best_bytes=sizes(self.best), target_bytes=sizes(self.targets))
 
 
 def coded_concepts(concept: DataFrame, oid_map: DataFrame, oid_rows: int | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from ..operators.joins import align_to_person, align_to_visit, key_table, lookup
 from ..operators.project import align, exclude_rows, stamp_lineage, union_by_name
 from ..operators.resolve import resolve_fanout, resolve_fields, used_pairs
 from ..operators.route import combine, in_domain
-from ..operators.vocab import Codebook
+from ..operators.vocab import Codebook, FieldBooks, field_name
 from ..specs import cdm_spec, psf_spec
 from ..specs.cdm import LINEAGE, NAMES_IN_531, normalise_version
 from . import builds as B
@@ -52,7 +52,7 @@ class CdmBuilder:
     """Builds CDM tables on demand.
 
     sources      staging tables by name
-    codebook     code → concept lookups
+    codebook     code → concept lookups, one for all fields or one for each
     materialise  called with (name, frame) at every table boundary; the default keeps
                  plans lazy, the batch pipeline writes and reloads
     measure      count materialised key tables (a read of file footers), so that those
@@ -62,7 +62,7 @@ class CdmBuilder:
 
     spark: SparkSession
     sources: Mapping[str, DataFrame]
-    codebook: Codebook
+    codebook: Codebook | FieldBooks
     version: str = "5.4"
     stable: StableIds = field(default_factory=StableIds)
     keep_unmapped: bool = True
@@ -95,16 +95,24 @@ class CdmBuilder:
         return exclude_rows(df)
 
     def used_codes(self) -> DataFrame:
-        """The distinct (oid, concept_code) pairs of all staging tables: one scan of the
+        """The distinct (field, oid, concept_code) of all staging tables: one scan of the
         code columns, combined before any shuffle."""
         parts = []
         for build in (*B.DIMENSIONS, *B.FACTS):
             prefixes = [p for f in build.codes for p in f.candidates]
             prefixes += [build.fanout] if build.fanout else []
             if prefixes:
-                parts.append(used_pairs(self.staged(build.source), prefixes))
+                parts.append(used_pairs(self.staged(build.source), prefixes, build.source))
         return union_by_name(parts).distinct()
 
+    def field_books(self, whole: Codebook, write: Callable[[str, DataFrame], DataFrame]) -> FieldBooks:
+        """The codes that each field uses, written and measured before any lookup."""
+        builds = (*B.DIMENSIONS, *B.FACTS)
+        lookups = [field_name(b.source, p) for b in builds for f in b.codes for p in f.candidates]
+        fanouts = [field_name(b.source, b.fanout) for b in builds if b.fanout]
+        books = whole.by_field(write("support/used_codes", self.used_codes()), lookups, fanouts)
+        return FieldBooks(write("support/codes", books.best), write("support/code_targets", books.targets)).measured()
+
     def _resolved(self, build: B.SourceBuild, codes: bool = True) -> DataFrame:
         """Staging rows with codes resolved, persons, visits and dimension keys attached;
         without ``codes`` only persons and visits.
@@ -115,9 +123,10 @@ class CdmBuilder:
         df = self.staged(build.source)
         if build.row_filter:
             df = df.filter(build.row_filter)
-        df = resolve_fields(df, self.codebook, build.codes if codes else ())
+        books = self.codebook.of_table(build.source)
+        df = resolve_fields(df, books, build.codes if codes else ())
         if build.fanout:
-            df = resolve_fanout(df, self.codebook, build.fanout)
+            df = resolve_fanout(df, books, build.fanout)
         elif build.domain_column:
             df = df.withColumns({"mapped_domain_id": F.col(build.domain_column),
                                  "domain_id": F.col(build.domain_column)})

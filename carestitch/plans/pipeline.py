@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import distinct_with_row_id, fanout_bits, with_small_ids
 from ..operators.project import union_by_name
-from ..operators.vocab import Codebook, build_codebook
+from ..operators.vocab import build_codebook
 from ..sinks.parquet import (
-    export_tables, table_path, write_and_reload, write_by_domain, write_manifest, write_staged,
+    export_tables, table_path, write_and_reload, write_by_domain, write_by_field, write_manifest, write_staged,
 )
 from ..sinks.registry import rekeyed
 from ..sources import ccda
@@ -70,6 +70,8 @@ def map_to_cdm(spark: SparkSession, config: Mapping, manifest_path: str | None =
         if name.endswith("_matched"):
             source = name.removeprefix("support/").removesuffix("_matched")
             return write_staged(df, path, staged_by[source]) if source in staged_by else write_by_domain(df, path)
+        if name in ("support/codes", "support/code_targets"):
+            return write_by_field(df, path)
         return write_and_reload(df, path)
 
     sources = load_tables(spark, STAGED_TABLES, source_base)
@@ -79,10 +81,8 @@ def map_to_cdm(spark: SparkSession, config: Mapping, manifest_path: str | None =
         keep_unmapped=config.get("keep_unmapped", True), materialise=write, measure=True,
         keep_columns=frozenset(staged_by.values()),
     )
-    # Only the codes the data uses are looked up; their number is known before any join.
-    used = whole.restricted_to(write("support/used_codes", builder.used_codes()))
-    builder.codebook = Codebook(
-        write("support/codes", used.best), write("support/code_targets", used.targets)).measured()
+    # Only the codes a field uses are looked up in it; their size is known before any join.
+    builder.codebook = builder.field_books(whole, write)
     builder.fanout_bits = fanout_bits(builder.codebook.targets.agg(F.max("ordinal")).first()[0] or 0)
     builder.sources = sources | {b.source: with_small_ids(sources[b.source], builder.fanout_bits) for b in B.FACTS}
     names = builder.table_names()

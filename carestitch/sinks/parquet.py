@@ -74,6 +74,11 @@ def write_by_domain(df: DataFrame, path: str) -> DataFrame:
     return write_and_reload(df.hint("rebalance", "mapped_domain_id"), path, "mapped_domain_id")
 
 
+def write_by_field(df: DataFrame, path: str) -> DataFrame:
+    """Code lookups partitioned by the field they serve."""
+    return write_and_reload(df.hint("rebalance", "field"), path, "field")
+
+
 def write_staged(df: DataFrame, path: str, split_by: str, partial: bool = False) -> DataFrame:
     """A large table built in one job, laid out by a chosen column and by domain.
 

@@ -140,6 +140,34 @@ def test_a_staged_rerun_keeps_nothing_of_the_run_before(spark, tmp_path):
     assert [r.split for r in write_staged(rows.filter("split = 'b'"), path, "split").collect()] == ["b"]
 
 
+def test_fields_of_few_codes_stay_broadcast_beside_millions_of_drug_codes(spark, tmp_path):
+    """Each lookup goes by the size of its own field and reads its own partition."""
+    from carestitch.operators.resolve import CodedField, resolve_fanout, resolve_fields
+    from carestitch.operators.vocab import FieldBooks
+    from carestitch.sinks.parquet import write_by_field
+    many = spark.range(2_000_000).select(F.lit("t.s_drug").alias("field"), F.col("id").cast("string").alias("concept_code"))
+    few = spark.range(90).select(F.element_at(F.array(*[F.lit(f"t.s_{f}") for f in ("type", "unit", "route")]), (F.col("id") % 3 + 1).cast("int")).alias("field"),
+                                 F.concat(F.lit("c"), F.col("id").cast("string")).alias("concept_code"))
+    codes = many.union(few).select("field", F.lit("o").alias("oid"), "concept_code", F.xxhash64("concept_code").alias("concept_id"))
+    best = codes.withColumns({"mapped_concept_id": F.col("concept_id"), "mapped_domain_id": F.lit("Drug"), "standard_only_id": F.col("concept_id")})
+    targets = best.drop("standard_only_id").withColumns({
+        "vocabulary_id": F.lit("V"), "standard_concept": F.lit("S"), "domain_id": F.lit("Drug"), "mapped_vocabulary_id": F.lit("V"),
+        "relationship_id": F.lit("Maps to"), "ordinal": F.lit(0)}).filter("field = 't.s_drug'")
+    books = FieldBooks(write_by_field(best, f"{tmp_path}/codes"), write_by_field(targets, f"{tmp_path}/targets")).measured()
+    assert books.best_bytes["t.s_drug"] > 100_000_000 > 10_000 > books.best_bytes["t.s_unit"]
+    facts = spark.range(3000).select("id", *[c for n, f in enumerate(("type", "unit", "route")) for c in (
+        F.concat(F.lit("c"), (F.col("id") % 2 * 3 + n).cast("string")).alias(f"s_{f}_code"), F.lit("o").alias(f"s_{f}_code_type_oid"))],
+        F.col("id").cast("string").alias("s_drug_code"), F.lit("o").alias("s_drug_code_type_oid"))
+    found = resolve_fields(facts, books.of_table("t"), [CodedField(f, (f"s_{f}",)) for f in ("type", "unit", "route")])
+    found = resolve_fanout(found, books.of_table("t"), "s_drug")
+    with settings(spark, spark__sql__adaptive__enabled="false"):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") == 3 and plan.count("SortMergeJoin") + plan.count("ShuffledHashJoin") == 1
+        assert plan.count("PartitionFilters: [isnotnull(field") == 4
+    row = found.agg(F.count("*"), F.sum(((F.col("g_concept_id") != 0) & (F.col("unit") != 0)).cast("int"))).first()
+    assert row[0] == row[1] == 3000
+
+
 def test_distinct_rows_get_their_ids_in_one_exchange(spark):
     from carestitch.functions.keys import distinct_with_row_id
     rows = spark.range(1000).select((F.col("id") % 100).cast("string").alias("a"), F.lit("x").alias("b"))
