@@ -14,6 +14,7 @@ from ..sinks.parquet import (
     export_tables, table_path, write_and_reload, write_by_domain, write_by_field, write_manifest, write_staged,
 )
 from ..sinks.registry import rekeyed
+from ..sinks.versions import new_version, prune_versions
 from ..sources import ccda
 from ..sources.parquet import attach_catalog, load_tables
 from ..sources.tabular import dict_table, json_dict_table
@@ -54,9 +55,16 @@ def map_to_cdm(spark: SparkSession, config: Mapping, manifest_path: str | None =
     """Build every CDM table from staged tables; returns (and writes) the manifest.
 
     Each table is written once and read back, so a lost executor costs at most the stage
-    of one table and plans stay small.
+    of one table and plans stay small. With ``keep_versions`` in the configuration the run
+    writes to a folder of its own below the output location, the manifest is swapped last,
+    and that many runs are kept.
     """
     output = config["ohdsi_output_location"]
+    kept = config.get("keep_versions")
+    if kept is not None:
+        if not manifest_path or kept < 1:
+            raise ValueError("keep_versions is 1 at least and needs a manifest, which names the finished run")
+        output = new_version(output)
     vocabulary_base = config["export_concept_mapping_table_path"]
     source_base = config["prepared_source_table_path"]
     version = normalise_version(config.get("ohdsi_version", "5.4"))
@@ -110,6 +118,8 @@ def map_to_cdm(spark: SparkSession, config: Mapping, manifest_path: str | None =
     }
     if manifest_path:
         write_manifest(spark, manifest, manifest_path)
+    if kept is not None:
+        prune_versions(spark, config["ohdsi_output_location"], output, kept)
     return manifest
 
 

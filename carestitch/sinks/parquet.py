@@ -102,15 +102,29 @@ def distinct_splits(df: DataFrame, column: str) -> DataFrame:
 # -- manifest ---------------------------------------------------------------------------
 
 def write_manifest(spark: SparkSession, manifest: Mapping[str, Mapping[str, str]], path: str) -> None:
-    """{group: {table: path}} as one JSON file in any file system Spark can write."""
+    """{group: {table: path}} as one JSON file in any file system Spark can write.
+
+    The file is written beside its place and renamed over it: readers see the manifest before or this one, whole.
+    """
     text = json.dumps(manifest, sort_keys=True, indent=4)
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    out = fs.create(target, True)
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    target = hadoop.Path(path)
+    fs = target.getFileSystem(conf)
+    target = fs.makeQualified(target)
+    draft = hadoop.Path(target.getParent(), f".{target.getName()}.{uuid.uuid4().hex}")
     try:
-        out.write(bytearray(text.encode("utf-8")))
+        out = fs.create(draft, True)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+        rename = getattr(hadoop, "Options$Rename")
+        how = spark.sparkContext._gateway.new_array(rename, 1)
+        how[0] = rename.OVERWRITE
+        hadoop.FileContext.getFileContext(target.toUri(), conf).rename(draft, target, how)
     finally:
-        out.close()
+        if fs.exists(draft):
+            fs.delete(draft, False)
 
 
 def read_manifest(spark: SparkSession, path: str) -> dict[str, dict[str, str]]:

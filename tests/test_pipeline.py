@@ -232,6 +232,30 @@ def test_staged_build_and_version_531(spark, config, cdm):
     assert "procedure_end_date" not in spark.read.parquet(paths["procedure_occurrence"]).columns
 
 
+def test_a_run_that_stops_leaves_the_run_before_as_it_was(spark, config, tmp_path, monkeypatch):
+    from carestitch.plans import pipeline
+    from carestitch.sinks.versions import versions
+    versioned = config | {"ohdsi_output_location": f"{tmp_path}/cdm", "keep_versions": 1}
+    path = f"{tmp_path}/cdm/manifest.json"
+    map_to_cdm(spark, versioned, path)
+    before = {t: spark.read.parquet(p).count() for t, p in read_manifest(spark, path)["ohdsi"].items()}
+    assert before["person"] > 0 and len(versions(spark, f"{tmp_path}/cdm")) == 1
+    whole = pipeline.CdmBuilder._build
+
+    def stops(builder, name):
+        if name == "provider":
+            raise RuntimeError("stopped midway")
+        return whole(builder, name)
+
+    monkeypatch.setattr(pipeline.CdmBuilder, "_build", stops)
+    with pytest.raises(RuntimeError):
+        map_to_cdm(spark, versioned, path)
+    assert len(versions(spark, f"{tmp_path}/cdm")) == 2
+    assert {t: spark.read.parquet(p).count() for t, p in read_manifest(spark, path)["ohdsi"].items()} == before
+    with pytest.raises(ValueError):
+        map_to_cdm(spark, versioned)
+
+
 def test_report_runs_every_statistic(spark, manifest):
     results = run_report(spark, manifest, extended=True)
     assert len(STANDARD) == 30 and len(EXTENDED) == 8 and set(results) == {*STANDARD, *EXTENDED}
