@@ -3,11 +3,17 @@
 n = distinct persons, n_r = rows, p_n = all persons. The person total is a scalar
 subquery, not a cross join. Concept joins are inner: concept 0 shows only if the vocabulary
 holds a concept 0.
+
+Rows and distinct keys are counted by grouping sets, whatever the number of keys and groups: a statistic reads its
+table once, and a report counts each table once for all statistics of it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +22,8 @@ from ..operators.percentiles import percentiles_of_counts
 from ..sinks.parquet import shared_folder, write_and_reload
 
 Tables = Callable[[str], DataFrame]
+#: What is counted: distinct values of a column, over the whole table (None) or by an SQL expression.
+Pair = tuple[str | None, str]
 
 _PEOPLE = {"n": "person_id"}
 _VISITS = {"n_visits": "visit_occurrence_id"}
@@ -29,8 +37,75 @@ def _rows() -> Column:
     return F.count(F.lit(1)).alias("n_r")
 
 
-def with_person_total(df: DataFrame, tables: Tables) -> DataFrame:
-    total = tables("person").agg(F.count_distinct("person_id")).scalar()
+@dataclass(frozen=True)
+class Counts:
+    """Counts of one table: a row for each pair (``pair``, its place in ``pairs``) and group, with the group's value in
+    the column of its place in ``groups``, the distinct values of the key (``n_distinct``) and the rows (``n_r``)."""
+
+    pairs: tuple[Pair, ...]
+    groups: tuple[str, ...]
+    rows: DataFrame
+
+    def _of(self, pair: Pair, column: str) -> Column:
+        return F.coalesce(F.max(F.when(F.col("pair") == self.pairs.index(pair), F.col(column))), F.lit(0))
+
+    def whole(self, distinct: dict[str, str]) -> DataFrame:
+        """One row: each key's distinct values and n_r; zeros for an empty table."""
+        pairs = {out: (None, column) for out, column in distinct.items()}
+        first = next(iter(pairs.values()))
+        return self.rows.agg(*[self._of(pair, "n_distinct").alias(out) for out, pair in pairs.items()], self._of(first, "n_r").alias("n_r"))
+
+    def by(self, group: str, name: str, distinct: dict[str, str]) -> DataFrame:
+        """One row for each value of the group, null included: ``name``, each key's distinct values and n_r."""
+        pairs = {out: (group, column) for out, column in distinct.items()}
+        first = next(iter(pairs.values()))
+        chosen = self.rows.filter(F.col("pair").isin([self.pairs.index(pair) for pair in pairs.values()]))
+        return chosen.groupBy(F.col(f"g{self.groups.index(group)}").alias(name)).agg(
+            *[self._of(pair, "n_distinct").alias(out) for out, pair in pairs.items()], self._of(first, "n_r").alias("n_r"))
+
+
+def count_pairs(facts: DataFrame, pairs: Iterable[Pair]) -> Counts:
+    """All pairs in one pass over ``facts``: distinct (group, key) first, combined before the shuffle and spread by the
+    key, so that no group is held in one task; then counts of them by group."""
+    pairs = tuple(dict.fromkeys(pairs))
+    groups, keys = (tuple(dict.fromkeys(x for x in side if x is not None)) for side in zip(*pairs, strict=True))
+    columns = [f"g{i}" for i in range(len(groups))] + [f"k{i}" for i in range(len(keys))]
+    sets = [([f"g{groups.index(group)}"] if group is not None else []) + [f"k{keys.index(key)}"] for group, key in pairs]
+    plain = facts.select(*[F.expr(e).alias(c) for e, c in zip((*groups, *keys), columns, strict=True)])
+    seen = plain.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in columns]).agg(
+        F.grouping_id().alias("set"), F.count(F.lit(1)).alias("n"))
+    place = F.lit(None).cast("int")
+    for i, s in enumerate(sets):
+        place = F.when(F.col("set") == sum(1 << (len(columns) - 1 - j) for j, c in enumerate(columns) if c not in s), i).otherwise(place)
+    has_key = reduce(or_, [F.col(c).isNotNull() for c in columns[len(groups):]])  # a set holds one key, the others are null
+    rows = seen.groupBy(place.alias("pair"), *columns[:len(groups)]).agg(F.count_if(has_key).alias("n_distinct"), F.sum("n").alias("n_r"))
+    return Counts(pairs, groups, rows)
+
+
+@dataclass
+class Scans:
+    """The tables of a report. Named in ``shared``, a table's pairs are counted together when the first is asked for, and
+    the counts written; other pairs are counted as asked for."""
+
+    tables: Tables
+    shared: dict[str, list[Pair]] = field(default_factory=dict)
+    written: dict[str, Counts] = field(default_factory=dict)
+
+    def __call__(self, name: str) -> DataFrame:
+        return self.tables(name)
+
+    def counts(self, table: str, pairs: list[Pair]) -> Counts:
+        if not set(pairs) <= set(self.shared.get(table, ())):
+            return count_pairs(self.tables(table), pairs)
+        if table not in self.written:
+            counts = count_pairs(self.tables(table), self.shared[table])
+            rows = write_and_reload(counts.rows, f"{shared_folder(counts.rows.sparkSession)}/{table}_counts")
+            self.written[table] = Counts(counts.pairs, counts.groups, rows)
+        return self.written[table]
+
+
+def with_person_total(df: DataFrame, scans: Scans) -> DataFrame:
+    total = scans.counts("person", [(None, "person_id")]).whole(_PEOPLE).select("n").scalar()
     return df.withColumn("p_n", total)
 
 
@@ -41,77 +116,84 @@ def with_ratio(df: DataFrame) -> DataFrame:
     return df
 
 
-def _total(table: str, distinct: dict[str, str], per_person: bool = True):
-    """Rows and distinct keys of a whole table.
+@dataclass(frozen=True)
+class _Counted:
+    """A statistic made of counts of one table."""
 
-    Each key is counted on its own: several distinct counts in one aggregate would list
-    every row once for each of them.
-    """
+    table: str
+    pairs: list[Pair]
+    build: Callable[[Counts, Scans], DataFrame]
+
+    def __call__(self, scans: Scans) -> DataFrame:
+        return self.build(scans.counts(self.table, self.pairs), scans)
+
+
+def _total(table: str, distinct: dict[str, str], per_person: bool = True) -> _Counted:
+    """Rows and distinct keys of a whole table."""
 
-    def run(tables: Tables) -> DataFrame:
-        counts = tables(table).agg(_rows())
-        for out, column in distinct.items():
-            counts = counts.withColumn(out, tables(table).agg(F.count_distinct(column)).scalar())
-        counts = counts.select(*distinct, "n_r")
-        return with_person_total(counts, tables) if per_person else counts
+    def build(counts: Counts, scans: Scans) -> DataFrame:
+        return with_person_total(counts.whole(distinct), scans) if per_person else counts.whole(distinct)
 
-    return run
+    return _Counted(table, [(None, column) for column in distinct.values()], build)
 
 
 def _concept_names(tables: Tables, key: str, name: str) -> DataFrame:
     return tables("concept").select(F.col("concept_id").alias(key), F.col("concept_name").alias(name))
 
 
-def _by_person_concept(kind: str):
+def _by_person_concept(kind: str) -> _Counted:
     """Persons by gender, race or ethnicity."""
+    key, name = f"{kind}_concept_id", f"{kind}_concept_name"
 
-    def run(tables: Tables) -> DataFrame:
-        key, name = f"{kind}_concept_id", f"{kind}_concept_name"
-        counts = tables("person").groupBy(key).agg(*_distinct(_PEOPLE), _rows())
-        named = counts.join(_concept_names(tables, key, name), key).drop(key)
-        return with_person_total(named, tables).orderBy(F.desc("n_r"), name)
+    def build(counts: Counts, scans: Scans) -> DataFrame:
+        named = counts.by(key, key, _PEOPLE).join(_concept_names(scans, key, name), key).drop(key)
+        return with_person_total(named, scans).orderBy(F.desc("n_r"), name)
 
-    return run
+    return _Counted("person", [(key, "person_id")], build)
 
 
-def _by_concept(table: str, key: str, name: str):
+def _by_concept(table: str, key: str, name: str) -> _Counted:
     """Persons and rows per concept. Facts are counted before the names are joined, so
     the join sees one row per concept."""
 
-    def run(tables: Tables) -> DataFrame:
-        counts = tables(table).groupBy(key).agg(*_distinct(_PEOPLE), _rows())
-        return counts.join(_concept_names(tables, key, name), key).orderBy(F.desc("n_r"), key)
+    def build(counts: Counts, scans: Scans) -> DataFrame:
+        return counts.by(key, key, _PEOPLE).join(_concept_names(scans, key, name), key).orderBy(F.desc("n_r"), key)
 
-    return run
+    return _Counted(table, [(key, "person_id")], build)
 
 
-def _by_year(table: str, date: str, year: str, rows: bool = True):
-    def run(tables: Tables) -> DataFrame:
-        counts = [*_distinct({**_PEOPLE, **_VISITS}), *([_rows()] if rows else [])]
-        return tables(table).groupBy(F.year(date).alias(year)).agg(*counts).orderBy(F.desc(year))
+def _by_year(table: str, date: str, year: str, rows: bool = True) -> _Counted:
+    group, distinct = f"year({date})", {**_PEOPLE, **_VISITS}
 
-    return run
+    def build(counts: Counts, scans: Scans) -> DataFrame:
+        found = counts.by(group, year, distinct)
+        return (found if rows else found.drop("n_r")).orderBy(F.desc(year))
+
+    return _Counted(table, [(group, column) for column in distinct.values()], build)
 
 
 def measurement_concepts(tables: Tables) -> DataFrame:
     """Counts, ranges and exact quartiles per measurement concept and unit.
 
-    The group is the unit's code. Facts are aggregated by ids first, once by value, for everything but persons, and once
-    by person; the counts by value are written, as the quartiles read them several times. Codes and names are joined to what
-    is left.
+    The group is the unit's code. One pass over the facts aggregates them by ids, once by value and once by person;
+    that is written, as the quartiles read it several times. Codes and names are joined to what is left.
     """
     facts, concept = tables("measurement"), tables("concept")
     ids, keys = ["measurement_concept_id", "unit_concept_id"], ["measurement_concept_id", "unit_concept_code"]
-    by_value = facts.groupBy(*ids, F.col("value_as_number").cast("double").alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("measurement_date").alias("_first"), F.max("measurement_date").alias("_last"))
-    units = concept.select(F.col("concept_id").alias("unit_concept_id"), F.col("concept_code").alias("unit_concept_code"))
-    units = units.join(facts.select("unit_concept_id").distinct(), "unit_concept_id", "left_semi")
+    plain = facts.select(*ids, "person_id", F.col("value_as_number").cast("double").alias("_v"), "measurement_date")
+    seen = plain.groupingSets([[*ids, "_v"], [*ids, "person_id"]], *ids, "_v", "person_id").agg(
+        F.grouping("_v").alias("_of_person"), F.count(F.lit(1)).alias("_n"), F.min("measurement_date").alias("_first"),
+        F.max("measurement_date").alias("_last"))
     folder = shared_folder(facts.sparkSession)
+    seen = write_and_reload(seen, f"{folder}/measurements", partition_by="_of_person")
+    by_value, by_person = seen.filter("_of_person = 0"), seen.filter("_of_person = 1")
+    units = concept.select(F.col("concept_id").alias("unit_concept_id"), F.col("concept_code").alias("unit_concept_code"))
+    units = units.join(by_person.select("unit_concept_id").distinct(), "unit_concept_id", "left_semi")
     coded = write_and_reload(by_value.join(units, "unit_concept_id", "left").select(*keys, "_v", "_n", "_first", "_last"), f"{folder}/by_value")
     counts = coded.groupBy(*keys).agg(
         F.sum("_n").alias("n_r"), F.min("_v").alias("min_value_as_number"), F.max("_v").alias("max_value_as_number"),
         F.min("_first").alias("min_measurement_date"), F.max("_last").alias("max_measurement_date"))
-    people = facts.select(*ids, "person_id").distinct().join(units, "unit_concept_id", "left").groupBy(*keys).agg(*_distinct(_PEOPLE))
+    people = by_person.join(units, "unit_concept_id", "left").groupBy(*keys).agg(*_distinct(_PEOPLE))
     # Units that share a code: their counts of a value are added up by the ranks.
     quartiles = percentiles_of_counts(coded.filter("_v is not null").select(*keys, "_v", "_n"), keys, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
 
@@ -153,7 +235,7 @@ def unmapped_drugs(tables: Tables) -> DataFrame:
     return counts.join(source, "drug_source_concept_id").orderBy(F.desc("n_r"), "drug_source_value")
 
 
-def _clinical(table: str, key: str, out: str):
+def _clinical(table: str, key: str, out: str) -> _Counted:
     return _total(table, {**_PEOPLE, **_VISITS, out: key})
 
 
@@ -212,10 +294,19 @@ STATISTICS = {**STANDARD, **EXTENDED}
 
 
 def statistic(name: str, tables: Tables) -> DataFrame:
-    return STATISTICS[name](tables)
+    return STATISTICS[name](Scans(tables))
 
 
 def report(tables: Tables, extended: bool = False) -> dict[str, DataFrame]:
-    """All statistics, with the share of persons added where it applies."""
+    """All statistics, with the share of persons added where it applies.
+
+    Each table's counts are made here, in one pass over it, and written; the statistics read them. Only the measurements'
+    quartiles, the drugs without a standard concept and the top locations read their tables once more.
+    """
     chosen = STATISTICS if extended else STANDARD
-    return {name: with_ratio(build(tables)) for name, build in chosen.items()}
+    scans = Scans(tables)
+    scans.shared["person"] = [(None, "person_id")]
+    for build in chosen.values():
+        if isinstance(build, _Counted):
+            scans.shared.setdefault(build.table, []).extend(build.pairs)
+    return {name: with_ratio(build(scans)) for name, build in chosen.items()}
