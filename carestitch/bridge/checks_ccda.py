@@ -9,7 +9,7 @@ from ..sources import ccda
 from .registry import check, portable
 from .views import Bridge
 
-# Values of an order's document. Orders of priority 5 come from a phone export, orders of
+# Values of an order's document. Orders of priority 5 come from a phone export (no sections of results), orders of
 # status O list their problem under the second problem code.
 _ORDERS = """select o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_totalprice,
     'C' || cast(o_custkey as string) as person, 'O' || cast(o_orderkey as string) as doc,
@@ -33,11 +33,17 @@ def _document() -> F.Column:
         "</observation></component><component><observation><id root=\"text-{doc}\"/>"
         "<code code=\"T\" codeSystem=\"{lab_oid}\"/><value xsi:type=\"ST\">{o_orderpriority}</value>"
         "</observation></component></organizer></entry>")
-    phone = (
-        "<entry><organizer><code code=\"386053000\" codeSystem=\"2.16.840.1.113883.6.96\"/><component><observation>"
-        "<id root=\"phone-{doc}\"/><code code=\"P\" codeSystem=\"{lab_oid}\" displayName=\"{word}\"/>"
+    phone = "".join(
+        f"<entry><organizer><code code=\"{code}\" codeSystem=\"2.16.840.1.113883.6.96\"/><component><observation>"
+        f"<id root=\"{name}-{{doc}}\"/><code code=\"{letter}\" codeSystem=\"{{lab_oid}}\" displayName=\"{{word}}\"/>"
         "<effectiveTime><low value=\"{stamp}+0100\"/></effectiveTime>"
-        "<value xsi:type=\"PQ\" value=\"{amount}\" unit=\"lb\"/></observation></component></organizer></entry>")
+        "<value xsi:type=\"PQ\" value=\"{amount}\" unit=\"lb\"/></observation></component></organizer></entry>"
+        for code, name, letter in (("386053000", "phone", "P"), ("46680005", "pulse", "W")))
+    vitals = (
+        "<component><section><code code=\"8716-3\" codeSystem=\"2.16.840.1.113883.6.1\"/><entry><organizer><component><observation>"
+        "<id root=\"vital-{doc}\"/><code code=\"V\" codeSystem=\"2.16.840.1.113883.6.1\"><originalText>Pulse</originalText></code>"
+        "<effectiveTime value=\"{stamp}\"/><value xsi:type=\"PQ\" value=\"{c_nationkey}\" unit=\"\"/>"
+        "</observation></component></organizer></entry></section></component>")
     parts = [
         "<?xml version=\"1.0\" encoding=\"UTF-8\"?><ClinicalDocument xmlns=\"urn:hl7-org:v3\" "
         "xmlns:xsi=\"http://www.w3.org/2001/XMLSchema-instance\"><recordTarget><patientRole><id root=\"id-{person}\"/><patient>"
@@ -67,11 +73,7 @@ def _document() -> F.Column:
         "<doseQuantity value=\"{c_nationkey}\" unit=\"mg\"/><consumable><manufacturedProduct><manufacturedMaterial>"
         "<code code=\"{o_custkey}\" codeSystem=\"2.16.840.1.113883.6.88\" codeSystemName=\"RxNorm\" displayName=\"{word}\"/>"
         "</manufacturedMaterial></manufacturedProduct></consumable></substanceAdministration></entry></section></component>",
-        "<component><section><code code=\"8716-3\" codeSystem=\"2.16.840.1.113883.6.1\"/><entry><organizer><component><observation>"
-        "<id root=\"vital-{doc}\"/><code code=\"V\" codeSystem=\"2.16.840.1.113883.6.1\"><originalText>Pulse</originalText></code>"
-        "<effectiveTime value=\"{stamp}\"/><value xsi:type=\"PQ\" value=\"{c_nationkey}\" unit=\"\"/>"
-        "</observation></component></organizer></entry></section></component>",
-        "{lab_section}</structuredBody></component></ClinicalDocument>",
+        "{vital_section}{lab_section}</structuredBody></component></ClinicalDocument>",
     ]
     from_phone = F.col("o_orderpriority") == "5-LOW"
     status = F.col("o_orderstatus")
@@ -94,6 +96,7 @@ def _document() -> F.Column:
 
     fields["phone_entry"] = F.when(from_phone, fill(phone)).otherwise("")
     section = f"<component><section>{labs}</section></component>"
+    fields["vital_section"] = F.when(from_phone, F.lit("")).otherwise(fill(vitals))
     fields["lab_section"] = F.when(from_phone, F.lit("")).otherwise(fill(section))
     return fill("".join(parts))
 
@@ -171,7 +174,9 @@ _section("labs", ccda.lab_results, _LAB_COLUMNS, _LABS)
 _section("vitals", ccda.vital_results,
          "s_person_id s_id s_obtained_datetime s_name s_code s_result_numeric s_result_unit_code",
          f"""select {_PERSON}, 'vital-' || doc as s_id, taken as s_obtained_datetime, 'Pulse' as s_name, 'V' as s_code,
-         cast(c_nationkey as string) as s_result_numeric, null as s_result_unit_code from {_D}""")
+         cast(c_nationkey as string) as s_result_numeric, null as s_result_unit_code from {_D} where o_orderpriority <> '5-LOW'
+         union all select {_PERSON}, 'pulse-' || doc, cast(cast(taken as timestamp) - interval 1 hour as varchar), null, 'W', amount, 'lb'
+         from {_D} where o_orderpriority = '5-LOW'""")
 _section("medication", ccda.medications,
          "s_person_id s_id s_start_medication_datetime s_end_medication_datetime s_status s_route s_route_code "
          "s_quantity s_dose_unit s_drug_code s_drug_code_type s_drug_text",

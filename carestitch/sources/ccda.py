@@ -2,17 +2,14 @@
 
 Documents are rows (path, xml). They are parsed once under one explicit schema; every
 section is then an expression over the parsed arrays of its own document, so no section
-needs a shuffle or a join. Attribute fields start with an underscore.
+needs a shuffle or a join, but for the texts that notes refer to (``narrative``). Attribute fields start with an underscore.
 """
 
 from __future__ import annotations
 
-import xml.etree.ElementTree as ElementTree
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions.dates import hl7_timestamp
 from ..functions.keys import person_key
@@ -305,19 +302,58 @@ def medications(parsed: DataFrame) -> DataFrame:
     return _rows(parsed, items, "source_medication", columns, "c-cda/")
 
 
-@F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
-def _narrative(xml: pd.Series, wanted: pd.Series) -> pd.Series:
-    """Texts of the content and paragraph elements a document's notes refer to."""
-    def texts(document: str, references) -> dict[str, str]:
-        found = {"content": {}, "paragraph": {}}
-        for element in ElementTree.fromstring(document).iter():
-            kind, reference = element.tag.rpartition("}")[2], element.get("ID")
-            if kind in found and reference in references:
-                lines = "".join(f"{line}\n" for line in element.itertext())
-                found[kind][reference] = found[kind].get(reference, "") + lines
-        return {r: found["content"].get(r, "") + found["paragraph"].get(r, "") for r in references}
-
-    return pd.Series([texts(x, set(w)) if x and len(w) else {} for x, w in zip(xml, wanted)])
+# An XML text as runs of character data (with the comments, CDATA and instructions among it) and tags.
+_RUN = r"(?:[^<]++|(?s:<!--.*?-->)|(?s:<!\[CDATA\[.*?\]\]>)|(?s:<\?.*?\?>))++"
+_TAG = r"""<(?:[^<>"']++|"[^"]*+"|'[^']*+')*+>"""
+_NARRATIVE_TAG = r"^<(/?)(?:[^\s/>:]+:)?(content|paragraph)(?=[\s/>])"
+_ID = r"""^<[^\s>]+(?:\s+(?!ID\s*=)[^\s=]+\s*=\s*(?:"[^"]*"|'[^']*'))*\s+ID\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+
+
+def _characters(run: Column) -> Column:
+    """The text of a run: references resolved, comments left out. References to entities of the document's own stay as they are."""
+    known = F.regexp_replace(run, r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)", "&amp;")
+    plain = F.when(run.contains("<"), run).otherwise(known)
+    parsed = F.xpath_string(F.concat(F.lit("<t>"), plain, F.lit("</t>")), F.lit("string(/t)"))
+    return F.when(run.contains("&") | run.contains("<"), parsed).otherwise(run)
+
+
+def narrative(documents: DataFrame) -> DataFrame:
+    """(path, reference, narrative): the texts below the content and paragraph elements whose ID is in ``wanted``.
+
+    Each run of text is a line. Contents come before paragraphs, several elements of an ID in their order. References
+    without an element are left out. ``documents``: path, xml, wanted. One shuffle, by path; the elements a run lies in
+    are the last ones opened before it at each depth up to its own.
+    """
+    lines = F.regexp_replace("xml", r"\r\n?", "\n")
+    token, kinds = F.col("token"), ("content", "paragraph")
+    tokens = documents.select("path", "wanted", F.posexplode(F.regexp_extract_all(lines, F.lit(f"{_RUN}|{_TAG}"), F.lit(0))).alias("pos", "token"))
+    kind = F.regexp_extract(token, _NARRATIVE_TAG, 2)
+    shut = (F.regexp_extract(token, _NARRATIVE_TAG, 1) == "/")
+    name = _characters(F.concat(F.regexp_extract(token, _ID, 1), F.regexp_extract(token, _ID, 2)))
+    is_tag = token.rlike(f"^{_TAG}$") & ~token.rlike(r"^<[!?]")
+    step = F.when(~is_tag | (kind == "") | token.endswith("/>"), 0).when(shut, -1).otherwise(1)
+    marked = tokens.select(
+        "path", "pos", step.alias("step"), F.when(step != 0, kind).alias("kind"),
+        F.when((step == 1) & token.rlike(_ID) & F.array_contains("wanted", name), name).alias("reference"),
+        F.when(~is_tag, token).alias("run")).filter("step <> 0 or run is not null")
+    so_far = Window.partitionBy("path").orderBy("pos")
+    depths = marked.withColumns({k: F.sum(F.when(F.col("kind") == k, F.col("step")).otherwise(0)).over(so_far).cast("int") for k in kinds})
+    at = lambda k, depth: F.struct(F.lit(k).alias("kind"), depth.alias("depth"))
+    none = F.array().cast("array<struct<kind:string,depth:int>>")
+
+    def below(k: str) -> Column:
+        return F.when(F.col(k) > 0, F.transform(F.sequence(F.lit(1), k), lambda depth: at(k, depth))).otherwise(none)
+
+    opened = F.array(*[F.when((F.col("step") == 1) & (F.col("kind") == k), at(k, F.col(k))) for k in kinds])
+    places = depths.filter("step >= 0").select("path", "pos", "reference", "run", F.explode(
+        F.when(F.col("step") == 1, F.filter(opened, lambda o: o.isNotNull())).otherwise(F.concat(*map(below, kinds)))).alias("place"))
+    before = Window.partitionBy("path", "place.kind", "place.depth").orderBy("pos")
+    owner = F.last(F.when(F.col("run").isNull(), F.struct("pos", "reference")), ignorenulls=True).over(before)
+    owned = places.withColumn("owner", owner).filter("run is not null and owner.reference is not null")
+    owned = owned.select("path", F.col("owner.reference").alias("reference"), F.col("place.kind").alias("kind"), F.col("owner.pos").alias("first"),
+                         "pos", _characters(F.col("run")).alias("line")).filter("line <> ''")
+    texts = F.array_sort(F.collect_list(F.struct("kind", "first", "pos", "line")))
+    return owned.groupBy("path", "reference").agg(F.concat(F.array_join(texts["line"], "\n"), F.lit("\n")).alias("narrative"))
 
 
 def notes(parsed: DataFrame) -> DataFrame:
@@ -325,13 +361,12 @@ def notes(parsed: DataFrame) -> DataFrame:
     acts = F.filter(_present(_entries()["act"]), lambda a: _is(a["code"], NOTE_ACT, LOINC_OID))
     coded = parsed.withColumn("_acts", acts).filter(F.size("_acts") > 0)
     wanted = F.transform(_present(F.col("_acts")["text"]["reference"]["_value"]), lambda r: F.substr(r, F.lit(2)))
-    with_text = coded.withColumn("_narrative", _narrative(F.col("xml"), wanted))
-
-    exploded = with_text.select(
-        "path", "s_person_id", F.concat(F.lit("cda/"), F.col("file")).alias("s_source_system"),
-        "_narrative", F.posexplode("_acts").alias("_nth", "_item"),
+    texts = narrative(coded.select("path", "xml", wanted.alias("wanted")).filter(F.size("wanted") > 0))
+    exploded = coded.select(
+        "path", "s_person_id", F.concat(F.lit("cda/"), F.col("file")).alias("s_source_system"), F.posexplode("_acts").alias("_nth", "_item"),
     )
     item = F.col("_item")
+    exploded = exploded.withColumn("reference", F.substr(item["text"]["reference"]["_value"], F.lit(2))).join(texts, ["path", "reference"], "left")
     kind = _last(item["code"]["translation"])
     body = item["text"]
     columns = {
@@ -343,7 +378,7 @@ def notes(parsed: DataFrame) -> DataFrame:
         "m_note_class_code": kind["_code"], "m_note_class_code_type_oid": kind["_codeSystem"],
         "s_note_datetime": _when(_last(item["effectiveTime"]["_value"])),
         "s_note_text": F.when(body["_representation"] == "B64", base64_text(body["_text"]))
-        .otherwise(F.try_element_at("_narrative", F.substr(body["reference"]["_value"], F.lit(2)))),
+        .otherwise(F.when(F.col("reference").isNotNull(), F.coalesce("narrative", F.lit("")))),
         "s_source_system": F.col("s_source_system"),
     }
     shaped = exploded.select("path", *[v.alias(n) for n, v in columns.items()])
