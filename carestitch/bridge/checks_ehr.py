@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from ..operators.project import union_by_name
 from ..sources import ehr_csv
-from .registry import check, portable
+from ..specs import PSF_SPECS
+from .registry import ORACLES, check, portable
 from .views import Bridge
 
 # The extract's tables as views; persons are customers, organizations suppliers.
@@ -181,3 +183,18 @@ def _(b: Bridge):
     from pyspark.sql import functions as F
     staged = ehr_csv.staging_tables(b.spark, extract(b))["source_person"]
     return staged.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("g_id").alias("n_ids"))
+
+
+_TABLES = ("location", "person", "care_site", "provider", "encounter", "observation_period", "payer", "relationship",
+           "condition", "procedure", "device", "medication", "result")
+
+
+@check("ehr_table_rows", " union all ".join([
+    *[f"select 'source_{name}' as staging_table, count(*) as n_rows from ({ORACLES[f'ehr_{name}']})" for name in _TABLES],
+    *[f"select '{name}', 0" for name in ehr_csv.EMPTY_TABLES]]))
+def _(b: Bridge):
+    """Rows of every staging table of an extract; four come without rows but in their layout."""
+    from pyspark.sql import functions as F
+    staged = ehr_csv.staging_tables(b.spark, extract(b))
+    assert all(staged[name].columns == [*PSF_SPECS[name].columns, "g_id"] for name in ehr_csv.EMPTY_TABLES)
+    return union_by_name([df.agg(F.lit(name).alias("staging_table"), F.count(F.lit(1)).alias("n_rows")) for name, df in staged.items()])

@@ -14,9 +14,10 @@ from ..plans.cdm_source import build_cdm_source, latest_measurement, replacement
 from ..sinks.parquet import (
     export_tables, read_manifest, table_path, write_by_domain, write_manifest, write_staged,
 )
+from ..sinks.publish import publish_tables
 from ..sinks.registry import Registry, stage_increment
 from ..sources.parquet import attach_catalog, load_tables
-from ..sources.tabular import StagingConfig, read_tables, rejected_rows, stage_tables
+from ..sources.tabular import StagingConfig, json_dict_table, read_lookup, read_tables, rejected_rows, stage_tables
 from ..sources.vocabulary import build_vocabulary, load_vocabulary, sample_concepts
 from .oracle import ORACLE_VIEWS
 from ..specs import STAGED_TABLES
@@ -65,6 +66,29 @@ def _(b: Bridge):
     return union_by_name(parts)
 
 
+@check("lookup_file", """select l_partkey, p_name || ', "' || p_partkey || '"' as label, count(*) as n_rows
+        from {lineitem} left join {part} on p_partkey = l_partkey group by all""")
+def _(b: Bridge):
+    """A lookup file with quotes and commas, read as a view that SQL joins."""
+    path = f"{b.folder}/lookup/labels.csv"
+    b("part").select("p_partkey", F.concat("p_name", F.lit(', "'), F.col("p_partkey").cast("string"), F.lit('"')).alias("label")).write.mode(
+        "overwrite").option("header", True).option("escape", '"').csv(path)
+    read_lookup(b.spark, path, "part_labels")
+    return b("lineitem").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n_rows")).join(
+        b.spark.table("part_labels"), F.col("p_partkey") == F.col("l_partkey").cast("string"), "left").select("l_partkey", "label", "n_rows")
+
+
+@check("json_dictionary", "select n_name as name, count(*) as n_rows from {customer} join {nation} on n_nationkey = c_nationkey group by n_name")
+def _(b: Bridge):
+    """A JSON object as a two-column table, joined to rows that name its keys."""
+    path = f"{b.folder}/dictionary/nations.json"
+    entries = F.map_from_entries(F.collect_list(F.struct(F.col("n_nationkey").cast("string"), "n_name")))
+    b("nation").agg(F.to_json(entries).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    names = json_dict_table(b.spark, path, ("key", "name"))
+    keyed = b("customer").select(F.col("c_nationkey").cast("string").alias("key"))
+    return keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n_rows")).join(names, "key").select("name", "n_rows")
+
+
 @check("csv_rejects", """select 'customer' as "table", 'customers' as file,
         case when c_custkey % 10 = 3 then '2 fields instead of 3' when c_custkey % 10 = 7 then '4 fields instead of 3' else 'read' end as reason,
         case when c_custkey % 10 = 3 then c_custkey || ',"' || c_name || '"' when c_custkey % 10 = 7 then c_custkey || ',"' || c_name || '",' || c_mktsegment || ',more'
@@ -187,6 +211,22 @@ def _(b: Bridge):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@check("published_tables", """select 'concept' as table_name, count(*) as n_rows, sum(concept_id) as key_sum from {concept}
+        union all select 'location', count(*), sum(location_id) from {o_location}
+        union all select 'source_relationship', count(*), sum(length(s_target_from_value)) from {source_relationship}""")
+def _(b: Bridge):
+    """The tables of a manifest as managed tables of a schema; a second run replaces them."""
+    tables = {"ohdsi": {"location": b.cdm.table("location")}, "concept": {"concept": b("concept")},
+              "prepared_source": {"source_relationship": b("source_relationship")}}
+    database, base = f"published_{uuid.uuid4().hex}", f"{b.folder}/to_publish"
+    manifest = {group: export_tables(named, f"{base}/{group}/") for group, named in tables.items()}
+    for _ in range(2):
+        names = publish_tables(b.spark, manifest, database, f"{b.folder}/{database}", "parquet")
+    sums = {"location": F.col("location_id"), "concept": F.col("concept_id"), "source_relationship": F.length("s_target_from_value")}
+    found = {name.split(".")[1].strip("`"): b.spark.table(name) for name in names}
+    return union_by_name([found[t].agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.sum(key).alias("key_sum")) for t, key in sums.items()])
+
+
 @check("conform_drug_exposure", """select person_id, concept_id as drug_concept_id,
         cast(cast(substr(started, 1, 10) as date) as varchar) as drug_exposure_start_date,
         cast(cast(substr(coalesce(ended, started), 1, 10) as date) as varchar) as drug_exposure_end_date,
@@ -238,9 +278,10 @@ def _(b: Bridge):
 @check("replace_cdm_source", """select 'db' as cdm_source_name, 'db' as cdm_source_abbreviation,
         (select max(start_date) from {o_measurement}) as source_release_date, '2024-03-01' as cdm_release_date,
         'CDM v5.4.1' as cdm_version, (select vocabulary_version from {vocabulary}
-        where vocabulary_id = 'None') as vocabulary_version""")
+        where vocabulary_id = 'None') as vocabulary_version,
+        (select concept_id from {concept} where vocabulary_id = 'CDM' and concept_code = 'CDM v5.4.1') as cdm_version_concept_id""")
 def _(b: Bridge):
     """Missing metadata is looked up in the tables."""
     row = replacement_cdm_source(b.spark, "db", {"cdm_version": "CDM v5.4.1"}, b.table, today=_TODAY)
     return portable(row.select("cdm_source_name", "cdm_source_abbreviation", "source_release_date",
-                               "cdm_release_date", "cdm_version", "vocabulary_version"))
+                               "cdm_release_date", "cdm_version", "vocabulary_version", "cdm_version_concept_id"))

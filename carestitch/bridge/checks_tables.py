@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.project import union_by_name
 from ..operators.route import in_domain
 from ..plans import builds as B
 from ..plans.relationships import Relationship, build_fact_relationship, unknown_links
@@ -191,3 +192,25 @@ def _(b: Bridge):
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
+
+
+_VIEWS = {"visit_occurrence": "o_visit", "payer_plan_period": "o_payer", "visit_source_link": "o_link"}
+
+
+def _rows_of_tables() -> str:
+    built = [build.routes[0].table for build in B.DIMENSIONS] + list(B.PRIMARY_KEYS)
+    counts = [f"select '{t}' as cdm_table, count(*) as n_rows, {len(cdm_specs('5.4')[t].columns)} as n_columns from {{{_VIEWS.get(t, f'o_{t}')}}}" for t in built]
+    counts += [f"select '{t}', 0, {len(cdm_specs('5.4')[t].columns)}" for t in (*B.EMPTY_TABLES, *B.EMPTY_BY_VERSION["5.4"])]
+    return " union all ".join(counts)
+
+
+@check("cdm_table_rows", _rows_of_tables())
+def _(b: Bridge):
+    """Rows of every table of a run and how many of its columns are those of the standard, in order; some come without rows."""
+    parts = []
+    for table in b.cdm.table_names():
+        wanted = list(cdm_specs("5.4")[table].columns)
+        df = b.cdm.table(table)
+        in_order = sum(a == w for a, w in zip(df.columns, wanted, strict=False))
+        parts.append(df.agg(F.lit(table).alias("cdm_table"), F.count(F.lit(1)).alias("n_rows")).withColumn("n_columns", F.lit(in_order)))
+    return union_by_name(parts)
