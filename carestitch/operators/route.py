@@ -18,6 +18,11 @@ def in_domain(domain: str, keep_unmapped: bool = True) -> Column:
     return mapped | (F.col("mapped_domain_id").isNull() & (F.col("domain_id") == F.lit(domain)))
 
 
+def in_domain_or_unknown(domain: str) -> Column:
+    """Rows whose concept is of the domain, and those without any."""
+    return F.col("mapped_domain_id").isNull() | (F.col("mapped_domain_id") == F.lit(domain))
+
+
 def combine(parts: list[DataFrame], spec: TableSpec) -> DataFrame:
     """All contributions to one table, brought to its layout and joined by column name."""
     return union_by_name([align(part, spec) for part in parts])

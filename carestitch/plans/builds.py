@@ -1,16 +1,21 @@
 """What each CDM table is made of, as data.
 
 A ``SourceBuild`` names one staging table, how its rows are aligned, which coded fields
-are resolved and which CDM tables they feed. Column values are SQL expressions over the
-aligned and resolved staging row. Expressions are written for CDM 5.4; names that 5.3.1
-spells differently are renamed by the builder.
+are resolved and which CDM tables they feed. A column's value is a column of the aligned
+and resolved staging row or a rule of ``functions`` on such columns (``Rule``). Names are those
+of CDM 5.4; the builder renames what 5.3.1 spells differently.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from ..functions.dates import as_date, birth_parts, end_or_start
+from ..functions.values import code_label, decimal_value, first_filled, preferred_type
 from ..operators.resolve import CodedField
 
 # Position of each staging table in the key of the facts it contributes.
@@ -33,19 +38,44 @@ _SUBJECT = {
 }
 
 
+class Rule:
+    """A rule on columns and on other rules' values, kept until there is a session."""
+
+    def __init__(self, rule: Callable[..., Column], *args: "Value"):
+        self.rule, self.args = rule, args
+
+    def column(self) -> Column:
+        return self.rule(*map(column_of, self.args))
+
+    def reads(self) -> set[str]:
+        return set().union(*map(columns_read, self.args))
+
+
+Value = str | Rule
+
+
+def column_of(value: Value) -> Column:
+    return F.col(value) if isinstance(value, str) else value.column()
+
+
+def columns_read(value: Value) -> set[str]:
+    return {value} if isinstance(value, str) else value.reads()
+
+
 @dataclass(frozen=True)
 class Route:
     """One CDM table fed by a staging table.
 
     domain         keep rows of this domain only
     keep_unmapped  rows without a standard concept go by their source concept's domain
+    or_unknown     rows without any domain are kept as well
     """
 
     table: str
-    columns: Mapping[str, str]
+    columns: Mapping[str, Value]
     domain: str | None = None
     keep_unmapped: bool = False
-    condition: str | None = None
+    or_unknown: bool = False
 
 
 @dataclass(frozen=True)
@@ -59,11 +89,11 @@ class SourceBuild:
     fanout: str | None = None
     domain_column: str | None = None
     row_filter: str | None = None
-    derived: Mapping[str, str] = field(default_factory=dict)
+    derived: Mapping[str, Value] = field(default_factory=dict)
 
 
-def as_date(column: str) -> str:
-    return f"try_cast({column} as date)"
+def _birth(part: str) -> Rule:
+    return Rule(lambda birth: birth_parts(birth)[part], "s_birth_datetime")
 
 
 def _two_level(name: str, stem: str | None = None, domain: str | None = None, source: bool = True) -> CodedField:
@@ -79,8 +109,8 @@ def _standard(concept: str, prefix: str) -> CodedField:
     return CodedField(concept=concept, candidates=(prefix,), standard_only=True)
 
 
-def event_columns(table: str, start: str, end: str | None, code: str, type_id: str,
-                  concept: str = "g_concept_id", source: str = "g_source_concept_id") -> dict[str, str]:
+def event_columns(table: str, start: str, end: str | None, code: Value, type_id: str,
+                  concept: str = "g_concept_id", source: str = "g_source_concept_id") -> dict[str, Value]:
     """The columns every routed event fills, named by the table's subject."""
     subject = _SUBJECT[table]
     columns = {
@@ -96,7 +126,7 @@ def event_columns(table: str, start: str, end: str | None, code: str, type_id: s
         stem = subject if table == "condition_occurrence" else table
         edges = {f"{stem}_start": start, **({f"{stem}_end": end} if end else {})}
     for edge, value in edges.items():
-        columns |= {f"{edge}_date": as_date(value), f"{edge}_datetime": value}
+        columns |= {f"{edge}_date": Rule(as_date, value), f"{edge}_datetime": value}
     return columns
 
 
@@ -135,7 +165,7 @@ PROVIDER = SourceBuild(
     routes=(Route("provider", {
         "provider_id": "g_id", "provider_name": "s_provider_name", "npi": "s_npi",
         "dea": "s_dea_number", "provider_source_value": "k_provider",
-        "care_site_id": "care_site_id", "year_of_birth": f"year({as_date('s_birth_datetime')})",
+        "care_site_id": "care_site_id", "year_of_birth": _birth("year_of_birth"),
         "specialty_concept_id": "specialty_concept_id",
         "specialty_source_concept_id": "specialty_source_concept_id",
         "gender_source_value": "s_gender", "gender_concept_id": "gender_concept_id",
@@ -143,7 +173,6 @@ PROVIDER = SourceBuild(
     }),),
 )
 
-_BIRTH = as_date("s_birth_datetime")
 PERSON = SourceBuild(
     "source_person", person=False, links={"location": "k_location"},
     codes=(
@@ -152,8 +181,7 @@ PERSON = SourceBuild(
     ),
     routes=(Route("person", {
         "person_id": "g_person_id", "person_source_value": "s_person_id",
-        "year_of_birth": f"year({_BIRTH})", "month_of_birth": f"month({_BIRTH})",
-        "day_of_birth": f"day({_BIRTH})", "birth_datetime": "s_birth_datetime",
+        **{part: _birth(part) for part in ("year_of_birth", "month_of_birth", "day_of_birth")}, "birth_datetime": "s_birth_datetime",
         "location_id": "location_id",
         **{f"{c}_source_value": f"s_{c}" for c in ("gender", "race", "ethnicity")},
         **{f"{c}_{k}": f"{c}_{k}" for c in ("gender", "race", "ethnicity")
@@ -165,7 +193,7 @@ DEATH = SourceBuild(
     "source_person", person=False, row_filter="s_death_datetime is not null",
     codes=(_standard("death_type_concept_id", "m_death_source"),),
     routes=(Route("death", {
-        "person_id": "g_person_id", "death_date": as_date("s_death_datetime"),
+        "person_id": "g_person_id", "death_date": Rule(as_date, "s_death_datetime"),
         "death_datetime": "s_death_datetime",
         "death_type_concept_id": "death_type_concept_id",
     }),),
@@ -184,9 +212,9 @@ VISIT = SourceBuild(
         "visit_concept_id": "visit_concept_id",
         "visit_source_concept_id": "visit_source_concept_id",
         "visit_type_concept_id": "visit_type_concept_id",
-        "visit_start_date": as_date("s_visit_start_datetime"),
+        "visit_start_date": Rule(as_date, "s_visit_start_datetime"),
         "visit_start_datetime": "s_visit_start_datetime",
-        "visit_end_date": f"coalesce({as_date('s_visit_end_datetime')}, {as_date('s_visit_start_datetime')})",
+        "visit_end_date": Rule(end_or_start, "s_visit_end_datetime", "s_visit_start_datetime"),
         "visit_end_datetime": "s_visit_end_datetime", "visit_source_value": "s_visit_type",
         "admitted_from_source_value": "s_admitting_source",
         "admitted_from_concept_id": "admitted_from_concept_id",
@@ -200,8 +228,8 @@ OBSERVATION_PERIOD = SourceBuild(
     "source_observation_period", codes=(_standard("period_type_concept_id", "m_source"),),
     routes=(Route("observation_period", {
         "observation_period_id": "g_id", "person_id": "person_id",
-        "observation_period_start_date": as_date("s_start_observation_datetime"),
-        "observation_period_end_date": as_date("s_end_observation_datetime"),
+        "observation_period_start_date": Rule(as_date, "s_start_observation_datetime"),
+        "observation_period_end_date": Rule(as_date, "s_end_observation_datetime"),
         "period_type_concept_id": "period_type_concept_id",
     }),),
 )
@@ -210,8 +238,8 @@ PAYER_PLAN_PERIOD = SourceBuild(
     "source_payer", codes=(_two_level("payer"),),
     routes=(Route("payer_plan_period", {
         "payer_plan_period_id": "g_id", "person_id": "person_id",
-        "payer_plan_period_start_date": as_date("s_payer_start_datetime"),
-        "payer_plan_period_end_date": as_date("coalesce(s_payer_end_datetime, s_payer_start_datetime)"),
+        "payer_plan_period_start_date": Rule(as_date, "s_payer_start_datetime"),
+        "payer_plan_period_end_date": Rule(as_date, Rule(first_filled, "s_payer_end_datetime", "s_payer_start_datetime")),
         "payer_source_value": "s_payer", "payer_concept_id": "payer_concept_id",
         "payer_source_concept_id": "payer_source_concept_id",
     }),),
@@ -229,9 +257,9 @@ VISIT_DETAIL = SourceBuild(
         "visit_detail_concept_id": "visit_detail_concept_id",
         "visit_detail_source_concept_id": "visit_detail_source_concept_id",
         "visit_detail_type_concept_id": "visit_detail_type_concept_id",
-        "visit_detail_start_date": as_date("s_start_datetime"),
+        "visit_detail_start_date": Rule(as_date, "s_start_datetime"),
         "visit_detail_start_datetime": "s_start_datetime",
-        "visit_detail_end_date": f"coalesce({as_date('s_end_datetime')}, {as_date('s_start_datetime')})",
+        "visit_detail_end_date": Rule(end_or_start, "s_end_datetime", "s_start_datetime"),
         "visit_detail_end_datetime": "s_end_datetime",
         "visit_detail_source_value": "s_visit_detail_type", "care_site_id": "care_site_id",
     }),),
@@ -291,11 +319,9 @@ MEDICATION = SourceBuild(
                    domain="Drug", mapped_domain="g_drug_domain_id"),
     ),
     derived={
-        "g_type_concept_id":
-            "case when m_type_concept_id > 0 then m_type_concept_id else s_type_concept_id end",
-        "g_drug_label":
-            "concat(coalesce(s_drug_code, m_drug_code, g_drug_code, ''), '|', "
-            "coalesce(s_drug_text, s_drug_alternative_text, m_drug_text, g_drug_text, ''))",
+        "g_type_concept_id": Rule(preferred_type, "m_type_concept_id", "s_type_concept_id"),
+        "g_drug_label": Rule(code_label, Rule(first_filled, "s_drug_code", "m_drug_code", "g_drug_code"),
+                             Rule(first_filled, "s_drug_text", "s_drug_alternative_text", "m_drug_text", "g_drug_text")),
     },
     routes=(Route("drug_exposure", {
         **event_columns("drug_exposure", "s_start_medication_datetime", "s_end_medication_datetime",
@@ -303,15 +329,15 @@ MEDICATION = SourceBuild(
         "provider_id": "provider_id", "route_concept_id": "route_concept_id",
         "route_source_value": "s_route", "stop_reason": "s_status", "quantity": "s_quantity",
         "dose_unit_source_value": "s_dose_unit",
-    }, condition="mapped_domain_id is null or mapped_domain_id = 'Drug'"),),
+    }, domain="Drug", or_unknown=True),),
 )
 
 _RESULT_VALUES = {
     "value_as_concept_id": "value_as_concept_id",
-    "value_as_number": "try_cast(coalesce(m_result_numeric, s_result_numeric) as double)",
+    "value_as_number": Rule(decimal_value, "m_result_numeric", "s_result_numeric"),
     "unit_concept_id": "unit_concept_id",
 }
-_RESULT_EVENT = ("s_obtained_datetime", None, "coalesce(m_code, s_code)", "measurement_type_concept_id",
+_RESULT_EVENT = ("s_obtained_datetime", None, Rule(first_filled, "m_code", "s_code"), "measurement_type_concept_id",
                  "measurement_concept_id", "measurement_source_concept_id")
 RESULT = SourceBuild(
     "source_result", visit="left", domain_column="g_result_domain_id",
@@ -326,14 +352,14 @@ RESULT = SourceBuild(
     routes=(
         Route("measurement", {
             **event_columns("measurement", *_RESULT_EVENT), **_RESULT_VALUES,
-            "value_source_value": "coalesce(m_result_text, s_result_text)",
-            "unit_source_value": "coalesce(m_result_unit, s_result_unit)",
+            "value_source_value": Rule(first_filled, "m_result_text", "s_result_text"),
+            "unit_source_value": Rule(first_filled, "m_result_unit", "s_result_unit"),
             "range_low": "s_result_numeric_lower", "range_high": "s_result_numeric_upper",
             "operator_concept_id": "operator_concept_id",
         }, domain="Measurement"),
         Route("observation", {
             **event_columns("observation", *_RESULT_EVENT), **_RESULT_VALUES,
-            "value_as_string": "coalesce(m_result_text, s_result_text)",
+            "value_as_string": Rule(first_filled, "m_result_text", "s_result_text"),
             "unit_source_value": "s_result_unit",
         }, domain="Observation"),
     ),
@@ -350,7 +376,7 @@ NOTE = SourceBuild(
     routes=(Route("note", {
         "note_id": "g_id", "person_id": "person_id",
         "visit_occurrence_id": "visit_occurrence_id",
-        "note_date": as_date("s_note_datetime"), "note_datetime": "s_note_datetime",
+        "note_date": Rule(as_date, "s_note_datetime"), "note_datetime": "s_note_datetime",
         "note_class_concept_id": "note_class_concept_id",
         "encoding_concept_id": "encoding_concept_id",
         "language_concept_id": "language_concept_id",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
@@ -11,9 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import FANOUT_BITS, duplicate_keys, fact_id, stable_id, staged_id
 from ..operators.joins import align_to_person, align_to_visit, key_table, lookup
-from ..operators.project import align, exclude_rows, stamp_lineage, union_by_name
+from ..operators.project import align, exclude_rows, rename_columns, stamp_lineage, union_by_name
 from ..operators.resolve import resolve_fanout, resolve_fields, used_pairs
-from ..operators.route import combine, in_domain
+from ..operators.route import combine, in_domain, in_domain_or_unknown
 from ..operators.vocab import Codebook, FieldBooks, field_name
 from ..specs import cdm_spec, psf_spec
 from ..specs.cdm import LINEAGE, NAMES_IN_531, normalise_version
@@ -113,9 +112,8 @@ class CdmBuilder:
         books = whole.by_field(write("support/used_codes", self.used_codes()), lookups, fanouts)
         return FieldBooks(write("support/codes", books.best), write("support/code_targets", books.targets)).measured()
 
-    def _resolved(self, build: B.SourceBuild, codes: bool = True) -> DataFrame:
-        """Staging rows with codes resolved, persons, visits and dimension keys attached;
-        without ``codes`` only persons and visits.
+    def _resolved(self, build: B.SourceBuild) -> DataFrame:
+        """Staging rows with codes resolved, persons, visits and dimension keys attached.
 
         Codes come first: they are map-side lookups and let the code texts be dropped
         before the rows are shuffled to their persons and visits.
@@ -124,13 +122,13 @@ class CdmBuilder:
         if build.row_filter:
             df = df.filter(build.row_filter)
         books = self.codebook.of_table(build.source)
-        df = resolve_fields(df, books, build.codes if codes else ())
+        df = resolve_fields(df, books, build.codes)
         if build.fanout:
             df = resolve_fanout(df, books, build.fanout)
         elif build.domain_column:
             df = df.withColumns({"mapped_domain_id": F.col(build.domain_column),
                                  "domain_id": F.col(build.domain_column)})
-        for dimension, key in build.links.items() if codes else ():
+        for dimension, key in build.links.items():
             keys, rows = self.link(dimension)
             _, (natural,), surrogate = LINKS[dimension]
             df = lookup(df, keys, {key: natural}, {surrogate: surrogate}, unique=True, dim_rows=rows)
@@ -147,17 +145,12 @@ class CdmBuilder:
         if build.source == "source_encounter":
             key = stable_id(self.stable.salt, "s_encounter_id") if self.stable.visit else F.col("g_id")
             df = df.withColumn("g_visit_id", key)
-        return df.withColumns({n: F.expr(e) for n, e in build.derived.items()}) if build.derived else df
+        return df.withColumns({n: B.column_of(v) for n, v in build.derived.items()}) if build.derived else df
 
     # -- routes -----------------------------------------------------------------------
 
-    def _columns(self, route: B.Route) -> dict[str, str]:
-        if self.version != "5.3.1":
-            return dict(route.columns)
-        return {NAMES_IN_531.get(n, n): e for n, e in route.columns.items()}
-
     def _project(self, df: DataFrame, build: B.SourceBuild, route: B.Route) -> DataFrame:
-        columns = {n: F.expr(e) for n, e in self._columns(route).items()}
+        columns = {n: B.column_of(v) for n, v in route.columns.items()}
         if build in B.FACTS:
             ordinal = F.col("g_ordinal") if build.fanout else 0
             columns[B.PRIMARY_KEYS[route.table]] = fact_id(
@@ -165,14 +158,15 @@ class CdmBuilder:
             )
             if self.version == "5.3.1" and build is B.PROCEDURE:
                 # 5.3.1 source procedures have no end.
-                columns = {n: e for n, e in columns.items() if "_end_" not in n}
+                columns = {n: c for n, c in columns.items() if "_end_" not in n}
         lineage = [F.col("s_id") if "s_id" in df.columns else F.lit(None).cast("string").alias("s_id"),
                    F.col("g_source_table_name"), F.col("s_g_id")]
-        return df.select(*[e.alias(n) for n, e in columns.items()], *lineage)
+        out = df.select(*[c.alias(n) for n, c in columns.items()], *lineage)
+        return rename_columns(out, NAMES_IN_531, keep_others=True) if self.version == "5.3.1" else out
 
     def _routed(self, df: DataFrame, route: B.Route) -> DataFrame:
-        if route.condition:
-            return df.filter(route.condition)
+        if route.or_unknown:
+            return df.filter(in_domain_or_unknown(route.domain))
         if route.domain:
             return df.filter(in_domain(route.domain, route.keep_unmapped and self.keep_unmapped))
         return df
@@ -185,18 +179,25 @@ class CdmBuilder:
             self._tables[name] = self.materialise(name, rows.select(*self._routed_columns(build, rows)))
         return self._tables[name]
 
+    def visits(self) -> DataFrame:
+        """Resolved encounters: read and joined to persons once, for the visits and for their keys."""
+        if "support/visits" not in self._tables:
+            rows = self._resolved(B.VISIT)
+            named = dict.fromkeys([*self._routed_columns(B.VISIT, rows), "g_visit_id", "s_encounter_id", "s_person_id"])
+            self._tables["support/visits"] = self.materialise("support/visits", rows.select(*named))
+        return self._tables["support/visits"]
+
     def _routed_columns(self, build: B.SourceBuild, rows: DataFrame) -> list[str]:
         """The columns some route reads. Nothing else is carried through the shuffles to
         persons and visits, nor written."""
-        expressions = [e for r in build.routes for e in (*r.columns.values(), r.condition or "")]
-        named = set(re.findall(r"\w+", " ".join(expressions)))
+        named = set().union(*[B.columns_read(v) for r in build.routes for v in r.columns.values()])
         named |= {"g_id", "g_ordinal", "domain_id", "mapped_domain_id", *LINEAGE, *self.keep_columns}
         return [c for c in rows.columns if c in named]
 
     def contribution(self, build: B.SourceBuild, table: str) -> DataFrame:
         """What one staging table contributes to one CDM table."""
         (route,) = [r for r in build.routes if r.table == table]
-        rows = self.matched(build) if build in B.FACTS else self._resolved(build)
+        rows = self.matched(build) if build in B.FACTS else self.visits() if build is B.VISIT else self._resolved(build)
         return align(self._project(self._routed(rows, route), build, route), cdm_spec(table, self.version))
 
     # -- tables -----------------------------------------------------------------------
@@ -211,8 +212,7 @@ class CdmBuilder:
 
     def _build(self, name: str) -> DataFrame:
         if name == "visit_source_link":
-            visits = self._resolved(B.VISIT, codes=False)
-            return visits.select(F.col("g_visit_id").alias("visit_occurrence_id"),
+            return self.visits().select(F.col("g_visit_id").alias("visit_occurrence_id"),
                                  "s_encounter_id", "person_id", "s_person_id")
         for build in B.DIMENSIONS:
             if name == build.routes[0].table:
