@@ -20,12 +20,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import CHUNK_BYTES, chunks, codes
+from .words import CHUNK_BYTES, Known, chunks, codes
 
 SHAPES = 512
 _DENSE = 12
 _RULES = ((re.compile(rb"[A-Z]+"), b"A"), (re.compile(rb"[a-z\x80-\xff]+"), b"a"), (re.compile(rb"[0-9]+"), b"0"))
-_SHAPE: dict[bytes, tuple[int, int]] = {}
 
 
 @dataclass(frozen=True)
@@ -61,14 +60,11 @@ def _shape(word: bytes) -> tuple[int, int]:
     return xxhash.xxh3_64_intdigest(shape[:24]) % SHAPES, kind
 
 
+_SHAPE = Known(_shape)
+
+
 def _shapes(found: list[bytes]) -> np.ndarray:
-    known = _SHAPE
-    if len(known) > 500_000:
-        known.clear()
-    for w in found:
-        if w not in known:
-            known[w] = _shape(w)
-    return np.array([known[w] for w in found], np.int64).reshape(-1, 2)
+    return np.array([_SHAPE[w] for w in found], np.int64).reshape(-1, 2)
 
 
 def features(texts: list[str | None]) -> np.ndarray:

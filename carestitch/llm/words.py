@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +12,28 @@ import xxhash
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that are worked on together; a longer text is worked on alone.
 CHUNK_BYTES = 2 << 20
-_KNOWN: dict[bytes, int] = {}
-_MOST_KNOWN = 500_000
+#: Words that a worker remembers in each place; see ``Known``.
+MOST_KNOWN = 1 << 16
+
+
+class Known(dict):
+    """What ``make`` says of a word, made once in a while.
+
+    Spark's Python workers live on and serve later stages too, so what is remembered stays beside their memory: it is
+    dropped whenever it reaches ``MOST_KNOWN`` words, inside a text as well. Frequent words are soon back.
+    """
+
+    def __init__(self, make: Callable[[bytes], object]):
+        self.make = make
+
+    def __missing__(self, word: bytes):
+        if len(self) >= MOST_KNOWN:
+            self.clear()
+        self[word] = value = self.make(word)
+        return value
+
+
+_CODES = Known(xxhash.xxh3_64_intdigest)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -31,16 +51,7 @@ def words(text: str | None) -> list[bytes]:
 
 def codes(found: list[bytes]) -> np.ndarray:
     """A 64-bit code of each word."""
-    known = _KNOWN
-    if len(known) > _MOST_KNOWN:
-        known.clear()
-    try:
-        return np.array([known[w] for w in found], np.uint64)
-    except KeyError:
-        for w in found:
-            if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.array([known[w] for w in found], np.uint64)
+    return np.array([_CODES[w] for w in found], np.uint64)
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text: str, most_rows: int = 4000) -> Iterator[pa.RecordBatch]:

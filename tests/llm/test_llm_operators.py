@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from carestitch.llm import chat, fingerprints, hamming_index, mixing, near_duplicates, packing, quality, suffixes, tokens, training_order, units
+from carestitch.llm import words as word_arrays
 from carestitch.llm.components import components
 from carestitch.llm.superminhash import signatures
 from carestitch.llm.words import shingles, words
@@ -416,6 +417,27 @@ def test_tokens_are_those_of_the_library(docs):
     assert tokens.token_ids(None).tolist() == [] and tokens.with_end(None).tolist() == [1]
 
 
+def test_workers_remember_few_words():
+    """They serve the stages of a pipeline in turn, so what one stage leaves behind is missing in the next."""
+    tokens.with_end("the file is read")
+    tracemalloc.start()
+    text = " ".join(f"w{i}" for i in range(250_000))
+    quality.features([text])
+    assert len(tokens.token_ids(text)) > 250_000
+    del text
+    left = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert left < 64 << 20
+
+
+def test_forgotten_words_change_no_result(monkeypatch):
+    texts = [_prose(random.Random(i), 300) + " I'd 1st É!" for i in range(3)] + [None, ""]
+    whole = quality.features(texts), [tokens.token_ids(t).tolist() for t in texts], shingles(texts, 5)
+    monkeypatch.setattr(word_arrays, "MOST_KNOWN", 3)
+    again = quality.features(texts), [tokens.token_ids(t).tolist() for t in texts], shingles(texts, 5)
+    assert (whole[0] == again[0]).all() and whole[1] == again[1] and all((a == b).all() for a, b in zip(whole[2], again[2], strict=True))
+
+
 def test_other_tokenizer_files_go_through_the_library():
     import public_tokenizers
     from tokenizers import Tokenizer
