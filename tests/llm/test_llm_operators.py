@@ -417,6 +417,30 @@ def test_tokens_are_those_of_the_library(docs):
     assert tokens.token_ids(None).tolist() == [] and tokens.with_end(None).tolist() == [1]
 
 
+def test_plain_words_are_not_remembered(monkeypatch):
+    """However many different ones there are, a text's plain words go through the merges at once, not each by itself."""
+    tokens._tokenizer.cache_clear()
+    taken, new = [], tokens.Words._new
+    monkeypatch.setattr(tokens.Words, "_new", lambda self, word: taken.append(word) or new(self, word))
+    text = " ".join(f"w{i}x" for i in range(80_000))
+    ids = tokens.token_ids(text).tolist()
+    assert taken == []
+    assert tokens.token_ids(f"{text}\n– {text}").tolist() == ids + tokens.token_ids("–").tolist() + ids
+    assert taken == ["–".encode()]
+    tokens._tokenizer.cache_clear()
+
+
+def test_tokens_of_mixed_runs_are_those_of_the_library():
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(tokens.default_tokenizer())
+    parts = [*"abstvdmreßÀÞ×÷ÿµ–é日09 '\".!<|~", "'s", "'re", "'LL", "''", " ", " ", "\n", "\r\n", "\t\x0b\x0c", "\x85", "\xa0", "\x1c", "\u0301", "İ", "Σ", " the", " Don't", " a b c d e f g h i ", "<|endoftext|>"]
+    for i in range(3000):
+        r = random.Random(i)
+        some = r.sample(parts, r.randint(3, len(parts))) + [" ", " "]
+        text = "".join(r.choices(some, k=r.randint(0, 60)))
+        assert tokens.token_ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_workers_remember_few_words():
     """They serve the stages of a pipeline in turn, so what one stage leaves behind is missing in the next."""
     tokens.with_end("the file is read")
