@@ -2,6 +2,7 @@
 
 import os
 
+from carestitch.bridge import views
 from carestitch.bridge.views import Bridge
 from carestitch.plans import builds as B
 from carestitch.sinks.parquet import write_and_reload
@@ -33,3 +34,15 @@ def test_a_table_reads_the_staging_tables_it_is_made_of(spark):
         "source_condition", "source_procedure", "source_device", "source_medication", "source_result", "source_note", "source_payer")}
     assert set(os.listdir(f"{bridge.folder.removeprefix('file://')}/books")) <= {
         "source_condition", "source_person", "source_encounter", "source_provider"}
+
+
+def test_waves_hold_every_row_with_the_id_of_the_whole_table(spark, monkeypatch):
+    monkeypatch.setattr(views, "WAVE_ROWS", 1000)
+    bridge = Bridge(spark, FOLDER)
+    waves = [df.select("s_id", "g_id") for df in bridge.waves("source_result")]
+    whole = bridge("source_result").select("s_id", "g_id")
+    assert len(waves) == 8 and all(df.count() > 0 for df in waves)
+    assert sorted(row for df in waves for row in df.collect()) == sorted(whole.collect())
+    matched, lazy = bridge.cdm.matched(B.CONDITION), bridge.cdm._resolved(B.CONDITION)
+    columns = ["s_id", "s_g_id", "person_id", "visit_occurrence_id", "g_concept_id", "g_ordinal"]
+    assert sorted(map(str, matched.select(columns).collect())) == sorted(map(str, lazy.select(columns).collect()))
