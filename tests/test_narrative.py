@@ -81,3 +81,13 @@ def test_notes_need_no_python(spark):
     assert sorted(notes.collect()) == [("0_cda/p/a.xml", "read me\n"), ("1_cda/p/a.xml", ""), ("2_cda/p/a.xml", None)]
     assert "Python" not in notes._jdf.queryExecution().executedPlan().toString()
     assert notes.filter(F.col("s_note_text") == "").count() == 1
+
+
+def test_tags_of_other_elements_make_no_rows(spark):
+    """A document's many other tags go before the tokens become rows."""
+    xml = "<a>" + "<b c='1'><d/></b>" * 500 + '<content ID="1">kept<e/> whole</content></a>'
+    df = spark.createDataFrame([("/d/0.xml", xml, ["1"])], "path string, xml string, wanted array<string>")
+    found = ccda.narrative(df)
+    assert [(r.reference, r.narrative) for r in found.collect()] == [("1", "kept\n whole\n")]
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert "inline(filter(" in plan
