@@ -46,3 +46,12 @@ def test_waves_hold_every_row_with_the_id_of_the_whole_table(spark, monkeypatch)
     matched, lazy = bridge.cdm.matched(B.CONDITION), bridge.cdm._resolved(B.CONDITION)
     columns = ["s_id", "s_g_id", "person_id", "visit_occurrence_id", "g_concept_id", "g_ordinal"]
     assert sorted(map(str, matched.select(columns).collect())) == sorted(map(str, lazy.select(columns).collect()))
+
+
+def test_staging_files_of_a_table_go_before_the_next(spark):
+    import carestitch.bridge.checks_sinks  # noqa: F401 registers the query
+    from carestitch.bridge.registry import QUERIES
+    bridge = Bridge(spark, FOLDER)
+    assert QUERIES["stage_generic_csv"](bridge).count() > 0
+    left = os.listdir(f"{bridge.folder.removeprefix('file://')}/staging_csv")
+    assert not [name for name in left if name.startswith("IN_")]
